@@ -93,14 +93,43 @@ def with_share(df: DataFrame, count_col: str = "n", out: str = "pct") -> DataFra
     return df.withColumn(out, F.when(total > 0, F.col(count_col) / total * 100).otherwise(F.lit(0.0)))
 
 
-def describe(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
-    """One row: mean, median, min, max, population std of ``col``."""
+def exact_quantiles(df: DataFrame, col: str, qs: list[float], offset_zeros: int = 0) -> dict[float, float | None]:
+    """Exact quantiles with linear interpolation (numpy/DuckDB ``quantile_cont``).
+
+    Values are ranked by the distributed global rank (a range sort, never one
+    task); only the at most ``2 * len(qs)`` rows at the needed positions reach
+    the driver.  ``offset_zeros`` counts extra zeros that sort before every
+    value (all values must be >= 0 then), without materialising them.
+    """
+    from .rank import global_rank
+
+    vals = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    n_vals = vals.count()
+    n = n_vals + offset_zeros
+    if n == 0:
+        return {q: None for q in qs}
+    need: dict[float, tuple[int, int, float]] = {}
+    for q in qs:
+        h = (n - 1) * q
+        lo = int(h // 1)
+        hi = min(lo + 1, n - 1)
+        need[q] = (lo, hi, h - lo)
+    wanted = sorted({p - offset_zeros for lo, hi, _ in need.values() for p in (lo, hi) if p >= offset_zeros})
+    got: dict[int, float] = {}
+    if wanted:
+        ranked = global_rank(vals, [F.col("x")], "pos")
+        got = {r["pos"] + offset_zeros: r["x"] for r in ranked.where(F.col("pos").isin(wanted)).collect()}
+    at = lambda p: 0.0 if p < offset_zeros else got[p]
+    return {q: at(lo) + frac * (at(hi) - at(lo)) for q, (lo, hi, frac) in need.items()}
+
+
+def describe(df: DataFrame, col: str) -> dict[str, float | None]:
+    """mean, median, min, max, population std and count of ``col``."""
     x = F.col(col).cast("double")
-    return df.agg(
-        F.avg(x).alias(f"{prefix}mean"),
-        F.median(x).alias(f"{prefix}median"),
-        F.min(x).alias(f"{prefix}min"),
-        F.max(x).alias(f"{prefix}max"),
-        F.stddev_pop(x).alias(f"{prefix}std"),
-        F.count(x).alias(f"{prefix}count"),
-    )
+    r = df.agg(
+        F.avg(x).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"),
+        F.stddev_pop(x).alias("std"), F.count(x).alias("count"),
+    ).first()
+    out = r.asDict()
+    out["median"] = exact_quantiles(df, col, [0.5])[0.5]
+    return out
