@@ -40,8 +40,8 @@ def pii_found(original: Column | str, replaced: Column | str) -> Column:
 
 
 def count_matches(text: Column | str, pattern: str) -> Column:
-    """Number of non-overlapping matches of ``pattern`` (group 0)."""
-    return F.size(F.regexp_extract_all(_col(text), F.lit(pattern), F.lit(0)))
+    """Number of non-overlapping matches of ``pattern`` (no array is built)."""
+    return F.regexp_count(_col(text), F.lit(pattern))
 
 
 def pii_counts(text: Column | str) -> Column:
@@ -72,7 +72,7 @@ def pieces(text: Column | str) -> Column:
 
 def piece_count(text: Column | str) -> Column:
     """Token-length unit used by the length filter."""
-    return F.size(pieces(text))
+    return count_matches(text, P.PIECE)
 
 
 def has_special_token(text: Column | str) -> Column:

@@ -10,10 +10,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when its scan has fewer splits than cores.
+
+    A large corpus arrives in many splits and is left alone.  A small file with
+    a single row group would otherwise put every regex and gram of the corpus
+    in one task; partitioning by the record id also lets later joins on that
+    id reuse the partitioning instead of moving the text again.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ord, text, lang, doc_id): ``doc_id`` is already the input order."""
     d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("ord"), "text", "lang", "doc_id")
+    return spread(d.select(F.col("doc_id").alias("ord"), "text", "lang", "doc_id"), "ord")
 
 
 def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
