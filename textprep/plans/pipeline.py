@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..config import DROP_REASONS, PII_REPLACED, PrepConfig
 from ..functions import text as T
 from ..operators import dedup, lang, rank, tokens
+from ..session import materialize
 
 FATE_SCHEMA_COLS = ("ord", "reason", "lang", "prob", "pii_found", "n_tokens")
 
@@ -80,6 +81,9 @@ def fates(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig
     batches = _batch_ids(survivors, cfg)
     if batches is not None:
         dec = dec.join(batches, "ord", "left")
+    # the narrow decision table feeds both sides of the first-copy join;
+    # checkpoint it so the gram job and the text features run once
+    dec = materialize(dec)
     english = ~F.col("is_empty") & (F.col("lang") == F.lit(cfg.target_lang))
     dec = dedup.mark_first(
         dec, "key", "ord", "batch_id" if batches is not None else None, eligible=english

@@ -15,15 +15,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     A large corpus arrives in many splits and is left alone.  A small file with
     a single row group would otherwise put every regex and gram of the corpus
-    in one task; partitioning by the record id also lets later joins on that
-    id reuse the partitioning instead of moving the text again.
+    in one task.  The spread copy is checkpointed (it is small by the test
+    above), so branches that read it do not repeat the shuffle, and joins on
+    ``key`` reuse its hash partitioning instead of moving the text again.
     """
+    from ..session import materialize
+
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
     n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, key)
+    return materialize(df.repartition(n, key))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
