@@ -19,8 +19,8 @@ from textprep.functions import text as T
 from textprep.operators import dedup, lang, rank, similarity, stats, tokens
 from textprep.plans import pipeline as PL
 from textprep.plans import reports as R
-from textprep.session import ensure_checkpoint_dir, materialize
-from textprep.sources import tables
+from textprep.session import ensure_checkpoint_dir, materialize, scratch_path
+from textprep.sources import jsonl, tables
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -324,6 +324,42 @@ def q_cosine_mean_all(spark, sf):
     return R.rounded(similarity.mean_cosine(_kept_tokens(spark, sf), "pos", "tokens"), 6)
 
 
+def q_input_report(spark, sf):
+    d = _docs(spark, sf)
+    det = lang.detect(d.where(T.clean_text("text") != "").select("ord", "text"), _profile(spark, sf))
+    return R.rounded(R.input_report(d.select("ord", "text"), det))
+
+
+def q_output_report(spark, sf):
+    acc = PL.accounting(_fates(spark, sf))
+    return R.rounded(R.output_report(_kept_tokens(spark, sf), acc, None, QCFG.residual_pii_warn_pct))
+
+
+def _derived_jsonl(spark, sf) -> str:
+    """JSON-lines files derived from the tables, with the scan's edge cases:
+    every document as an object line and as its raw text (not JSON), and every
+    conversation turn as an object without ``text``."""
+    k = _key(spark, "jsonl", sf)
+    if k not in _CACHE:
+        path = scratch_path(spark, f"jsonl-{abs(hash(sf))}")
+        d = tables.table(spark, sf, "documents")
+        c = tables.table(spark, sf, "conversations")
+        lines = (
+            d.select(F.to_json(F.struct("text")).alias("value"))
+            .unionByName(d.select(F.regexp_replace("text", "[\\r\\n]+", " ").alias("value")))
+            .unionByName(c.select(F.to_json(F.struct("conv_id", "turn", "role")).alias("value")))
+        )
+        lines.write.mode("overwrite").text(path)
+        for_glob = spark.read.text(path).inputFiles()
+        _CACHE[k] = (path, for_glob)
+    return _CACHE[k][0]
+
+
+def q_jsonl_tolerant_scan(spark, sf):
+    path = _derived_jsonl(spark, sf)
+    return jsonl.line_counters(jsonl.read_records(spark, path, "part-*"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "pii_replace": q_pii_replace,
@@ -365,6 +401,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cosine_stats": q_cosine_stats,
     "cosine_histogram": q_cosine_histogram,
     "cosine_mean_all": q_cosine_mean_all,
+    "input_report": q_input_report,
+    "output_report": q_output_report,
+    "jsonl_tolerant_scan": q_jsonl_tolerant_scan,
 }
 
 

@@ -293,4 +293,61 @@ ORACLE: dict[str, str] = {
       nn AS (SELECT count(*) AS s FROM out)
       SELECT s AS sequences, CAST(s * (s - 1) / 2 AS BIGINT) AS pairs, round(c / (s * (s - 1) / 2), 6) AS mean_cosine
       FROM nn CROSS JOIN dots""",
+    "input_report": "WITH " + LANG + ", " + PIIC + """,
+      v AS (SELECT pct.total FROM pct JOIN d USING (doc_id) WHERE d.clean <> ''),
+      dv AS (SELECT dl.* FROM dl JOIN d USING (doc_id) WHERE d.clean <> ''),
+      m AS (SELECT 'lines' AS metric, CAST(count(*) AS DOUBLE) AS value FROM d
+            UNION ALL SELECT 'json_errors', 0.0
+            UNION ALL SELECT 'empty', CAST(count(*) FILTER (WHERE clean = '') AS DOUBLE) FROM d
+            UNION ALL SELECT 'valid', CAST(count(*) AS DOUBLE) FROM v
+            UNION ALL SELECT 'languages', CAST(count(DISTINCT lang) AS DOUBLE) FROM dv
+            UNION ALL SELECT 'mean_confidence', avg(prob) FROM dv
+            UNION ALL SELECT 'median_confidence', quantile_cont(prob, 0.5) FROM dv
+            UNION ALL SELECT 'pii_texts', CAST(count(*) FILTER (WHERE total > 0) AS DOUBLE) FROM v
+            UNION ALL SELECT 'pii_rate_pct', count(*) FILTER (WHERE total > 0) / count(*) * 100 FROM v
+            UNION ALL SELECT 'pii_total', CAST(sum(total) AS DOUBLE) FROM v
+            UNION ALL SELECT 'pii_mean_per_text', sum(total) / count(*) FROM v)
+      SELECT 'input' AS section, metric, round(value, 4) AS value FROM m""",
+    "output_report": "WITH " + PIPE + """,
+      o AS (SELECT *, CAST(len(toks) AS DOUBLE) AS ln, len(""" + words("text") + """) AS w,
+                   len(list_distinct(""" + words("lower(text)") + """)) AS u,
+                   """ + nmatch("text", RE_R_EMAIL) + " + " + nmatch("text", RE_R_PHONE) + " + " + nmatch("text", RE_R_SSN) + """ AS p
+            FROM out),
+      dd AS (SELECT count(*) AS n, count(DISTINCT array_to_string(toks, ',')) AS uq FROM o),
+      m AS (SELECT 'records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM o
+            UNION ALL SELECT 'shards', CAST(count(DISTINCT shard_id) AS DOUBLE) FROM o
+            UNION ALL SELECT 'duplicates', CAST(n - uq AS DOUBLE) FROM dd
+            UNION ALL SELECT 'duplicate_pct', CASE WHEN n > 0 THEN (n - uq) / n * 100 ELSE 0 END FROM dd
+            UNION ALL SELECT 'token_len_mean', avg(ln) FROM o
+            UNION ALL SELECT 'token_len_median', quantile_cont(ln, 0.5) FROM o
+            UNION ALL SELECT 'token_len_min', min(ln) FROM o
+            UNION ALL SELECT 'token_len_max', max(ln) FROM o
+            UNION ALL SELECT 'token_len_std', stddev_pop(ln) FROM o
+            UNION ALL SELECT 'mean_unique_words', avg(u) FROM o WHERE w > 0
+            UNION ALL SELECT 'mean_lexical_diversity', avg(u / w) FROM o WHERE w > 0
+            UNION ALL SELECT 'residual_pii_texts', CAST(count(*) FILTER (WHERE p > 0) AS DOUBLE) FROM o
+            UNION ALL SELECT 'residual_pii_rate_pct', count(*) FILTER (WHERE p > 0) / count(*) * 100 FROM o
+            UNION ALL SELECT 'residual_pii_total', CAST(sum(p) AS DOUBLE) FROM o
+            UNION ALL SELECT 'residual_pii_warn', CASE WHEN count(*) FILTER (WHERE p > 0) / count(*) * 100 > 1.0 THEN 1.0 ELSE 0.0 END FROM o
+            UNION ALL SELECT 'dropped_true', CAST(dropped_true AS DOUBLE) FROM acc
+            UNION ALL SELECT 'dropped_reference', CAST(dropped_true + pii_replaced AS DOUBLE) FROM acc
+            UNION ALL SELECT 'pii_replaced', CAST(pii_replaced AS DOUBLE) FROM acc
+            UNION ALL SELECT 'input_true', CAST(kept + dropped_true AS DOUBLE) FROM acc)
+      SELECT 'output' AS section, metric, round(value, 4) AS value FROM m""",
+    "jsonl_tolerant_scan": r"""WITH lines AS (
+        SELECT CAST(to_json({'text': text}) AS VARCHAR) AS value FROM documents
+        UNION ALL SELECT regexp_replace(text, '[\r\n]+', ' ', 'g') FROM documents
+        UNION ALL SELECT CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role}) AS VARCHAR) FROM conversations),
+      k AS (SELECT value, trim(regexp_replace(value, '\s+', ' ', 'g')) = '' AS blank,
+                   coalesce(try(json_type(value)) = 'OBJECT'
+                        AND coalesce(try(json_type(value, '$.text')) = 'VARCHAR', true), false) AS ok
+            FROM lines),
+      r AS (SELECT blank OR NOT ok AS err,
+                   CASE WHEN ok AND NOT blank THEN coalesce(try(json_extract_string(value, '$.text')), '') END AS text
+            FROM k)
+      SELECT count(*) AS total,
+             count(*) FILTER (WHERE NOT err AND trim(regexp_replace(text, '\s+', ' ', 'g')) = '') AS empty,
+             count(*) FILTER (WHERE err) AS json_errors,
+             count(*) FILTER (WHERE NOT err AND trim(regexp_replace(text, '\s+', ' ', 'g')) <> '') AS valid
+      FROM r""",
 }

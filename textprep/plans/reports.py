@@ -116,3 +116,78 @@ def vocab_richness(kept: DataFrame, text_col: str = "text") -> DataFrame:
         F.avg("u").alias("mean_unique_words"),
         F.avg(F.col("u") / F.col("w")).alias("mean_lexical_diversity"),
     )
+
+
+def _long(spark, section: str, values: dict) -> DataFrame:
+    rows = [(section, k, None if v is None else float(v)) for k, v in values.items()]
+    return spark.createDataFrame(rows, "section string, metric string, value double")
+
+
+def input_report(records: DataFrame, detected: DataFrame, limit: int | None = None) -> DataFrame:
+    """Input report (C8) as (section, metric, value).
+
+    ``records``: (ord, text, blank, malformed) as from the JSON-lines scan, or
+    any (ord, text) table; ``detected``: (ord, lang, prob) over the valid,
+    non-empty records.  ``limit`` keeps the first N lines (L3).
+    """
+    spark = records.sparkSession
+    r = records if limit is None else records.where(F.col("ord") < F.lit(limit))
+    cols = r.columns
+    blank = F.col("blank") if "blank" in cols else F.lit(False)
+    mal = F.col("malformed") if "malformed" in cols else F.lit(False)
+    err = blank | mal
+    stripped_empty = T.clean_text(F.coalesce(F.col("text"), F.lit(""))) == ""
+    pii_total = T.pii_counts(F.coalesce(F.col("text"), F.lit("")))["total"]
+    m = r.select(
+        err.alias("err"), (~err & stripped_empty).alias("empty"),
+        F.when(~err & ~stripped_empty, pii_total).alias("pii"),
+    ).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if("err").alias("json_errors"),
+        F.count_if("empty").alias("empty"),
+        F.count("pii").alias("valid"),
+        F.count_if(F.col("pii") > 0).alias("pii_texts"),
+        F.coalesce(F.sum("pii"), F.lit(0)).alias("pii_total"),
+    ).first()
+    lc = lang_confidence(detected).first()
+    valid = m["valid"]
+    values = {
+        "lines": m["lines"], "json_errors": m["json_errors"], "empty": m["empty"], "valid": valid,
+        "languages": lc["languages"], "mean_confidence": lc["mean"], "median_confidence": lc["median"],
+        "pii_texts": m["pii_texts"], "pii_rate_pct": (m["pii_texts"] / valid * 100) if valid else 0.0,
+        "pii_total": m["pii_total"], "pii_mean_per_text": (m["pii_total"] / valid) if valid else 0.0,
+    }
+    return _long(spark, "input", values)
+
+
+def output_report(corpus: DataFrame, fate_acc: DataFrame | None = None, runtime_sec: float | None = None,
+                  warn_pct: float = 1.0) -> DataFrame:
+    """Output report (C9) as (section, metric, value).
+
+    ``corpus``: (text, tokens, shard_id) of the written output;
+    ``fate_acc``: the one-row accounting table, for drops and flow.
+    """
+    from ..operators import dedup
+
+    spark = corpus.sparkSession
+    tot = corpus.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("shard_id").alias("shards")).first()
+    dup = dedup.duplicate_counts(corpus).first()
+    lens = stats.describe(corpus.select(F.size("tokens").alias("len")), "len")
+    vr = vocab_richness(corpus).first()
+    rp = residual_pii(corpus, warn_pct).first()
+    values = {
+        "records": tot["n"], "shards": tot["shards"],
+        "duplicates": dup["duplicates"], "duplicate_pct": dup["duplicate_pct"],
+        "token_len_mean": lens["mean"], "token_len_median": lens["median"], "token_len_min": lens["min"],
+        "token_len_max": lens["max"], "token_len_std": lens["std"],
+        "mean_unique_words": vr["mean_unique_words"], "mean_lexical_diversity": vr["mean_lexical_diversity"],
+        "residual_pii_texts": rp["texts_with_pii"], "residual_pii_rate_pct": rp["pii_rate_pct"],
+        "residual_pii_total": rp["total_pii"], "residual_pii_warn": float(rp["warn"]),
+    }
+    if fate_acc is not None:
+        a = fate_acc.first()
+        values.update({"dropped_true": a["dropped_true"], "dropped_reference": a["dropped_ref"],
+                       "pii_replaced": a["pii_replaced"], "input_true": a["kept"] + a["dropped_true"]})
+    if runtime_sec:
+        values["records_per_sec"] = tot["n"] / runtime_sec  # A17: only when runtime > 0
+    return _long(spark, "output", values)
