@@ -2,14 +2,17 @@
 
 A character 3-gram naive Bayes with add-``alpha`` smoothing.
 
-* Training is ``explode(grams) -> groupBy(lang, gram).count()`` over labelled
-  rows (map-side partial aggregation, so frequent grams do not skew).
+* Training counts (lang, gram) pairs: each task counts its batch's grams with
+  numpy (``lang_vec``) and emits one row per distinct pair, which Spark sums
+  by key (so frequent grams never skew a task).
 * The profile is one row per gram with a fixed-order weight array, one entry
-  per language; it is checkpointed and broadcast only when its measured row
-  count is under the bound, otherwise joined by shuffle (AQE splits hot grams).
-* Scoring explodes a document's grams, joins the profile and sums the weight
-  arrays per document in one aggregation (partial sums map-side, one row per
-  document per task crosses the shuffle).
+  per language; it is checkpointed and its size measured.
+* Scoring, fast path: the profile (under a size bound) is broadcast as sorted
+  gram codes + weight matrix and each task scores the texts it reads with
+  numpy: no gram rows, no shuffle.  Fallback for a larger profile: explode the
+  grams, join the profile (broadcast under a row bound, else a shuffle join
+  where AQE splits hot grams) and sum the weight arrays per document (partial
+  sums map-side).
 
 Score of language L for a document with K known grams (grams in the profile):
 ``log prior_L + K * log(alpha / (N_L + alpha * V)) + sum_g c_g * (log(n_gL + alpha) - log alpha)``,
@@ -23,14 +26,19 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import char_grams, clean_text
 from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, materialize
 
 UNKNOWN = "unknown"
 MAX_LANGUAGES = 1000  # labels are collected to the driver; refuse anything unbounded
+# the vectorised path broadcasts codes + weights; bound on their size in bytes
+VEC_MAX_BYTES = 256 << 20
 
 
 @dataclass
@@ -42,6 +50,7 @@ class LangProfile:
     n_grams: int
     broadcast: bool
     gram_size: int = 3
+    arrays: object = None       # broadcast (codes, weights, ...) for the vectorised path, or None
 
 
 def _grams_of(text: Column, gram_size: int, sample_chars: int | None) -> Column:
@@ -51,9 +60,34 @@ def _grams_of(text: Column, gram_size: int, sample_chars: int | None) -> Column:
     return char_grams(t, gram_size)
 
 
+def padded(text: Column, sample_chars: int | None = None) -> Column:
+    """The string grams are taken from: `` lower(clean(text)) `` (optionally its first chars)."""
+    t = clean_text(text)
+    if sample_chars is not None:
+        t = F.substring(t, 1, sample_chars)
+    return F.concat(F.lit(" "), F.lower(t), F.lit(" "))
+
+
 def gram_counts(df: DataFrame, text_col: str = "text", label_col: str = "lang",
-                gram_size: int = 3) -> DataFrame:
-    """(lang, gram, n) over labelled rows."""
+                gram_size: int = 3, vectorised: bool = True) -> DataFrame:
+    """(lang, gram, n) over labelled rows.
+
+    Vectorised (3-grams): each task counts its grams with numpy and emits one
+    row per distinct (lang, gram) of its batch; Spark sums them by key.
+    Otherwise one row per gram occurrence, aggregated map-side.
+    """
+    if vectorised and gram_size == 3:
+        from . import lang_vec
+
+        src = df.select(F.col(label_col).alias("lang"), padded(F.col(text_col)).alias("u"))
+
+        def run(it):
+            for pdf in lang_vec.count_batches(it):
+                yield pd.DataFrame({"lang": pdf["lang"], "gram": [lang_vec.code_gram(int(c)) for c in pdf["code"]],
+                                    "n": pdf["n"]})
+
+        part = src.mapInPandas(run, "lang string, gram string, n long")
+        return part.groupBy("lang", "gram").agg(F.sum("n").cast("long").alias("n"))
     g = df.select(
         F.col(label_col).alias("lang"),
         F.explode_outer(_grams_of(F.col(text_col), gram_size, None)).alias("gram"),
@@ -61,31 +95,51 @@ def gram_counts(df: DataFrame, text_col: str = "text", label_col: str = "lang",
     return g.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _vector_arrays(spark, weights: DataFrame, v: int, langs, log_prior, log_unseen):
+    """Broadcast sorted gram codes and weights when their size is under the bound."""
+    from . import lang_vec
+
+    if v * (len(langs) + 1) * 8 > VEC_MAX_BYTES:
+        return None
+    rows = weights.select("gram", "w").collect()  # v rows, size checked above
+    codes = np.fromiter((lang_vec.gram_code(r["gram"]) for r in rows), dtype=np.int64, count=len(rows))
+    w = np.array([r["w"] for r in rows], dtype=np.float64).reshape(len(rows), len(langs))
+    order = np.argsort(codes)
+    payload = (codes[order], w[order], np.array(log_prior), np.array(log_unseen), list(langs), UNKNOWN)
+    return spark.sparkContext.broadcast(payload)
+
+
 def train_profile(df: DataFrame, text_col: str = "text", label_col: str = "lang",
                   gram_size: int = 3, alpha: float = 0.5,
-                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> LangProfile:
-    """Train the gram profile from labelled rows (whole texts)."""
-    counts = materialize(gram_counts(df, text_col, label_col, gram_size))
-    per_lang = counts.groupBy("lang").agg(F.sum("n").alias("N")).collect()
-    if len(per_lang) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+                  broadcast_max_rows: int = BROADCAST_MAX_ROWS, vectorised: bool = True) -> LangProfile:
+    """Train the gram profile from labelled rows (whole texts).
+
+    ``vectorised`` selects numpy gram counting/scoring inside tasks; the
+    row-wise join path is used otherwise, or when the profile is too large.
+    """
+    counts = materialize(gram_counts(df, text_col, label_col, gram_size, vectorised))
     docs = {
         r["lang"]: r["d"]
         for r in df.where(F.col(label_col).isNotNull())
         .groupBy(F.col(label_col).alias("lang")).agg(F.count(F.lit(1)).alias("d")).collect()
     }
-    langs = sorted(r["lang"] for r in per_lang)
-    big_n = {r["lang"]: r["N"] for r in per_lang}
-    v = counts.select("gram").distinct().count()
-    total_docs = sum(docs[lang] for lang in langs)
-    log_prior = [math.log(docs[lang] / total_docs) for lang in langs]
-    log_unseen = [math.log(alpha / (big_n[lang] + alpha * v)) for lang in langs]
+    if len(docs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels")
+    big_n = {r["lang"]: r["N"] for r in counts.groupBy("lang").agg(F.sum("n").alias("N")).collect()}
+    langs = sorted(big_n)
     w = F.log(F.col("n") + F.lit(alpha)) - F.lit(math.log(alpha))
     weights = counts.groupBy("gram").agg(
         *[F.sum(F.when(F.col("lang") == lang, w)).alias(f"_w{i}") for i, lang in enumerate(langs)]
     ).select("gram", F.array(*[F.coalesce(F.col(f"_w{i}"), F.lit(0.0)) for i in range(len(langs))]).alias("w"))
-    grams, hinted = broadcast_if_small(weights, broadcast_max_rows)
-    return LangProfile(langs, log_prior, log_unseen, grams, v, hinted, gram_size)
+    weights = materialize(weights)
+    v = weights.count()  # distinct grams
+    total_docs = sum(docs[lang] for lang in langs)
+    log_prior = [math.log(docs[lang] / total_docs) for lang in langs]
+    log_unseen = [math.log(alpha / (big_n[lang] + alpha * v)) for lang in langs]
+    grams, hinted = broadcast_if_small(weights, broadcast_max_rows, materialized=True)
+    arrays = (_vector_arrays(df.sparkSession, grams, v, langs, log_prior, log_unseen)
+              if vectorised and gram_size == 3 else None)
+    return LangProfile(langs, log_prior, log_unseen, grams, v, hinted, gram_size, arrays)
 
 
 def score(df: DataFrame, profile: LangProfile, text_col: str = "text", id_col: str = "ord",
@@ -117,9 +171,28 @@ def score(df: DataFrame, profile: LangProfile, text_col: str = "text", id_col: s
     )
 
 
+def detect_with(df: DataFrame, profile: LangProfile, text_col: str, keep: list[str],
+                sample_chars: int | None = None) -> DataFrame:
+    """``keep`` columns of every row plus its (lang, prob), scored in the task that
+    holds the text when the profile is broadcastable (no shuffle, no gram rows);
+    otherwise through the row-wise join of ``score`` on ``keep[0]`` (a unique id)."""
+    if profile.arrays is None:
+        det = detect(df.select(keep[0], text_col), profile, text_col, keep[0], sample_chars)
+        return df.select(*keep).join(det, keep[0], "left")
+    from . import lang_vec
+
+    bc = profile.arrays
+    src = df.select(*keep, padded(F.col(text_col), sample_chars).alias("u"))
+    fields = [f for f in src.schema.fields if f.name in keep]
+    schema = T.StructType(fields + [T.StructField("lang", T.StringType()), T.StructField("prob", T.DoubleType())])
+    return src.mapInPandas(lambda it: lang_vec.score_batches(it, bc, keep[0], keep), schema)
+
+
 def detect(df: DataFrame, profile: LangProfile, text_col: str = "text", id_col: str = "ord",
            sample_chars: int | None = None) -> DataFrame:
     """Every row of ``df`` (id, text) with its detected (lang, prob); unknown when no grams."""
+    if profile.arrays is not None:
+        return detect_with(df, profile, text_col, [id_col], sample_chars)
     s = score(df, profile, text_col, id_col, sample_chars)
     return (
         df.select(id_col).join(s, id_col, "left")

@@ -39,7 +39,12 @@ def build_vocab(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _sized(vocab: DataFrame, max_rows: int) -> DataFrame:
-    v, _ = broadcast_if_small(vocab, max_rows)
+    """Vocabulary side of a join: counted, and broadcast when under ``max_rows``.
+
+    ``build_vocab`` returns a checkpoint, so it is only counted here, not
+    written again.
+    """
+    v, _ = broadcast_if_small(vocab.select("token_id", "piece"), max_rows, materialized=True)
     return v
 
 
@@ -47,7 +52,7 @@ def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str
            out: str = "tokens", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(id, tokens: array<int>) for every row; pieces missing from the vocabulary
     make the row's tokens null (use a vocabulary built over the same texts)."""
-    v = _sized(vocab.select("piece", "token_id"), broadcast_max_rows)
+    v = _sized(vocab, broadcast_max_rows)
     occ = piece_table(df, text_col, id_col)
     joined = occ.join(v, "piece", "left")
     agg = joined.groupBy(id_col).agg(
@@ -68,7 +73,7 @@ def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str
 def decode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "ord",
            out: str = "text", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(id, text) by joining ids back to pieces; a row with an unknown id is left out."""
-    v = _sized(vocab.select("token_id", "piece"), broadcast_max_rows)
+    v = _sized(vocab, broadcast_max_rows)
     occ = df.select(F.col(id_col), F.posexplode_outer(F.col(tokens_col)).alias("pos", "token_id"))
     joined = occ.join(v, "token_id", "left")
     agg = joined.groupBy(id_col).agg(

@@ -69,15 +69,17 @@ def fates(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig
     pt = pii_text(F.col("clean"), cfg)
     feats = survivors.select(
         "ord",
+        "clean",
         (F.col("clean") == "").alias("is_empty"),
         (T.pii_found(F.col("clean"), pt) if cfg.do_pii else F.lit(False)).alias("pii_found"),
         dedup.text_key(pt).alias("key"),
         T.piece_count(pt).alias("n_tokens"),
         T.has_special_token(pt).alias("special"),
     )
-    detected = lang.detect(survivors.where(F.col("clean") != ""), profile, "clean", "ord",
-                           cfg.lang_sample_chars)
-    dec = feats.join(detected, "ord", "left")
+    # language of each record next to its features (same task when the
+    # profile is broadcastable, else one narrow join on ord)
+    keep = ["ord", "is_empty", "pii_found", "key", "n_tokens", "special"]
+    dec = lang.detect_with(feats, profile, "clean", keep, cfg.lang_sample_chars)
     batches = _batch_ids(survivors, cfg)
     if batches is not None:
         dec = dec.join(batches, "ord", "left")
@@ -160,6 +162,25 @@ def accounting(fate: DataFrame) -> DataFrame:
     ).withColumn("dropped_ref", F.col("dropped_true") + F.col("pii_replaced"))
 
 
+def accounting_from_counts(per_reason: list[tuple[str | None, int, int]]) -> tuple[dict, dict]:
+    """(accounting, drop reasons) from collected (reason, rows, pii rows) triples.
+
+    The grouped table has at most one row per fate (eight), so it is read on
+    the driver; reasons follow ``drop_reasons``, accounting ``accounting``.
+    """
+    n = {r: c for r, c, _ in per_reason}
+    pii = sum(p for _, _, p in per_reason)
+    dropped = sum(n.get(r, 0) for r in DROP_REASONS)
+    acc = {
+        "total": sum(n.values()), "malformed": n.get("malformed", 0), "light_empty": n.get("light_empty", 0),
+        "dropped_true": dropped, "pii_replaced": pii, "kept": n.get(None, 0), "dropped_ref": dropped + pii,
+    }
+    reasons = {r: n[r] for r in DROP_REASONS if n.get(r)}
+    if pii:
+        reasons[PII_REPLACED] = pii
+    return acc, reasons
+
+
 def prepare(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig(),
             output: str = "dual", vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Batch -> kept records + drop reasons (C1 tokens, C3 text, C4 dual).

@@ -35,13 +35,14 @@ def run_pipeline(spark: SparkSession, records: DataFrame, out_dir: str, profile:
     v = vocab if vocab is not None else tokens.build_vocab(kept)
     v.write.mode("overwrite").parquet(os.path.join(out_dir, "vocab"))
     enc = tokens.encode(kept, v, "text", "ord")
-    sharded = materialize(PL.shuffle_and_shard(enc, cfg))
+    sharded = PL.shuffle_and_shard(enc, cfg)  # positions come from a checkpointed sort
     shards_dir = os.path.join(out_dir, "shards")
     jsonl.write_shards(sharded, shards_dir)
     jsonl.combine_shards(spark, shards_dir, os.path.join(out_dir, "combined"))
-    reasons = {r["reason"]: r["n"] for r in PL.drop_reasons(fate).collect()}
-    acc = PL.accounting(fate).first().asDict()
-    n_shards = sharded.agg(F.countDistinct("shard_id")).first()[0]
+    per = fate.groupBy("reason").agg(F.count(F.lit(1)).alias("n"),
+                                     F.count_if("pii_found").alias("pii")).collect()
+    acc, reasons = PL.accounting_from_counts([(r["reason"], r["n"], r["pii"]) for r in per])
+    n_shards = -(-acc["kept"] // cfg.shard_size)  # consecutive shards of shard_size
     runtime = time.time() - t0
     summary = {
         "records_after_cleaning": acc["kept"],

@@ -60,14 +60,16 @@ def materialize(df: DataFrame) -> DataFrame:
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       materialized: bool = False) -> tuple[DataFrame, bool]:
     """Materialise ``df`` and broadcast it when its measured size allows.
 
     Returns the (checkpointed) frame, hinted for broadcast when it holds at
     most ``max_rows`` rows, and whether it was hinted.  Above the bound the
     caller's join stays a shuffle join (AQE splits skewed keys).
+    ``materialized``: ``df`` is already a checkpoint; only count it.
     """
-    m = materialize(df)
+    m = df if materialized else materialize(df)
     n = m.count()
     if n <= max_rows:
         return F.broadcast(m), True
