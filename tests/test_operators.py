@@ -144,3 +144,23 @@ def test_language_model_on_documents(spark):
     assert all(0.25 <= p <= 1.0 for p in probs)
     empty = spark.createDataFrame([(0, ""), (1, "   ")], "ord long, text string")
     assert {r["lang"] for r in lang.detect(empty, prof).collect()} == {"unknown"}
+
+
+def test_vectorised_and_join_paths_agree(spark):
+    from textprep.operators import lang_vec
+    from textprep.sources import tables
+
+    docs = tables.documents(spark, "/root/testdata/sf0.001")
+    fast = lang.train_profile(docs)
+    slow = lang.train_profile(docs, vectorised=False)
+    assert fast.arrays is not None and slow.arrays is None
+    assert fast.n_grams == slow.n_grams and fast.log_unseen == pytest.approx(slow.log_unseen)
+    a = {r["ord"]: (r["lang"], r["prob"]) for r in lang.detect(docs.select("ord", "text"), fast).collect()}
+    b = {r["ord"]: (r["lang"], r["prob"]) for r in lang.detect(docs.select("ord", "text"), slow).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1], abs=1e-9)
+    counts_v = {(r["lang"], r["gram"]): r["n"] for r in lang.gram_counts(docs).collect()}
+    counts_j = {(r["lang"], r["gram"]): r["n"] for r in lang.gram_counts(docs, vectorised=False).collect()}
+    assert counts_v == counts_j
+    assert lang_vec.code_gram(lang_vec.gram_code("a\U0001F600é")) == "a\U0001F600é"
