@@ -360,6 +360,59 @@ def q_jsonl_tolerant_scan(spark, sf):
     return jsonl.line_counters(jsonl.read_records(spark, path, "part-*"))
 
 
+def q_jsonl_pipeline(spark, sf):
+    """The waterfall over the derived JSON-lines files: every line's fate."""
+    recs = jsonl.read_records(spark, _derived_jsonl(spark, sf), "part-*")
+    f = PL.fates(recs, _profile(spark, sf), QCFG)
+    return f.groupBy(F.coalesce(F.col("reason"), F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_shard_record_shapes(spark, sf):
+    """Shard lines as objects, bare lists and other JSON, read back by shape."""
+    k = _key(spark, "shapes", sf)
+    if k not in _CACHE:
+        kt = _kept_tokens(spark, sf)
+        path = scratch_path(spark, f"shapes-{abs(hash(sf))}")
+        lines = (
+            kt.select(F.to_json(F.struct("tokens")).alias("value"))
+            .unionByName(kt.select(F.to_json(F.col("tokens")).alias("value")))
+            .unionByName(tables.table(spark, sf, "documents").select(F.to_json(F.struct("doc_id")).alias("value")))
+        )
+        lines.write.mode("overwrite").text(path)
+        _CACHE[k] = path
+    r = jsonl.read_token_records(spark, _CACHE[k], "part-*")
+    return r.groupBy("shape").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col("tokens").isNotNull(), F.size("tokens")).otherwise(0)).cast("long").alias("tokens"),
+    )
+
+
+def q_sample_first_n(spark, sf):
+    return rank.first_n(_kept_tokens(spark, sf), QCFG.similarity_sample, "pos").select(
+        F.col("ord").alias("doc_id"), "pos")
+
+
+def q_prepare_text(spark, sf):
+    return _kept(spark, sf).select(F.col("ord").alias("doc_id"), "text")
+
+
+def q_prepare_dual(spark, sf):
+    return _kept_tokens(spark, sf).select(F.col("ord").alias("doc_id"), "text",
+                                          F.array_join("tokens", " ").alias("tokens"))
+
+
+def _conv_fates(spark, sf):
+    k = _key(spark, "conv_fates", sf)
+    if k not in _CACHE:
+        _CACHE[k] = materialize(PL.fates(tables.conversation_turns(spark, sf), _profile(spark, sf), QCFG))
+    return _CACHE[k]
+
+
+def q_drop_reasons_merged(spark, sf):
+    """Reasons of the documents run plus those of the conversation-turns run."""
+    return PL.merge_reasons(PL.drop_reasons(_fates(spark, sf)), PL.drop_reasons(_conv_fates(spark, sf)))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "pii_replace": q_pii_replace,
@@ -404,6 +457,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "input_report": q_input_report,
     "output_report": q_output_report,
     "jsonl_tolerant_scan": q_jsonl_tolerant_scan,
+    "jsonl_pipeline": q_jsonl_pipeline,
+    "shard_record_shapes": q_shard_record_shapes,
+    "sample_first_n": q_sample_first_n,
+    "prepare_text": q_prepare_text,
+    "prepare_dual": q_prepare_dual,
+    "drop_reasons_merged": q_drop_reasons_merged,
 }
 
 

@@ -47,15 +47,28 @@ def words(t: str) -> str:
 
 D = "d AS (SELECT doc_id, lang AS label, text, " + clean("text") + " AS clean FROM documents)"
 
-# character 3-gram naive Bayes, add-0.5, trained on all labelled documents
-LANG = D + """,
+# conversation turns as a second corpus, ordered by (conv_id, turn)
+D_CONV = ("d AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS doc_id, NULL AS label, text, "
+          + clean("text") + " AS clean FROM conversations)")
+
+GRAMS = "unnest(list_transform(range(1, len(ch) - 1), lambda i: ch[i] || ch[i + 1] || ch[i + 2]))"
+
+
+def lang_ctes(target: str = D) -> str:
+    """Character 3-gram naive Bayes, add-0.5, trained on all labelled documents,
+    scoring the corpus of the ``d`` CTE given as ``target``."""
+    return target + """,
+tr AS (SELECT lang AS label, """ + clean("text") + """ AS clean FROM documents),
+gt AS (
+  SELECT label, """ + GRAMS + """ AS gram
+  FROM (SELECT label, string_split(' ' || lower(clean) || ' ', '') AS ch FROM tr)),
 g AS (
-  SELECT doc_id, label, unnest(list_transform(range(1, len(ch) - 1), lambda i: ch[i] || ch[i + 1] || ch[i + 2])) AS gram
-  FROM (SELECT doc_id, label, string_split(' ' || lower(clean) || ' ', '') AS ch FROM d)),
-gc AS (SELECT label AS lang, gram, count(*) AS n FROM g WHERE label IS NOT NULL GROUP BY 1, 2),
+  SELECT doc_id, """ + GRAMS + """ AS gram
+  FROM (SELECT doc_id, string_split(' ' || lower(clean) || ' ', '') AS ch FROM d)),
+gc AS (SELECT label AS lang, gram, count(*) AS n FROM gt WHERE label IS NOT NULL GROUP BY 1, 2),
 vv AS (SELECT count(DISTINCT gram) AS v FROM gc),
 nl AS (SELECT lang, sum(n) AS big_n FROM gc GROUP BY 1),
-pr AS (SELECT label AS lang, count(*) AS docs FROM d WHERE label IS NOT NULL GROUP BY 1),
+pr AS (SELECT label AS lang, count(*) AS docs FROM tr WHERE label IS NOT NULL GROUP BY 1),
 meta AS (
   SELECT nl.lang, ln(pr.docs / (SELECT sum(docs) FROM pr)) AS lp, ln(0.5 / (nl.big_n + 0.5 * vv.v)) AS lu
   FROM nl JOIN pr USING (lang) CROSS JOIN vv),
@@ -79,8 +92,15 @@ dl AS (
   SELECT d.doc_id, coalesce(det.lang, 'unknown') AS lang, coalesce(det.prob, 0.0) AS prob
   FROM d LEFT JOIN det USING (doc_id))"""
 
+
+LANG = lang_ctes(D)
+
 # the waterfall, dedup in batches of BATCH light-filter survivors
-PIPE = LANG + f""",
+def pipe(target: str = D) -> str:
+    return lang_ctes(target) + PIPE_TAIL
+
+
+PIPE_TAIL = f""",
 sv AS (SELECT doc_id, clean, row_number() OVER (ORDER BY doc_id) - 1 AS svpos FROM d WHERE clean <> ''),
 f AS (SELECT sv.doc_id, sv.svpos, dl.lang, sv.clean, {pii('sv.clean')} AS pt FROM sv JOIN dl USING (doc_id)),
 f2 AS (
@@ -131,6 +151,8 @@ out AS (
   SELECT k.doc_id, k.text, e.toks, s.pos, s.pos // {SHARD} AS shard_id
   FROM kept k JOIN enc e USING (doc_id) JOIN shuf s USING (doc_id))"""
 
+PIPE = pipe(D)
+
 
 def hist(vals_cte: str, k: int) -> str:
     """Equal-width histogram over ``x`` of ``vals_cte`` (same arithmetic as Spark)."""
@@ -350,4 +372,23 @@ ORACLE: dict[str, str] = {
              count(*) FILTER (WHERE err) AS json_errors,
              count(*) FILTER (WHERE NOT err AND trim(regexp_replace(text, '\s+', ' ', 'g')) <> '') AS valid
       FROM r""",
+    "jsonl_pipeline": "WITH " + PIPE + r""",
+      raw AS (SELECT regexp_replace(text, '[\r\n]+', ' ', 'g') AS value FROM documents),
+      rk AS (SELECT trim(regexp_replace(value, '\s+', ' ', 'g')) = '' AS blank,
+                    coalesce(try(json_type(value)) = 'OBJECT'
+                      AND coalesce(try(json_type(value, '$.text')) = 'VARCHAR', true), false) AS ok FROM raw),
+      allf AS (SELECT coalesce(reason, 'kept') AS reason FROM fate
+               UNION ALL SELECT CASE WHEN blank THEN 'light_empty' ELSE 'malformed' END FROM rk WHERE blank OR NOT ok
+               UNION ALL SELECT 'light_empty' FROM conversations)
+      SELECT reason, count(*) AS n FROM allf GROUP BY reason""",
+    "shard_record_shapes": "WITH " + PIPE + """
+      SELECT 'object' AS shape, count(*) AS n, CAST(sum(len(toks)) AS BIGINT) AS tokens FROM out
+      UNION ALL SELECT 'list', count(*), CAST(sum(len(toks)) AS BIGINT) FROM out
+      UNION ALL SELECT 'other', count(*), CAST(0 AS BIGINT) FROM documents""",
+    "sample_first_n": "WITH " + PIPE + f" SELECT doc_id, pos FROM out WHERE pos < {SAMPLE}",
+    "prepare_text": "WITH " + PIPE + " SELECT doc_id, text FROM kept",
+    "prepare_dual": "WITH " + PIPE + " SELECT doc_id, text, array_to_string(toks, ' ') AS tokens FROM out",
+    "drop_reasons_merged": "SELECT reason, CAST(sum(n) AS BIGINT) AS n FROM (SELECT * FROM (WITH " + pipe(D)
+                           + " SELECT reason, n FROM reasons) UNION ALL SELECT * FROM (WITH " + pipe(D_CONV)
+                           + " SELECT reason, n FROM reasons)) GROUP BY reason",
 }

@@ -70,8 +70,14 @@ def parse_records(lines: DataFrame) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, glob: str = GLOB) -> DataFrame:
-    """Tolerant record scan: (ord, text, blank, malformed)."""
-    return parse_records(read_lines(spark, path, glob))
+    """Tolerant record scan: (ord, text, blank, malformed).
+
+    Few large files (fewer splits than cores) are spread by ``ord`` once the
+    line order is fixed, so the text work is not done by a handful of tasks.
+    """
+    from .tables import spread
+
+    return parse_records(spread(read_lines(spark, path, glob), "ord"))
 
 
 def line_counters(records: DataFrame, limit: int | None = None) -> DataFrame:
