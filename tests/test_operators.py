@@ -164,3 +164,17 @@ def test_vectorised_and_join_paths_agree(spark):
     counts_j = {(r["lang"], r["gram"]): r["n"] for r in lang.gram_counts(docs, vectorised=False).collect()}
     assert counts_v == counts_j
     assert lang_vec.code_gram(lang_vec.gram_code("a\U0001F600é")) == "a\U0001F600é"
+
+
+def test_encode_decode_split_vocabulary(spark):
+    from textprep.sources import tables
+    from textprep.functions import text as T
+
+    docs = tables.documents(spark, "/root/testdata/sf0.001").select("ord", T.clean_text("text").alias("text"))
+    v = tokens.build_vocab(docs)
+    full = {r["ord"]: r["tokens"] for r in tokens.encode(docs, v).collect()}
+    split = {r["ord"]: r["tokens"] for r in tokens.encode(docs, v, broadcast_max_rows=50).collect()}
+    assert full == split
+    enc = tokens.encode(docs, v, broadcast_max_rows=50)
+    dec = {r["ord"]: r["text"] for r in tokens.decode(enc, v, broadcast_max_rows=50).collect()}
+    assert dec == {r["ord"]: r["text"] for r in docs.collect()}

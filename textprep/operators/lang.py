@@ -121,7 +121,8 @@ def train_profile(df: DataFrame, text_col: str = "text", label_col: str = "lang"
     docs = {
         r["lang"]: r["d"]
         for r in df.where(F.col(label_col).isNotNull())
-        .groupBy(F.col(label_col).alias("lang")).agg(F.count(F.lit(1)).alias("d")).collect()
+        .groupBy(F.col(label_col).alias("lang")).agg(F.count(F.lit(1)).alias("d"))
+        .limit(MAX_LANGUAGES + 1).collect()  # guard: labels must be a small set
     }
     if len(docs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels")

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import stats
 
 
@@ -58,9 +59,9 @@ def pair_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
     ``id_col`` must be a dense 0-based position (the sample's shuffled rank),
     which fixes the block of each sequence.
     """
-    u = unit_vectors(token_bag(df, id_col, tokens_col)).withColumn(
+    u = materialize(unit_vectors(token_bag(df, id_col, tokens_col)).withColumn(
         "b", F.floor(F.col("id") / F.lit(block)).cast("int")
-    )
+    ))
     n_blocks = u.agg(F.max("b")).first()[0]
     if n_blocks is None:
         return df.sparkSession.createDataFrame([], "i long, j long, cosine double")
@@ -89,7 +90,8 @@ def sample_cosine_stats(df: DataFrame, id_col: str = "pos", tokens_col: str = "t
     spark = df.sparkSession
     n_seq = df.count()
     pairs = n_seq * (n_seq - 1) // 2
-    pc = pair_cosines(df, id_col, tokens_col, block)
+    # read four times below (summary, median, range, bins): computed once
+    pc = materialize(pair_cosines(df, id_col, tokens_col, block))
     agg = pc.agg(F.count(F.lit(1)).alias("k"), F.sum("cosine").alias("s"),
                  F.min("cosine").alias("lo"), F.max("cosine").alias("hi")).first()
     k = agg["k"]

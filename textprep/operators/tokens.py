@@ -3,9 +3,10 @@
 Pieces come from the public cl100k pre-token split (``functions.patterns.PIECE``).
 The vocabulary is built from the data: each distinct piece gets an id by
 (frequency desc, piece) position, computed with the distributed global rank.
-Encoding joins pieces to the vocabulary; the vocabulary is broadcast only
-when its measured row count is under the bound, otherwise the join shuffles
-on the piece and AQE splits hot pieces.  Pieces of one text are put back in
+Encoding joins pieces to the vocabulary: the ids under the broadcast bound
+(the most frequent pieces, since ids are frequency ranks) are broadcast and
+resolve most occurrences map-side; only the remaining occurrences shuffle-join
+the rest of the vocabulary.  Pieces of one text are put back in
 order with ``collect_list`` of (position, id); the partial aggregate runs in
 the task that exploded the text, so one array per text crosses the shuffle.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import pieces
-from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, materialize
+from ..session import BROADCAST_MAX_ROWS, materialize
 from .rank import global_rank
 
 
@@ -38,23 +39,34 @@ def build_vocab(df: DataFrame, text_col: str = "text") -> DataFrame:
     return materialize(ranked.select(F.col("token_id").cast("int").alias("token_id"), "piece", "freq"))
 
 
-def _sized(vocab: DataFrame, max_rows: int) -> DataFrame:
-    """Vocabulary side of a join: counted, and broadcast when under ``max_rows``.
+def _lookup(occ: DataFrame, vocab: DataFrame, key: str, value: str, max_rows: int) -> DataFrame:
+    """Left-join ``occ`` to (key -> value) of the vocabulary.
 
-    ``build_vocab`` returns a checkpoint, so it is only counted here, not
-    written again.
+    Token ids are frequency ranks, so ids below ``max_rows`` are the most
+    frequent entries: they are broadcast (a bound proven by the id range) and
+    resolve most occurrences in the task that made them.  Only occurrences
+    still unresolved meet the rest of the vocabulary in a shuffle join.  When
+    the whole vocabulary is under the bound there is no shuffle join at all.
+    ``build_vocab`` returns a checkpoint, so counting it is cheap.
     """
-    v, _ = broadcast_if_small(vocab.select("token_id", "piece"), max_rows, materialized=True)
-    return v
+    n = vocab.count()
+    v = vocab.select(key, value)
+    hot = F.broadcast(v.where(F.col("token_id") < F.lit(max_rows)))
+    first = occ.join(hot, key, "left")
+    if n <= max_rows:
+        return first
+    done = first.where(F.col(value).isNotNull())
+    cold = v.where(F.col("token_id") >= F.lit(max_rows))
+    rest = first.where(F.col(value).isNull()).drop(value).join(cold, key, "left")
+    return done.unionByName(rest)
 
 
 def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "ord",
            out: str = "tokens", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(id, tokens: array<int>) for every row; pieces missing from the vocabulary
     make the row's tokens null (use a vocabulary built over the same texts)."""
-    v = _sized(vocab, broadcast_max_rows)
     occ = piece_table(df, text_col, id_col)
-    joined = occ.join(v, "piece", "left")
+    joined = _lookup(occ, vocab, "piece", "token_id", broadcast_max_rows)
     agg = joined.groupBy(id_col).agg(
         F.sort_array(F.collect_list(F.struct("pos", "token_id"))).alias("_p"),
         F.count_if(F.col("token_id").isNull()).alias("_miss"),
@@ -73,9 +85,8 @@ def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str
 def decode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "ord",
            out: str = "text", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(id, text) by joining ids back to pieces; a row with an unknown id is left out."""
-    v = _sized(vocab, broadcast_max_rows)
     occ = df.select(F.col(id_col), F.posexplode_outer(F.col(tokens_col)).alias("pos", "token_id"))
-    joined = occ.join(v, "token_id", "left")
+    joined = _lookup(occ, vocab, "token_id", "piece", broadcast_max_rows)
     agg = joined.groupBy(id_col).agg(
         F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "piece")))).alias("_p"),
         F.count_if(F.col("pos").isNotNull() & F.col("piece").isNull()).alias("_miss"),
