@@ -17,7 +17,11 @@ from ..session import materialize
 
 
 def global_rank(df: DataFrame, order: list[Column | str], out: str = "pos") -> DataFrame:
-    """Add a 0-based dense position ``out`` following ``order`` (keys must be unique)."""
+    """Add a 0-based dense position ``out`` following ``order`` (keys must be unique).
+
+    The range sort samples ``df`` in a pass of its own: pass a checkpoint or a
+    cheap plan, not one that repeats expensive work.
+    """
     ordered = materialize(df.orderBy(*order))
     tagged = ordered.select(
         "*",

@@ -11,7 +11,8 @@ Physical shape (what crosses a shuffle):
 * the text is read and cleaned map-side into a narrow feature row per
   record: (ord, pii_found, 32-byte dedup key, piece count, special flag);
 * language scores come back one row per record from the gram job;
-* the batch number (parity scope) comes from a distributed rank over ords;
+* the batch number (parity scope) comes from a distributed rank of the
+  narrow table by ord;
 * first copies: ``groupBy(batch, key).min(ord)`` joined back on ord;
 * only kept rows meet their text again, in one join on ``ord``.
 """
@@ -40,13 +41,18 @@ def normalize_input(df: DataFrame) -> DataFrame:
     )
 
 
-def _batch_ids(survivors: DataFrame, cfg: PrepConfig) -> DataFrame | None:
-    if cfg.dedup_scope == "global":
-        return None
-    if cfg.dedup_scope != "batch":
+def _with_batch_ids(dec: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, str | None]:
+    """Checkpoint the decision table; for the batch scope, number its rows in
+    ``ord`` order (distributed rank) and cut batches."""
+    if cfg.dedup_scope not in ("batch", "global"):
         raise ValueError(f"dedup_scope must be 'batch' or 'global', got {cfg.dedup_scope!r}")
-    ranked = rank.global_rank(survivors.select("ord"), [F.col("ord")], "_sv")
-    return ranked.select("ord", F.floor(F.col("_sv") / F.lit(cfg.batch_size)).alias("batch_id"))
+    # checkpoint before any sort: a range sort samples its input in a separate
+    # pass, which would otherwise run the text features and the language model twice
+    dec = materialize(dec)
+    if cfg.dedup_scope == "global":
+        return dec, None
+    ranked = rank.global_rank(dec, [F.col("ord")], "_sv")
+    return ranked.withColumn("batch_id", F.floor(F.col("_sv") / F.lit(cfg.batch_size))).drop("_sv"), "batch_id"
 
 
 def pii_text(clean: Column, cfg: PrepConfig) -> Column:
@@ -80,16 +86,12 @@ def fates(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig
     # profile is broadcastable, else one narrow join on ord)
     keep = ["ord", "is_empty", "pii_found", "key", "n_tokens", "special"]
     dec = lang.detect_with(feats, profile, "clean", keep, cfg.lang_sample_chars)
-    batches = _batch_ids(survivors, cfg)
-    if batches is not None:
-        dec = dec.join(batches, "ord", "left")
-    # the narrow decision table feeds both sides of the first-copy join;
-    # checkpoint it so the gram job and the text features run once
-    dec = materialize(dec)
+    # the narrow decision table feeds both sides of the first-copy join: it is
+    # checkpointed (for the batch scope by the sort that numbers survivors in
+    # input order), so the text work and the language model run once
+    dec, scope_col = _with_batch_ids(dec, cfg)
     english = ~F.col("is_empty") & (F.col("lang") == F.lit(cfg.target_lang))
-    dec = dedup.mark_first(
-        dec, "key", "ord", "batch_id" if batches is not None else None, eligible=english
-    )
+    dec = dedup.mark_first(dec, "key", "ord", scope_col, eligible=english)
     in_len = tokens.length_ok(F.col("n_tokens"), cfg.min_tokens, cfg.max_tokens)
     reason = (
         F.when(F.col("is_empty"), F.lit("empty"))
