@@ -413,6 +413,24 @@ def q_drop_reasons_merged(spark, sf):
     return PL.merge_reasons(PL.drop_reasons(_fates(spark, sf)), PL.drop_reasons(_conv_fates(spark, sf)))
 
 
+def q_residual_pii_histogram(spark, sf):
+    """Residual report-pattern PII per output text, unit bins capped at 10."""
+    k = _kept(spark, sf).select(T.pii_counts("text")["total"].alias("total"))
+    return R.rounded(stats.integer_histogram(k, "total", 10))
+
+
+def q_lexical_diversity_histogram(spark, sf):
+    """Lexical diversity of output texts with words, 30 bins."""
+    k = _kept(spark, sf).select(T.lexical_diversity("text").alias("d"))
+    return R.rounded(stats.histogram(k, "d", 30), 6)
+
+
+def q_token_bag(spark, sf):
+    """Sparse bag-of-tokens vectors of the output sequences."""
+    b = similarity.token_bag(_kept_tokens(spark, sf), "ord", "tokens")
+    return b.select(F.col("id").alias("doc_id"), F.col("token").cast("long").alias("token"), "n")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "pii_replace": q_pii_replace,
@@ -463,6 +481,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prepare_text": q_prepare_text,
     "prepare_dual": q_prepare_dual,
     "drop_reasons_merged": q_drop_reasons_merged,
+    "residual_pii_histogram": q_residual_pii_histogram,
+    "lexical_diversity_histogram": q_lexical_diversity_histogram,
+    "token_bag": q_token_bag,
 }
 
 

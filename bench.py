@@ -32,8 +32,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     scratch = tempfile.mkdtemp(prefix="textprep-bench-")
-    spark = build_session(cpus, shuffle_partitions=int(cpus) * 2)
-    spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
+    spark = build_session(cpus, shuffle_partitions=int(cpus) * 2)  # sets a checkpoint folder only if none is set
     docs = tables.documents(spark, sf_dir)
     n_docs = docs.count()
     cfg = PrepConfig()

@@ -391,4 +391,17 @@ ORACLE: dict[str, str] = {
     "drop_reasons_merged": "SELECT reason, CAST(sum(n) AS BIGINT) AS n FROM (SELECT * FROM (WITH " + pipe(D)
                            + " SELECT reason, n FROM reasons) UNION ALL SELECT * FROM (WITH " + pipe(D_CONV)
                            + " SELECT reason, n FROM reasons)) GROUP BY reason",
+    "residual_pii_histogram": "WITH " + PIPE + ", pct AS (SELECT " + nmatch("text", RE_R_EMAIL) + " + "
+                              + nmatch("text", RE_R_PHONE) + " + " + nmatch("text", RE_R_SSN) + """ AS total FROM kept),
+      e AS (SELECT least(max(total) + 2, 10) - 1 AS last_edge FROM pct),
+      c AS (SELECT least(total, last_edge - 1) AS bin, count(*) AS n FROM pct CROSS JOIN e
+            WHERE total >= 0 AND total <= last_edge GROUP BY 1)
+      SELECT CAST(r.range AS INTEGER) AS bin, r.range AS lo, r.range + 1 AS hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n,
+             round(coalesce(c.n, 0) / (SELECT sum(n) FROM c), 4) AS density
+      FROM e CROSS JOIN range(e.last_edge) r LEFT JOIN c ON c.bin = r.range""",
+    "lexical_diversity_histogram": "WITH " + hist(PIPE + ", m AS (SELECT len(" + words("text") + ") AS w, len(list_distinct("
+                                                  + words("lower(text)") + ")) AS u FROM kept), "
+                                                  "vals AS (SELECT u / w AS x FROM m WHERE w > 0)", 30),
+    "token_bag": "WITH " + PIPE + """ SELECT doc_id, CAST(t AS BIGINT) AS token, count(*) AS n
+      FROM (SELECT doc_id, unnest(toks) AS t FROM out) GROUP BY 1, 2""",
 }
