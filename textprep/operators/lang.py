@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import char_grams, clean_text
-from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, materialize
+from ..session import BROADCAST_MAX_ROWS, broadcast_if_small, materialize, ship_package
 
 UNKNOWN = "unknown"
 MAX_LANGUAGES = 1000  # labels are collected to the driver; refuse anything unbounded
@@ -79,6 +79,7 @@ def gram_counts(df: DataFrame, text_col: str = "text", label_col: str = "lang",
     if vectorised and gram_size == 3:
         from . import lang_vec
 
+        ship_package(df.sparkSession)
         src = df.select(F.col(label_col).alias("lang"), padded(F.col(text_col)).alias("u"))
 
         def run(it):
@@ -182,6 +183,7 @@ def detect_with(df: DataFrame, profile: LangProfile, text_col: str, keep: list[s
         return df.select(*keep).join(det, keep[0], "left")
     from . import lang_vec
 
+    ship_package(df.sparkSession)
     bc = profile.arrays
     src = df.select(*keep, padded(F.col(text_col), sample_chars).alias("u"))
     fields = [f for f in src.schema.fields if f.name in keep]
