@@ -206,6 +206,10 @@ def prepare(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConf
 
 
 def shuffle_and_shard(records: DataFrame, cfg: PrepConfig = PrepConfig(), id_col: str = "ord") -> DataFrame:
-    """Seeded shuffle then consecutive shards (C6): adds pos, shard_id."""
-    shuffled = rank.seeded_shuffle(records, id_col, cfg.seed, "pos")
-    return rank.assign_shards(shuffled, cfg.shard_size, "pos")
+    """Seeded shuffle then consecutive shards (C6): adds pos, shard_id.
+
+    Only the record ids are sorted (and checkpointed); positions join back on
+    the id, so the token arrays are not sorted or written an extra time.
+    """
+    positions = rank.seeded_shuffle(records.select(id_col), id_col, cfg.seed, "pos")
+    return rank.assign_shards(records.join(positions, id_col), cfg.shard_size, "pos")
