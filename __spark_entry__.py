@@ -431,6 +431,11 @@ def q_token_bag(spark, sf):
     return b.select(F.col("id").alias("doc_id"), F.col("token").cast("long").alias("token"), "n")
 
 
+def q_lang_confidence_histogram(spark, sf):
+    """Distribution of detection confidence, 50 equal bins (A7's violin as a table)."""
+    return R.rounded(stats.histogram(_detected(spark, sf), "prob", 50), 6)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "pii_replace": q_pii_replace,
@@ -484,6 +489,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "residual_pii_histogram": q_residual_pii_histogram,
     "lexical_diversity_histogram": q_lexical_diversity_histogram,
     "token_bag": q_token_bag,
+    "lang_confidence_histogram": q_lang_confidence_histogram,
 }
 
 

@@ -50,6 +50,8 @@ def run_pipeline(spark: SparkSession, records: DataFrame, out_dir: str, profile:
         "shard_size": cfg.shard_size,
         "drop_reasons": reasons,
         "runtime_sec": runtime,
+        # Records written per second, only when a runtime was measured
+        "throughput_records_per_sec": (acc["kept"] / runtime) if runtime > 0 else None,
         "text_output": os.path.join(out_dir, "text"),
         "token_output": os.path.join(out_dir, "combined"),
         "accounting": acc,
