@@ -404,5 +404,5 @@ ORACLE: dict[str, str] = {
                                                   "vals AS (SELECT u / w AS x FROM m WHERE w > 0)", 30),
     "token_bag": "WITH " + PIPE + """ SELECT doc_id, CAST(t AS BIGINT) AS token, count(*) AS n
       FROM (SELECT doc_id, unnest(toks) AS t FROM out) GROUP BY 1, 2""",
-    "lang_confidence_histogram": "WITH " + hist(LANG + ", vals AS (SELECT prob AS x FROM dl)", 50),
+    "lang_confidence_histogram": "WITH " + hist(LANG + ", vals AS (SELECT round(prob, 4) AS x FROM dl)", 50),
 }

@@ -81,14 +81,9 @@ def gram_counts(df: DataFrame, text_col: str = "text", label_col: str = "lang",
 
         ship_package(df.sparkSession)
         src = df.select(F.col(label_col).alias("lang"), padded(F.col(text_col)).alias("u"))
-
-        def run(it):
-            for pdf in lang_vec.count_batches(it):
-                yield pd.DataFrame({"lang": pdf["lang"], "gram": [lang_vec.code_gram(int(c)) for c in pdf["code"]],
-                                    "n": pdf["n"]})
-
-        part = src.mapInPandas(run, "lang string, gram string, n long")
-        return part.groupBy("lang", "gram").agg(F.sum("n").cast("long").alias("n"))
+        part = src.mapInPandas(lang_vec.count_batches, "lang string, code long, n long")
+        summed = part.groupBy("lang", "code").agg(F.sum("n").cast("long").alias("n"))
+        return summed.select("lang", code_to_gram(F.col("code")).alias("gram"), "n")
     g = df.select(
         F.col(label_col).alias("lang"),
         F.explode_outer(_grams_of(F.col(text_col), gram_size, None)).alias("gram"),
@@ -96,18 +91,46 @@ def gram_counts(df: DataFrame, text_col: str = "text", label_col: str = "lang",
     return g.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _vector_arrays(spark, weights: DataFrame, v: int, langs, log_prior, log_unseen):
-    """Broadcast sorted gram codes and weights when their size is under the bound."""
+_M21 = (1 << 21) - 1
+
+
+def code_to_gram(code: Column) -> Column:
+    """The 3-code-point string of a gram code (21 bits per code point)."""
+    hex8 = lambda e: F.lpad(F.hex(e), 8, "0")
+    return F.decode(F.unhex(F.concat(
+        hex8(F.shiftright(code, 42)), hex8(F.shiftright(code, 21).bitwiseAND(_M21)), hex8(code.bitwiseAND(_M21))
+    )), "UTF-32")
+
+
+def gram_to_code(gram: Column) -> Column:
+    """Code of a 3-code-point gram: its UTF-32 code points packed into 63 bits."""
+    b = F.encode(gram, "UTF-32")
+    cp = [F.conv(F.hex(F.substring(b, 4 * i + 1, 4)), 16, 10).cast("long") for i in range(3)]
+    return F.shiftleft(cp[0], 42).bitwiseOR(F.shiftleft(cp[1], 21)).bitwiseOR(cp[2])
+
+
+def _vector_arrays(counts: DataFrame, nnz: int, v: int, langs, log_prior, log_unseen, alpha: float):
+    """Broadcast the sparse profile when its size is under the bound (else None).
+
+    Entries travel to the driver as Arrow (one row per (lang, gram), count
+    measured first); the broadcast holds codes, row pointers, language
+    indexes and weights.
+    """
     from . import lang_vec
 
-    if v * (len(langs) + 1) * 8 > VEC_MAX_BYTES:
+    if v * 16 + nnz * 12 > VEC_MAX_BYTES:
         return None
-    rows = weights.select("gram", "w").collect()  # v rows, size checked above
-    codes = np.fromiter((lang_vec.gram_code(r["gram"]) for r in rows), dtype=np.int64, count=len(rows))
-    w = np.array([r["w"] for r in rows], dtype=np.float64).reshape(len(rows), len(langs))
-    order = np.argsort(codes)
-    payload = (codes[order], w[order], np.array(log_prior), np.array(log_unseen), list(langs), UNKNOWN)
-    return spark.sparkContext.broadcast(payload)
+    names = F.array(*[F.lit(x) for x in langs])
+    t = counts.select(
+        (F.array_position(names, F.col("lang")) - 1).cast("int").alias("li"),
+        gram_to_code(F.col("gram")).alias("code"),
+        (F.log(F.col("n") + F.lit(alpha)) - F.lit(math.log(alpha))).alias("w"),
+    ).toArrow()
+    li = t.column("li").to_numpy()
+    codes = t.column("code").to_numpy()
+    w = t.column("w").to_numpy()
+    payload = (*lang_vec.build_csr(li, codes, w), np.array(log_prior), np.array(log_unseen), list(langs), UNKNOWN)
+    return counts.sparkSession.sparkContext.broadcast(payload)
 
 
 def train_profile(df: DataFrame, text_col: str = "text", label_col: str = "lang",
@@ -127,20 +150,24 @@ def train_profile(df: DataFrame, text_col: str = "text", label_col: str = "lang"
     }
     if len(docs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels")
-    big_n = {r["lang"]: r["N"] for r in counts.groupBy("lang").agg(F.sum("n").alias("N")).collect()}
+    per_lang = counts.groupBy("lang").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("e")).collect()
+    big_n = {r["lang"]: r["N"] for r in per_lang}
+    nnz = sum(r["e"] for r in per_lang)
     langs = sorted(big_n)
+    v = counts.agg(F.count_distinct("gram")).first()[0]
+    total_docs = sum(docs[lang] for lang in langs)
+    log_prior = [math.log(docs[lang] / total_docs) for lang in langs]
+    log_unseen = [math.log(alpha / (big_n[lang] + alpha * v)) for lang in langs]
     w = F.log(F.col("n") + F.lit(alpha)) - F.lit(math.log(alpha))
     weights = counts.groupBy("gram").agg(
         *[F.sum(F.when(F.col("lang") == lang, w)).alias(f"_w{i}") for i, lang in enumerate(langs)]
     ).select("gram", F.array(*[F.coalesce(F.col(f"_w{i}"), F.lit(0.0)) for i in range(len(langs))]).alias("w"))
-    weights = materialize(weights)
-    v = weights.count()  # distinct grams
-    total_docs = sum(docs[lang] for lang in langs)
-    log_prior = [math.log(docs[lang] / total_docs) for lang in langs]
-    log_unseen = [math.log(alpha / (big_n[lang] + alpha * v)) for lang in langs]
-    grams, hinted = broadcast_if_small(weights, broadcast_max_rows, materialized=True)
-    arrays = (_vector_arrays(df.sparkSession, grams, v, langs, log_prior, log_unseen)
+    arrays = (_vector_arrays(counts, nnz, v, langs, log_prior, log_unseen, alpha)
               if vectorised and gram_size == 3 else None)
+    if arrays is None:
+        grams, hinted = broadcast_if_small(weights, broadcast_max_rows)
+    else:  # only the fallback and the profile export read the row form; kept lazy
+        grams, hinted = weights, False
     return LangProfile(langs, log_prior, log_unseen, grams, v, hinted, gram_size, arrays)
 
 

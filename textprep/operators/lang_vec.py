@@ -7,9 +7,12 @@ up in the sorted profile codes with ``searchsorted`` and summed per text
 with ``bincount``.  No gram becomes a row, and scoring needs no shuffle: the
 language comes out in the task that read the text.
 
-The profile travels as a broadcast variable (sorted codes and a weight
-matrix); it is only used when its measured size is under a bound, else the
-row-wise join path of ``lang`` runs instead.  Chunks of at most
+The profile travels as a broadcast variable in sparse row form: sorted gram
+codes, row pointers, and per entry a language index and a weight (most grams
+occur in few languages).  It is only used when its measured size is under a
+bound, else the row-wise join path of ``lang`` runs instead.  Per text the
+(gram, count) pairs are pre-aggregated before the sparse rows are expanded,
+in slices of at most ``EXPAND_MAX`` entries.  Chunks of at most
 ``CHUNK_CODEPOINTS`` code points bound the memory of one task, whatever the
 batch holds (a single longer text is processed alone).
 """
@@ -22,6 +25,7 @@ import numpy as np
 import pandas as pd
 
 CHUNK_CODEPOINTS = 1 << 23
+EXPAND_MAX = 1 << 24
 MASK21 = (1 << 21) - 1
 
 
@@ -74,9 +78,18 @@ def count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"lang": lang, "code": codes, "n": counts.astype(np.int64)})
 
 
+def build_csr(lang_idx: np.ndarray, codes: np.ndarray, weights: np.ndarray):
+    """Sparse rows from (lang index, code, weight) entries: (codes, indptr, lang, w)."""
+    order = np.lexsort((lang_idx, codes))
+    c, li, w = codes[order], lang_idx[order].astype(np.int32), weights[order]
+    uniq, first = np.unique(c, return_index=True)
+    indptr = np.append(first, len(c)).astype(np.int64)
+    return uniq, indptr, li, w
+
+
 def score_batches(batches: Iterator[pd.DataFrame], bc, id_col: str, keep: list[str]) -> Iterator[pd.DataFrame]:
     """Rows of (keep..., lang, prob) from rows of (keep..., u)."""
-    codes, weights, log_prior, log_unseen, langs, unknown = bc.value
+    codes, indptr, lidx, wts, log_prior, log_unseen, langs, unknown = bc.value
     v = len(codes)
     n_lang = len(langs)
     lang_arr = np.array(langs, dtype=object)
@@ -88,15 +101,29 @@ def score_batches(batches: Iterator[pd.DataFrame], bc, id_col: str, keep: list[s
             m = b - a
             g, owner = _codes(texts[a:b])
             k = np.zeros(m)
-            s = np.zeros((m, n_lang))
+            s = np.zeros(m * n_lang)
             if len(g) and v:
                 idx = np.minimum(np.searchsorted(codes, g), v - 1)
                 hit = codes[idx] == g
                 o, ix = owner[hit], idx[hit]
                 k = np.bincount(o, minlength=m).astype(np.float64)
-                for j in range(n_lang):
-                    s[:, j] = np.bincount(o, weights=weights[ix, j], minlength=m)
-            sc = log_prior[None, :] + k[:, None] * log_unseen[None, :] + s
+                pair, cnt = np.unique(o * v + ix, return_counts=True)
+                po, pix = pair // v, pair % v
+                st = indptr[pix]
+                ln = indptr[pix + 1] - st
+                ends = np.cumsum(ln)
+                lo = 0
+                while lo < len(pair):  # slices of at most EXPAND_MAX expanded entries
+                    hi = int(np.searchsorted(ends, ends[lo] - ln[lo] + EXPAND_MAX, side="right"))
+                    hi = max(hi, lo + 1)
+                    sl_ln = ln[lo:hi]
+                    tot = int(sl_ln.sum())
+                    rep = np.repeat(np.arange(lo, hi), sl_ln)
+                    pos = st[rep] + (np.arange(tot) - np.repeat(np.cumsum(sl_ln) - sl_ln, sl_ln))
+                    s += np.bincount(po[rep] * n_lang + lidx[pos], weights=wts[pos] * cnt[rep],
+                                     minlength=m * n_lang)
+                    lo = hi
+            sc = log_prior[None, :] + k[:, None] * log_unseen[None, :] + s.reshape(m, n_lang)
             best = sc.max(axis=1)
             arg = sc.argmax(axis=1)
             prob = 1.0 / np.exp(sc - best[:, None]).sum(axis=1)
