@@ -15,9 +15,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     A large corpus arrives in many splits and is left alone.  A small file with
     a single row group would otherwise put every regex and gram of the corpus
-    in one task.  The spread copy is checkpointed (it is small by the test
-    above), so branches that read it do not repeat the shuffle, and joins on
-    ``key`` reuse its hash partitioning instead of moving the text again.
+    in one task.  The spread copy is checkpointed, so the branches that read
+    it do not repeat the shuffle.
     """
     from ..session import materialize
 
