@@ -7,9 +7,9 @@ A character 3-gram naive Bayes with add-``alpha`` smoothing.
   by key (so frequent grams never skew a task).
 * The profile is one row per gram with a fixed-order weight array, one entry
   per language; it is checkpointed and its size measured.
-* Scoring, fast path: the profile (under a size bound) is broadcast as sorted
-  gram codes + weight matrix and each task scores the texts it reads with
-  numpy: no gram rows, no shuffle.  Fallback for a larger profile: explode the
+* Scoring, fast path: the profile (under a size bound) is broadcast as sparse
+  rows of gram codes (codes, row pointers, language index, weight) and each
+  task scores the texts it reads with numpy: no gram rows, no shuffle.  Fallback for a larger profile: explode the
   grams, join the profile (broadcast under a row bound, else a shuffle join
   where AQE splits hot grams) and sum the weight arrays per document (partial
   sums map-side).
