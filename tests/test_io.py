@@ -81,3 +81,33 @@ def test_whole_job_on_jsonl(spark, scratch):
 
     pf = PL.fates(docs, prof, cfg)
     assert pf.where(F.col("reason").isNull()).count() == kept
+
+
+def test_reports_on_files(spark, scratch):
+    from textprep.plans import reports as R
+    from textprep.plans.run import run_jsonl
+
+    docs = tables.documents(spark, "/root/testdata/sf0.001")
+    src = os.path.join(scratch, "raw")
+    docs.orderBy("doc_id").select("text").coalesce(1).write.json(src)
+    for p in os.listdir(src):
+        if p.endswith(".json"):
+            os.rename(os.path.join(src, p), os.path.join(src, p[:-5] + ".jsonl"))
+    prof = lang.train_profile(docs)
+    cfg = PrepConfig(batch_size=50, shard_size=20, similarity_sample=40)
+    inp = R.input_report_files(spark, src, prof, cfg)
+    s = {r["metric"]: r["value"] for r in inp["summary"].collect()}
+    assert s["lines"] == 200 and s["valid"] == 200 and s["json_errors"] == 0
+    assert sum(r["n"] for r in inp["languages_top"].collect()) == 200
+    out = os.path.join(scratch, "out")
+    summary = run_jsonl(spark, src, out, prof, cfg)
+    rep = R.output_report_files(spark, out, cfg)
+    o = {r["metric"]: r["value"] for r in rep["summary"].collect()}
+    assert o["records"] == summary["records_after_cleaning"]
+    assert o["shards"] == summary["shards"]
+    assert o["input_true"] == summary["accounting"]["kept"] + summary["accounting"]["dropped_true"]
+    corpus = R.read_output(spark, out)
+    texts = {r["text"] for r in corpus.collect()}
+    written = {r["text"] for r in spark.read.json(os.path.join(out, "text")).collect()}
+    assert texts == written  # decode(shards) is exactly the written text output
+    assert rep["cosine_sample"].first()["sequences"] == 40

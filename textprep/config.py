@@ -22,9 +22,11 @@ class PrepConfig:
     seed: int = 42
     shard_size: int = 5000
     # reports
-    report_sample_lines: int | None = 50_000     # input report: first N lines (None = all)
-    similarity_sample: int = 500                 # output report: first N shuffled sequences
-    decode_sample: int | None = 1000             # output report: first N decoded texts (None = all)
+    # reports run over whole inputs; the reference's caps (first 50,000 lines,
+    # first 1,000 decoded texts) are available as parameters for parity
+    report_sample_lines: int | None = None       # input report: first N lines
+    decode_sample: int | None = None             # output report: first N decoded texts
+    similarity_sample: int = 500                 # pairwise cosine: first N shuffled sequences (quadratic)
     others_share: float = 0.001                  # languages under this share roll up to "Others"
     residual_pii_warn_pct: float = 1.0
 

@@ -21,10 +21,10 @@ from ..session import BROADCAST_MAX_ROWS, materialize
 from .rank import global_rank
 
 
-def piece_table(df: DataFrame, text_col: str = "text", id_col: str = "ord") -> DataFrame:
+def piece_table(df: DataFrame, text_col: str = "text", id_col: str = "ord", pos_col: str = "pos") -> DataFrame:
     """(id, pos, piece): one row per piece occurrence, in text order."""
     return df.select(
-        F.col(id_col), F.posexplode_outer(pieces(F.col(text_col))).alias("pos", "piece")
+        F.col(id_col), F.posexplode_outer(pieces(F.col(text_col))).alias(pos_col, "piece")
     ).where(F.col("piece").isNotNull())
 
 
@@ -65,10 +65,10 @@ def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str
            out: str = "tokens", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(id, tokens: array<int>) for every row; pieces missing from the vocabulary
     make the row's tokens null (use a vocabulary built over the same texts)."""
-    occ = piece_table(df, text_col, id_col)
+    occ = piece_table(df, text_col, id_col, "_at")
     joined = _lookup(occ, vocab, "piece", "token_id", broadcast_max_rows)
     agg = joined.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "token_id"))).alias("_p"),
+        F.sort_array(F.collect_list(F.struct("_at", "token_id"))).alias("_p"),
         F.count_if(F.col("token_id").isNull()).alias("_miss"),
     )
     enc = agg.select(
@@ -85,11 +85,11 @@ def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str
 def decode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "ord",
            out: str = "text", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(id, text) by joining ids back to pieces; a row with an unknown id is left out."""
-    occ = df.select(F.col(id_col), F.posexplode_outer(F.col(tokens_col)).alias("pos", "token_id"))
+    occ = df.select(F.col(id_col), F.posexplode_outer(F.col(tokens_col)).alias("_at", "token_id"))
     joined = _lookup(occ, vocab, "token_id", "piece", broadcast_max_rows)
     agg = joined.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "piece")))).alias("_p"),
-        F.count_if(F.col("pos").isNotNull() & F.col("piece").isNull()).alias("_miss"),
+        F.sort_array(F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "piece")))).alias("_p"),
+        F.count_if(F.col("_at").isNotNull() & F.col("piece").isNull()).alias("_miss"),
     )
     return agg.where(F.col("_miss") == 0).select(
         id_col, F.array_join(F.transform("_p", lambda s: s["piece"]), "").alias(out)

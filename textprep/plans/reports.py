@@ -191,3 +191,86 @@ def output_report(corpus: DataFrame, fate_acc: DataFrame | None = None, runtime_
     if runtime_sec:
         values["records_per_sec"] = tot["n"] / runtime_sec  # A17: only when runtime > 0
     return _long(spark, "output", values)
+
+
+def input_report_files(spark, raw_dir: str, profile, cfg=None) -> dict[str, DataFrame]:
+    """The input report (C8) on ``*.jsonl`` files: summary and distribution tables."""
+    from ..config import PrepConfig
+    from ..operators import lang
+    from ..sources import jsonl
+
+    cfg = cfg or PrepConfig()
+    recs = jsonl.read_records(spark, raw_dir)
+    if cfg.report_sample_lines is not None:  # L3
+        recs = recs.where(F.col("ord") < F.lit(cfg.report_sample_lines))
+    valid = recs.where(~F.col("blank") & ~F.col("malformed") & (T.clean_text(F.col("text")) != ""))
+    det = lang.detect(valid.select("ord", "text"), profile)
+    return {
+        "summary": input_report(recs, det),
+        "languages_top": lang_top(det, 5),
+        "languages_rollup": lang_rollup(det, cfg.others_share),
+        "confidence": lang_confidence(det),
+        "confidence_hist": stats.histogram(det.select(F.round("prob", 4).alias("prob")), "prob", 50),
+        "pii_hist": stats.integer_histogram(valid.select(T.pii_counts("text")["total"].alias("total")), "total", 20),
+    }
+
+
+def read_output(spark, out_dir: str, decode_sample: int | None = None) -> DataFrame:
+    """Written shards back as (pos, shard_id, tokens, text) in numeric shard order.
+
+    ``text`` is decoded with the written vocabulary; with ``decode_sample`` only
+    the first N positions are decoded (the rest keep a null text).
+    """
+    import os
+
+    from ..operators import rank, tokens
+
+    sh = spark.read.schema("tokens array<int>, shard_id int").json(os.path.join(out_dir, "shards"))
+    sh = sh.select("shard_id", "tokens", F.col("_metadata.file_path").alias("_f"),
+                   F.monotonically_increasing_id().alias("_m"))
+    ranked = rank.global_rank(sh, [F.col("shard_id"), F.col("_f"), F.col("_m")], "pos").drop("_f", "_m")
+    vocab = spark.read.parquet(os.path.join(out_dir, "vocab"))
+    todo = ranked if decode_sample is None else ranked.where(F.col("pos") < F.lit(decode_sample))
+    text = tokens.decode(todo, vocab, "tokens", "pos", "text")
+    return ranked.join(text, "pos", "left")
+
+
+def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
+    """The output report (C9) on a written output folder: summary and tables."""
+    import os
+
+    from ..config import DROP_REASONS, PrepConfig
+    from ..operators import rank, similarity
+    from ..session import materialize
+    from .run import read_json_object
+
+    cfg = cfg or PrepConfig()
+    corpus = materialize(read_output(spark, out_dir, cfg.decode_sample))
+    texts = corpus.where(F.col("text").isNotNull())
+    meta = read_json_object(spark, os.path.join(out_dir, "pipeline_summary.json"))
+    reasons = spark.createDataFrame(
+        sorted((meta.get("drop_reasons") or {}).items()), "reason string, n long"
+    )
+    dropped_true = sum(n for r, n in (meta.get("drop_reasons") or {}).items() if r in DROP_REASONS)
+    pii = (meta.get("drop_reasons") or {}).get("pii_replaced", 0)
+    kept = corpus.count()
+    acc = spark.createDataFrame([(kept, dropped_true, dropped_true + pii, pii)],
+                                "kept long, dropped_true long, dropped_ref long, pii_replaced long")
+    runtime = meta.get("runtime_sec") or None
+    sample = rank.first_n(corpus, cfg.similarity_sample, "pos")
+    cos_summary, cos_hist = similarity.sample_cosine_stats(sample, "pos", "tokens", 50)
+    lengths = corpus.select(F.size("tokens").alias("len"))
+    return {
+        "summary": output_report(corpus.where(F.col("text").isNotNull()) if cfg.decode_sample is None else texts,
+                                 acc, runtime, cfg.residual_pii_warn_pct),
+        "drop_shares": stats.with_share(reasons).orderBy(F.col("n").desc(), F.col("reason")),
+        "flow": flow(acc),
+        "token_length": describe_table(lengths, "len"),
+        "token_length_hist": stats.histogram(lengths, "len", 50),
+        "unique_words_hist": stats.histogram(texts.select(T.unique_words_lower("text").alias("u")), "u", 30),
+        "lexical_diversity_hist": stats.histogram(texts.select(T.lexical_diversity("text").alias("d")), "d", 30),
+        "residual_pii_hist": stats.integer_histogram(texts.select(T.pii_counts("text")["total"].alias("t")), "t", 10),
+        "cosine_sample": cos_summary,
+        "cosine_hist": cos_hist,
+        "cosine_mean_all": similarity.mean_cosine(corpus, "pos", "tokens"),
+    }
