@@ -52,3 +52,11 @@ def test_cleaning_is_idempotent_and_pieces_round_trip(spark, texts):
         assert r["cc"] == r["c"]
         assert "".join(r["p"]) == r["c"]
         assert r["n"] == len(r["p"])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(TEXTS)
+def test_blank_matches_python_strip(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select("i", T.is_blank("t").alias("b")).collect():
+        assert r["b"] == (texts[r["i"]].strip() == "")

@@ -11,6 +11,8 @@ not, so that range is added by hand.
 # --- fixed values: cleaner -------------------------------------------------
 # Python ``\s+`` (whitespace run), expressed for Java.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+# a text that is only Python whitespace (``not t.strip()``), anchored
+BLANK = r"(?U)\A[\s\x1c-\x1f]*\z"
 # Python ``\S+@\S+`` (greedy e-mail, swallows neighbouring punctuation).
 EMAIL = r"(?U)[^\s\x1c-\x1f]+@[^\s\x1c-\x1f]+"
 # Python ``\+?\d[\d\s\-]{7,}\d`` (phone: any run of 9+ digits/spaces/dashes).

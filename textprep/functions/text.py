@@ -21,6 +21,15 @@ def clean_text(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(text), P.WHITESPACE, " "))
 
 
+def is_blank(text: Column | str) -> Column:
+    """True when the text is only whitespace (Python ``not t.strip()``).
+
+    Anchored, so it stops at the first non-space character instead of
+    rewriting the whole text like ``clean_text(t) == ''`` would.
+    """
+    return _col(text).rlike(P.BLANK)
+
+
 def replace_pii(text: Column | str) -> Column:
     """E-mails, then phones, replaced by placeholders.
 

@@ -108,8 +108,10 @@ def fates(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig
         F.when(english, F.col("pii_found")).otherwise(F.lit(False)).alias("pii_found"),
         "n_tokens",
     )
-    # records outside the waterfall
-    outside = staged.where(F.col("malformed") | (blank if cfg.light_filter else F.lit(False))).select(
+    # records outside the waterfall (the anchored blank test stops at the first
+    # non-space character, so this branch does not clean every text again)
+    raw_blank = T.is_blank(F.col("text"))
+    outside = base.where(F.col("malformed") | (raw_blank if cfg.light_filter else F.lit(False))).select(
         "ord",
         F.when(F.col("malformed"), F.lit("malformed")).otherwise(F.lit("light_empty")).alias("reason"),
         F.lit(None).cast("string").alias("lang"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.text import clean_text
+from ..functions.text import is_blank
 
 GLOB = "*.jsonl"
 
@@ -58,7 +58,7 @@ def parse_records(lines: DataFrame) -> DataFrame:
     v = F.try_parse_json(F.col("value"))
     kind = F.schema_of_variant(v)
     sub = F.schema_of_variant(F.try_variant_get(v, "$.text", "variant"))
-    blank = clean_text(F.col("value")) == ""
+    blank = is_blank(F.col("value"))
     is_obj = kind.startswith("OBJECT")
     ok = is_obj & (sub.isNull() | (sub == "STRING"))
     return lines.select(
@@ -89,7 +89,7 @@ def line_counters(records: DataFrame, limit: int | None = None) -> DataFrame:
     """
     r = records if limit is None else records.where(F.col("ord") < F.lit(limit))
     err = F.col("blank") | F.col("malformed")
-    empty = ~err & (clean_text(F.col("text")) == "")
+    empty = ~err & is_blank(F.col("text"))
     return r.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(empty).alias("empty"),
