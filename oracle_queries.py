@@ -12,7 +12,7 @@ from __future__ import annotations
 # parameters of the checked queries (must equal __spark_entry__.QCFG)
 BATCH = 100
 SHARD = 100
-SAMPLE = 100
+SAMPLE = 500
 OTHERS_PCT = 12.0
 LO, HI = 10, 1000
 
