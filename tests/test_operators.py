@@ -178,3 +178,16 @@ def test_encode_decode_split_vocabulary(spark):
     enc = tokens.encode(docs, v, broadcast_max_rows=50)
     dec = {r["ord"]: r["text"] for r in tokens.decode(enc, v, broadcast_max_rows=50).collect()}
     assert dec == {r["ord"]: r["text"] for r in docs.collect()}
+
+
+def test_profile_save_and_load(spark, scratch):
+    from textprep.sources import tables
+
+    docs = tables.documents(spark, "/root/testdata/sf0.001")
+    prof = lang.train_profile(docs)
+    lang.save_profile(prof, scratch + "/profile")
+    again = lang.load_profile(spark, scratch + "/profile")
+    assert again.langs == prof.langs and again.n_grams == prof.n_grams
+    a = {r["ord"]: r["lang"] for r in lang.detect(docs.select("ord", "text"), prof).collect()}
+    b = {r["ord"]: r["lang"] for r in lang.detect(docs.select("ord", "text"), again).collect()}
+    assert a == b

@@ -51,6 +51,9 @@ class LangProfile:
     broadcast: bool
     gram_size: int = 3
     arrays: object = None       # broadcast (codes, weights, ...) for the vectorised path, or None
+    counts: DataFrame | None = None   # (lang, gram, n): the trained tables, for save/load
+    docs: DataFrame | None = None     # (lang, d)
+    alpha: float = 0.5
 
 
 def _grams_of(text: Column, gram_size: int, sample_chars: int | None) -> Column:
@@ -142,21 +145,24 @@ def train_profile(df: DataFrame, text_col: str = "text", label_col: str = "lang"
     row-wise join path is used otherwise, or when the profile is too large.
     """
     counts = materialize(gram_counts(df, text_col, label_col, gram_size, vectorised))
-    docs = {
-        r["lang"]: r["d"]
-        for r in df.where(F.col(label_col).isNotNull())
-        .groupBy(F.col(label_col).alias("lang")).agg(F.count(F.lit(1)).alias("d"))
-        .limit(MAX_LANGUAGES + 1).collect()  # guard: labels must be a small set
-    }
-    if len(docs) > MAX_LANGUAGES:
+    docs = df.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).alias("lang")).agg(
+        F.count(F.lit(1)).alias("d"))
+    return profile_from_counts(counts, docs, gram_size, alpha, broadcast_max_rows, vectorised)
+
+
+def profile_from_counts(counts: DataFrame, docs: DataFrame, gram_size: int = 3, alpha: float = 0.5,
+                        broadcast_max_rows: int = BROADCAST_MAX_ROWS, vectorised: bool = True) -> LangProfile:
+    """The profile from its tables: ``counts`` (lang, gram, n) and ``docs`` (lang, d)."""
+    doc_n = {r["lang"]: r["d"] for r in docs.limit(MAX_LANGUAGES + 1).collect()}  # labels: a small set
+    if len(doc_n) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels")
     per_lang = counts.groupBy("lang").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("e")).collect()
     big_n = {r["lang"]: r["N"] for r in per_lang}
     nnz = sum(r["e"] for r in per_lang)
     langs = sorted(big_n)
     v = counts.agg(F.count_distinct("gram")).first()[0]
-    total_docs = sum(docs[lang] for lang in langs)
-    log_prior = [math.log(docs[lang] / total_docs) for lang in langs]
+    total_docs = sum(doc_n[lang] for lang in langs)
+    log_prior = [math.log(doc_n[lang] / total_docs) for lang in langs]
     log_unseen = [math.log(alpha / (big_n[lang] + alpha * v)) for lang in langs]
     w = F.log(F.col("n") + F.lit(alpha)) - F.lit(math.log(alpha))
     weights = counts.groupBy("gram").agg(
@@ -168,7 +174,20 @@ def train_profile(df: DataFrame, text_col: str = "text", label_col: str = "lang"
         grams, hinted = broadcast_if_small(weights, broadcast_max_rows)
     else:  # only the fallback and the profile export read the row form; kept lazy
         grams, hinted = weights, False
-    return LangProfile(langs, log_prior, log_unseen, grams, v, hinted, gram_size, arrays)
+    return LangProfile(langs, log_prior, log_unseen, grams, v, hinted, gram_size, arrays,
+                       counts=counts, docs=docs, alpha=alpha)
+
+
+def save_profile(profile: LangProfile, path: str) -> None:
+    """Write the profile's tables (counts, docs per language) as Parquet."""
+    profile.counts.write.mode("overwrite").parquet(f"{path}/counts")
+    profile.docs.write.mode("overwrite").parquet(f"{path}/docs")
+
+
+def load_profile(spark, path: str, alpha: float = 0.5, vectorised: bool = True) -> LangProfile:
+    """A profile saved by ``save_profile`` (or any (lang, gram, n) + (lang, d) tables)."""
+    return profile_from_counts(spark.read.parquet(f"{path}/counts"), spark.read.parquet(f"{path}/docs"),
+                               3, alpha, BROADCAST_MAX_ROWS, vectorised)
 
 
 def score(df: DataFrame, profile: LangProfile, text_col: str = "text", id_col: str = "ord",
