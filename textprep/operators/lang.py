@@ -63,9 +63,12 @@ def _grams_of(text: Column, gram_size: int, sample_chars: int | None) -> Column:
     return char_grams(t, gram_size)
 
 
-def padded(text: Column, sample_chars: int | None = None) -> Column:
-    """The string grams are taken from: `` lower(clean(text)) `` (optionally its first chars)."""
-    t = clean_text(text)
+def padded(text: Column, sample_chars: int | None = None, cleaned: bool = False) -> Column:
+    """The string grams are taken from: `` lower(clean(text)) `` (optionally its first chars).
+
+    ``cleaned``: the text is already whitespace-normalised, skip that pass.
+    """
+    t = text if cleaned else clean_text(text)
     if sample_chars is not None:
         t = F.substring(t, 1, sample_chars)
     return F.concat(F.lit(" "), F.lower(t), F.lit(" "))
@@ -220,7 +223,7 @@ def score(df: DataFrame, profile: LangProfile, text_col: str = "text", id_col: s
 
 
 def detect_with(df: DataFrame, profile: LangProfile, text_col: str, keep: list[str],
-                sample_chars: int | None = None) -> DataFrame:
+                sample_chars: int | None = None, cleaned: bool = False) -> DataFrame:
     """``keep`` columns of every row plus its (lang, prob), scored in the task that
     holds the text when the profile is broadcastable (no shuffle, no gram rows);
     otherwise through the row-wise join of ``score`` on ``keep[0]`` (a unique id)."""
@@ -231,7 +234,7 @@ def detect_with(df: DataFrame, profile: LangProfile, text_col: str, keep: list[s
 
     ship_package(df.sparkSession)
     bc = profile.arrays
-    src = df.select(*keep, padded(F.col(text_col), sample_chars).alias("u"))
+    src = df.select(*keep, padded(F.col(text_col), sample_chars, cleaned).alias("u"))
     fields = [f for f in src.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField("lang", T.StringType()), T.StructField("prob", T.DoubleType())])
     return src.mapInPandas(lambda it: lang_vec.score_batches(it, bc, keep[0], keep), schema)

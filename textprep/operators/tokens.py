@@ -64,22 +64,21 @@ def _lookup(occ: DataFrame, vocab: DataFrame, key: str, value: str, max_rows: in
 def encode(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "ord",
            out: str = "tokens", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(id, tokens: array<int>) for every row; pieces missing from the vocabulary
-    make the row's tokens null (use a vocabulary built over the same texts)."""
-    occ = piece_table(df, text_col, id_col, "_at")
+    make the row's tokens null (use a vocabulary built over the same texts).
+
+    A text without pieces keeps one row from ``posexplode_outer`` and gets an
+    empty array, so no join back to the ids is needed.
+    """
+    occ = df.select(F.col(id_col), F.posexplode_outer(pieces(F.col(text_col))).alias("_at", "piece"))
     joined = _lookup(occ, vocab, "piece", "token_id", broadcast_max_rows)
     agg = joined.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct("_at", "token_id"))).alias("_p"),
-        F.count_if(F.col("token_id").isNull()).alias("_miss"),
+        F.sort_array(F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "token_id")))).alias("_p"),
+        F.count_if(F.col("_at").isNotNull() & F.col("token_id").isNull()).alias("_miss"),
     )
-    enc = agg.select(
+    return agg.select(
         id_col,
         F.when(F.col("_miss") == 0, F.transform("_p", lambda s: s["token_id"])).alias(out),
     )
-    # texts without any piece (empty) still get an (empty) array
-    return (
-        df.select(id_col).join(enc, id_col, "left")
-        .select(id_col, F.coalesce(F.col(out), F.array().cast("array<int>")).alias(out))
-    )
 
 
 def decode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "ord",

@@ -85,7 +85,7 @@ def fates(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig
     # language of each record next to its features (same task when the
     # profile is broadcastable, else one narrow join on ord)
     keep = ["ord", "is_empty", "pii_found", "key", "n_tokens", "special"]
-    dec = lang.detect_with(feats, profile, "clean", keep, cfg.lang_sample_chars)
+    dec = lang.detect_with(feats, profile, "clean", keep, cfg.lang_sample_chars, cleaned=True)
     # the narrow decision table feeds both sides of the first-copy join: it is
     # checkpointed (for the batch scope by the sort that numbers survivors in
     # input order), so the text work and the language model run once
