@@ -44,7 +44,7 @@ def main() -> None:
     vocab = tokens.build_vocab(kept)
     sections = {
         "language scoring with the features (one task, no shuffle)":
-            lang.detect_with(docs.select("ord", T_clean(docs)), prof, "clean", ["ord"]),
+            lang.detect_with(docs.select("ord", T_clean(docs)), prof, "clean", ["ord"], cleaned=True),
         "first copies (dedup by key, join back on ord)":
             dedup.mark_first(docs.select("ord", dedup.text_key("text").alias("key")), "key", "ord"),
         "kept texts (the one text join)": PL.kept_texts(docs, fate, cfg),
