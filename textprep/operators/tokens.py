@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import pieces
-from ..session import BROADCAST_MAX_ROWS, materialize
+from ..session import BROADCAST_MAX_ROWS
 from .rank import global_rank
 
 
@@ -35,8 +35,9 @@ def build_vocab(df: DataFrame, text_col: str = "text") -> DataFrame:
         .where(F.col("piece").isNotNull())
         .groupBy("piece").agg(F.count(F.lit(1)).alias("freq"))
     )
+    # the rank reads a checkpointed sort, so its ids are stable on every reuse
     ranked = global_rank(freq, [F.col("freq").desc(), F.col("piece")], "token_id")
-    return materialize(ranked.select(F.col("token_id").cast("int").alias("token_id"), "piece", "freq"))
+    return ranked.select(F.col("token_id").cast("int").alias("token_id"), "piece", "freq")
 
 
 def _lookup(occ: DataFrame, vocab: DataFrame, key: str, value: str, max_rows: int) -> DataFrame:
@@ -47,7 +48,7 @@ def _lookup(occ: DataFrame, vocab: DataFrame, key: str, value: str, max_rows: in
     resolve most occurrences in the task that made them.  Only occurrences
     still unresolved meet the rest of the vocabulary in a shuffle join.  When
     the whole vocabulary is under the bound there is no shuffle join at all.
-    ``build_vocab`` returns a checkpoint, so counting it is cheap.
+    ``build_vocab`` reads a checkpoint, so counting it is cheap.
     """
     n = vocab.count()
     v = vocab.select(key, value)
