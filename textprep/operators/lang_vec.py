@@ -64,18 +64,34 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return g[ok], owner[ok]
 
 
+def _blocks(texts: list[str]) -> Iterator[tuple[int, int, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+    """(a, b, parts) for texts[a:b]; ``parts`` yields (codes, owner) arrays.
+
+    A text longer than a chunk is cut into windows that overlap by two code
+    points, so every gram start is counted exactly once and memory stays
+    bounded by the chunk size.
+    """
+    for a, b in _chunks(texts):
+        if b - a == 1 and len(texts[a]) > CHUNK_CODEPOINTS:
+            t = texts[a]
+            step = CHUNK_CODEPOINTS
+            yield a, b, (_codes([t[i:i + step + 2]]) for i in range(0, max(len(t) - 2, 0), step))
+        else:
+            yield a, b, iter([_codes(texts[a:b])])
+
+
 def count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(lang, code, n) per batch from (lang, u) rows: per-task partial counts."""
     for pdf in batches:
         pdf = pdf[pdf["lang"].notna()]
         for lang, grp in pdf.groupby("lang", sort=False):
             texts = grp["u"].tolist()
-            for a, b in _chunks(texts):
-                g, _ = _codes(texts[a:b])
-                if len(g) == 0:
-                    continue
-                codes, counts = np.unique(g, return_counts=True)
-                yield pd.DataFrame({"lang": lang, "code": codes, "n": counts.astype(np.int64)})
+            for _, _, parts in _blocks(texts):
+                for g, _ in parts:
+                    if len(g) == 0:
+                        continue
+                    codes, counts = np.unique(g, return_counts=True)
+                    yield pd.DataFrame({"lang": lang, "code": codes, "n": counts.astype(np.int64)})
 
 
 def build_csr(lang_idx: np.ndarray, codes: np.ndarray, weights: np.ndarray):
@@ -97,16 +113,17 @@ def score_batches(batches: Iterator[pd.DataFrame], bc, id_col: str, keep: list[s
         texts = pdf["u"].tolist()
         out_lang = np.empty(len(texts), dtype=object)
         out_prob = np.zeros(len(texts))
-        for a, b in _chunks(texts):
+        for a, b, parts in _blocks(texts):
             m = b - a
-            g, owner = _codes(texts[a:b])
             k = np.zeros(m)
             s = np.zeros(m * n_lang)
-            if len(g) and v:
+            for g, owner in parts:
+                if not (len(g) and v):
+                    continue
                 idx = np.minimum(np.searchsorted(codes, g), v - 1)
                 hit = codes[idx] == g
                 o, ix = owner[hit], idx[hit]
-                k = np.bincount(o, minlength=m).astype(np.float64)
+                k += np.bincount(o, minlength=m)
                 pair, cnt = np.unique(o * v + ix, return_counts=True)
                 po, pix = pair // v, pair % v
                 st = indptr[pix]
