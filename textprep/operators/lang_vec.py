@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 
-CHUNK_CODEPOINTS = 1 << 23
+CHUNK_CODEPOINTS = 1 << 22
 EXPAND_MAX = 1 << 24
 MASK21 = (1 << 21) - 1
 
