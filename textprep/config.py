@@ -34,6 +34,7 @@ class PrepConfig:
         return replace(self, **kw)
 
 
+# the library functions' defaults (batch-level prepare): 5..1000 tokens
 LIBRARY_DEFAULTS = PrepConfig(min_tokens=5)
 
 # drop reasons in waterfall order (fixed values: the reference's reason names)

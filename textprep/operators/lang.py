@@ -254,15 +254,3 @@ def detect(df: DataFrame, profile: LangProfile, text_col: str = "text", id_col:
             F.coalesce(F.col("prob"), F.lit(0.0)).alias("prob"),
         )
     )
-
-
-def profile_table(profile: LangProfile) -> DataFrame:
-    """Long form (lang, gram, weight) of the profile, for export and checks."""
-    k = len(profile.langs)
-    langs = F.array(*[F.lit(x) for x in profile.langs])
-    return (
-        profile.grams.select("gram", F.posexplode(F.col("w")).alias("i", "weight"))
-        .where(F.col("weight") != 0.0)
-        .select(F.element_at(langs, (F.col("i") + 1).cast("int")).alias("lang"), "gram", "weight")
-        if k else profile.grams.limit(0)
-    )

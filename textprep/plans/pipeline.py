@@ -22,14 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DROP_REASONS, PII_REPLACED, PrepConfig
+from ..config import DROP_REASONS, LIBRARY_DEFAULTS, PII_REPLACED, PrepConfig
 from ..functions import text as T
 from ..operators import dedup, lang, rank, tokens
 from ..session import materialize
 
-FATE_SCHEMA_COLS = ("ord", "reason", "lang", "prob", "pii_found", "n_tokens")
-
-
 def normalize_input(df: DataFrame) -> DataFrame:
     """(ord, text, malformed): a missing text is '' (hence empty), as in the reference."""
     cols = df.columns
@@ -185,10 +182,13 @@ def accounting_from_counts(per_reason: list[tuple[str | None, int, int]]) -> tup
     return acc, reasons
 
 
-def prepare(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig(),
+def prepare(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = LIBRARY_DEFAULTS,
             output: str = "dual", vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Batch -> kept records + drop reasons (C1 tokens, C3 text, C4 dual).
 
+    The default limits are the library functions' (5..1000 tokens); the whole
+    job (``plans.run``) uses the pipeline's 10..1000.
+
     ``output``: "tokens" -> (ord, tokens); "text" -> (ord, text);
     "dual" -> (ord, text, tokens), one row each so 1:1 holds by construction.
     Token ids come from ``vocab`` or a vocabulary built over the kept texts.
