@@ -110,7 +110,7 @@ def q_pii_counts(spark, sf):
 
 
 def q_pii_summary(spark, sf):
-    return R.pii_summary(_pii_counts(spark, sf), "total")
+    return R.rounded(R.pii_summary(_pii_counts(spark, sf), "total"))
 
 
 def q_pii_histogram(spark, sf):
@@ -145,11 +145,11 @@ def q_lang_accuracy(spark, sf):
 
 
 def q_lang_distribution(spark, sf):
-    return R.lang_top(_detected(spark, sf), 5)
+    return R.rounded(R.lang_top(_detected(spark, sf), 5))
 
 
 def q_lang_major_others(spark, sf):
-    return R.lang_rollup(_detected(spark, sf), QCFG.others_share)
+    return R.rounded(R.lang_rollup(_detected(spark, sf), QCFG.others_share))
 
 
 def q_lang_confidence(spark, sf):
