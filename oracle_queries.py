@@ -210,7 +210,7 @@ smp AS (SELECT pos, toks FROM out WHERE pos < {SAMPLE}),
 bag AS (SELECT pos AS id, t AS token, count(*) AS n FROM (SELECT pos, unnest(toks) AS t FROM smp) GROUP BY 1, 2),
 nrm AS (SELECT id, sqrt(sum(n * n)) AS norm FROM bag GROUP BY id),
 u AS (SELECT bag.id, token, n / norm AS w FROM bag JOIN nrm USING (id)),
-dots AS (SELECT a.id AS i, b.id AS j, sum(a.w * b.w) AS c FROM u a JOIN u b ON a.token = b.token AND a.id < b.id GROUP BY 1, 2),
+dots AS (SELECT a.id AS i, b.id AS j, round(sum(a.w * b.w), 12) AS c FROM u a JOIN u b ON a.token = b.token AND a.id < b.id GROUP BY 1, 2),
 allp AS (SELECT a.pos AS i, b.pos AS j FROM smp a JOIN smp b ON a.pos < b.pos),
 vals AS (SELECT coalesce(dots.c, 0.0) AS x FROM allp LEFT JOIN dots USING (i, j))"""
 

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import stats
 
+COSINE_DIGITS = 12
+
 
 def token_bag(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens") -> DataFrame:
     """(id, token, n): count of each token in each sequence."""
@@ -77,7 +79,9 @@ def pair_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
         F.explode(F.sequence(F.lit(0), F.col("b"))).alias("bi"),
     )
     prod = left.join(right, ["bi", "bj", "token"]).where(F.col("i") < F.col("j"))
-    return prod.groupBy("i", "j").agg(F.sum(F.col("wi") * F.col("wj")).alias("cosine"))
+    # canonical to 12 places: a cosine that is exactly a bin edge (0.72 = 18/25)
+    # must not fall on either side depending on the order of the float sum
+    return prod.groupBy("i", "j").agg(F.round(F.sum(F.col("wi") * F.col("wj")), COSINE_DIGITS).alias("cosine"))
 
 
 def sample_cosine_stats(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
