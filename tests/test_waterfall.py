@@ -119,3 +119,19 @@ def test_prepare_dual_one_to_one(spark, fixture_df, en_profile):
     assert all(len(r["tokens"]) == 3 or len(r["tokens"]) == 5 for r in rows)
     merged = PL.merge_reasons(reasons, reasons)
     assert {r["reason"]: r["n"] for r in merged.collect()}["duplicate"] == 6
+
+
+def test_config_validation():
+    with pytest.raises(ValueError):
+        PrepConfig(min_tokens=20, max_tokens=10)
+    with pytest.raises(ValueError):
+        PrepConfig(dedup_scope="corpus")
+    with pytest.raises(ValueError):
+        PrepConfig(shard_size=0)
+
+
+def test_sample_chars_parity_option(spark, en_profile, fixture_df):
+    # scoring only the first characters (the reference's 500) is available
+    cfg = PrepConfig(min_tokens=3, max_tokens=6, lang_sample_chars=500)
+    kept, reasons, _ = _counts(spark, fixture_df, en_profile, cfg)
+    assert kept == 2 and reasons["duplicate"] == 3

@@ -30,6 +30,17 @@ class PrepConfig:
     others_share: float = 0.001                  # languages under this share roll up to "Others"
     residual_pii_warn_pct: float = 1.0
 
+    def __post_init__(self) -> None:
+        if not 0 <= self.min_tokens <= self.max_tokens:
+            raise ValueError("need 0 <= min_tokens <= max_tokens")
+        if self.dedup_scope not in ("batch", "global"):
+            raise ValueError("dedup_scope must be 'batch' or 'global'")
+        for name in ("batch_size", "shard_size", "similarity_sample"):
+            if getattr(self, name) <= 0:
+                raise ValueError(f"{name} must be positive")
+        if self.lang_sample_chars is not None and self.lang_sample_chars <= 0:
+            raise ValueError("lang_sample_chars must be positive or None")
+
     def with_(self, **kw) -> "PrepConfig":
         return replace(self, **kw)
 
