@@ -191,3 +191,17 @@ def test_profile_save_and_load(spark, scratch):
     a = {r["ord"]: r["lang"] for r in lang.detect(docs.select("ord", "text"), prof).collect()}
     b = {r["ord"]: r["lang"] for r in lang.detect(docs.select("ord", "text"), again).collect()}
     assert a == b
+
+
+def test_bucketed_and_ordinal_rank(spark):
+    import random as _r
+
+    vals = list(range(0, 30000, 3))
+    _r.Random(2).shuffle(vals)
+    df = spark.createDataFrame([(v,) for v in vals], "v long").repartition(7)
+    got = {r["v"]: r["pos"] for r in rank.ordinal_rank(df, "v").collect()}
+    assert got == {v: i for i, v in enumerate(sorted(vals))}
+    # a hot range (most values in one bucket) falls back to the sort-based rank
+    skewed = spark.createDataFrame([(v,) for v in list(range(5000)) + [10**12]], "v long")
+    got2 = {r["v"]: r["pos"] for r in rank.ordinal_rank(skewed, "v").collect()}
+    assert got2[10**12] == 5000 and got2[4999] == 4999

@@ -48,7 +48,7 @@ def _with_batch_ids(dec: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, str | N
     dec = materialize(dec)
     if cfg.dedup_scope == "global":
         return dec, None
-    ranked = rank.global_rank(dec, [F.col("ord")], "_sv")
+    ranked = rank.ordinal_rank(dec, "ord", "_sv")
     return ranked.withColumn("batch_id", F.floor(F.col("_sv") / F.lit(cfg.batch_size))).drop("_sv"), "batch_id"
 
 
