@@ -111,3 +111,22 @@ def test_reports_on_files(spark, scratch):
     written = {r["text"] for r in spark.read.json(os.path.join(out, "text")).collect()}
     assert texts == written  # decode(shards) is exactly the written text output
     assert rep["cosine_sample"].first()["sequences"] == 40
+
+
+def test_order_with_many_splits(spark, scratch):
+    # one file cut into many splits, plus a second file: ord = file order, then line order
+    with open(os.path.join(scratch, "a.jsonl"), "w") as f:
+        for i in range(3000):
+            f.write(json.dumps({"text": f"a{i} " + "x" * (i % 50)}) + "\n")
+    with open(os.path.join(scratch, "b.jsonl"), "w") as f:
+        for i in range(500):
+            f.write(json.dumps({"text": f"b{i}"}) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = jsonl.read_lines(spark, scratch)
+        assert lines.rdd.getNumPartitions() > 10
+        got = [r["text"].split(" ")[0] for r in jsonl.read_records(spark, scratch).orderBy("ord").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [f"a{i}" for i in range(3000)] + [f"b{i}" for i in range(500)]
