@@ -350,9 +350,8 @@ def _derived_jsonl(spark, sf) -> str:
             .unionByName(c.select(F.to_json(F.struct("conv_id", "turn", "role")).alias("value")))
         )
         lines.write.mode("overwrite").text(path)
-        for_glob = spark.read.text(path).inputFiles()
-        _CACHE[k] = (path, for_glob)
-    return _CACHE[k][0]
+        _CACHE[k] = path
+    return _CACHE[k]
 
 
 def q_jsonl_tolerant_scan(spark, sf):
