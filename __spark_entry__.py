@@ -36,8 +36,11 @@ def _key(spark: SparkSession, *parts) -> tuple:
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    return tables.documents(spark, sf)
+    k = _key(spark, "docs", sf)
+    if k not in _CACHE:
+        ensure_checkpoint_dir(spark)
+        _CACHE[k] = tables.documents(spark, sf)
+    return _CACHE[k]
 
 
 def _profile(spark: SparkSession, sf: str) -> lang.LangProfile:
