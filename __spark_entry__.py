@@ -249,7 +249,7 @@ def q_token_duplicates(spark, sf):
 
 # ---------------------------------------------------------------- pipeline
 
-def q_pipeline_end_to_end(spark, sf):
+def q_record_fates(spark, sf):
     f = _fates(spark, sf)
     k = _kept(spark, sf).select("ord", "text")
     return f.join(k, "ord", "left").select(
@@ -266,11 +266,11 @@ def q_drop_shares(spark, sf):
     return R.rounded(stats.with_share(PL.drop_reasons(_fates(spark, sf))))
 
 
-def q_pipeline_accounting(spark, sf):
+def q_fate_accounting(spark, sf):
     return PL.accounting(_fates(spark, sf))
 
 
-def q_pipeline_flow(spark, sf):
+def q_data_flow(spark, sf):
     return R.rounded(R.flow(PL.accounting(_fates(spark, sf))))
 
 
@@ -362,7 +362,7 @@ def q_jsonl_tolerant_scan(spark, sf):
     return jsonl.line_counters(jsonl.read_records(spark, path, "part-*"))
 
 
-def q_jsonl_pipeline(spark, sf):
+def q_jsonl_fates(spark, sf):
     """The waterfall over the derived JSON-lines files: every line's fate."""
     recs = jsonl.read_records(spark, _derived_jsonl(spark, sf), "part-*")
     f = PL.fates(recs, _profile(spark, sf), QCFG)
@@ -469,11 +469,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_global": q_dedup_global,
     "dedup_batch": q_dedup_batch,
     "token_duplicates": q_token_duplicates,
-    "pipeline_end_to_end": q_pipeline_end_to_end,
+    "record_fates": q_record_fates,
     "drop_reasons": q_drop_reasons,
     "drop_shares": q_drop_shares,
-    "pipeline_accounting": q_pipeline_accounting,
-    "pipeline_flow": q_pipeline_flow,
+    "fate_accounting": q_fate_accounting,
+    "data_flow": q_data_flow,
     "prepare_tokens": q_prepare_tokens,
     "shuffle_rank": q_shuffle_rank,
     "shard_sizes": q_shard_sizes,
@@ -488,7 +488,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "input_report": q_input_report,
     "output_report": q_output_report,
     "jsonl_tolerant_scan": q_jsonl_tolerant_scan,
-    "jsonl_pipeline": q_jsonl_pipeline,
+    "jsonl_fates": q_jsonl_fates,
     "shard_record_shapes": q_shard_record_shapes,
     "sample_first_n": q_sample_first_n,
     "prepare_text": q_prepare_text,

@@ -271,13 +271,13 @@ ORACLE: dict[str, str] = {
       t AS (SELECT CAST(sum(c) AS BIGINT) AS total, count(*) AS uniq FROM k)
       SELECT total, uniq AS "unique", total - uniq AS duplicates,
              round(CASE WHEN total > 0 THEN (total - uniq) / total * 100 ELSE 0.0 END, 4) AS duplicate_pct FROM t""",
-    "pipeline_end_to_end": "WITH " + PIPE + """ SELECT fate.doc_id, reason, lang, pii_found, fate.n_tokens, kept.text
+    "record_fates": "WITH " + PIPE + """ SELECT fate.doc_id, reason, lang, pii_found, fate.n_tokens, kept.text
       FROM fate LEFT JOIN kept USING (doc_id)""",
     "drop_reasons": "WITH " + PIPE + " SELECT reason, n FROM reasons",
     "drop_shares": "WITH " + PIPE + " SELECT reason, n, round(n / sum(n) OVER () * 100, 4) AS pct FROM reasons",
-    "pipeline_accounting": "WITH " + PIPE + """ SELECT total, malformed, light_empty, dropped_true, pii_replaced, kept,
+    "fate_accounting": "WITH " + PIPE + """ SELECT total, malformed, light_empty, dropped_true, pii_replaced, kept,
       dropped_true + pii_replaced AS dropped_ref FROM acc""",
-    "pipeline_flow": "WITH " + PIPE + """, s AS (
+    "data_flow": "WITH " + PIPE + """, s AS (
         SELECT 'input' AS stage, kept + dropped_true AS n FROM acc UNION ALL
         SELECT 'dropped', dropped_true FROM acc UNION ALL
         SELECT 'output', kept FROM acc UNION ALL
@@ -372,7 +372,7 @@ ORACLE: dict[str, str] = {
              count(*) FILTER (WHERE err) AS json_errors,
              count(*) FILTER (WHERE NOT err AND trim(regexp_replace(text, '\s+', ' ', 'g')) <> '') AS valid
       FROM r""",
-    "jsonl_pipeline": "WITH " + PIPE + r""",
+    "jsonl_fates": "WITH " + PIPE + r""",
       raw AS (SELECT regexp_replace(text, '[\r\n]+', ' ', 'g') AS value FROM documents),
       rk AS (SELECT trim(regexp_replace(value, '\s+', ' ', 'g')) = '' AS blank,
                     coalesce(try(json_type(value)) = 'OBJECT'
