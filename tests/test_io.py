@@ -130,3 +130,21 @@ def test_order_with_many_splits(spark, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [f"a{i}" for i in range(3000)] + [f"b{i}" for i in range(500)]
+
+
+def test_whole_job_with_nothing_kept(spark, scratch):
+    from textprep.plans import reports as R
+    from textprep.plans.run import run_pipeline
+
+    docs = tables.documents(spark, "/root/testdata/sf0.001")
+    prof = lang.train_profile(docs)
+    recs = spark.createDataFrame([(0, "   "), (1, None), (2, "")], "ord long, text string")
+    out = os.path.join(scratch, "out")
+    summary = run_pipeline(spark, recs, out, prof, PrepConfig(shard_size=10))
+    assert summary["records_after_cleaning"] == 0 and summary["shards"] == 0
+    assert summary["accounting"]["light_empty"] == 3 and summary["drop_reasons"] == {}
+    rep = R.output_report_files(spark, out, PrepConfig(shard_size=10))
+    o = {r["metric"]: r["value"] for r in rep["summary"].collect()}
+    assert o["records"] == 0
+    assert rep["token_length_hist"].count() == 0
+    assert rep["cosine_sample"].first()["pairs"] == 0
