@@ -147,4 +147,4 @@ def test_whole_job_with_nothing_kept(spark, scratch):
     o = {r["metric"]: r["value"] for r in rep["summary"].collect()}
     assert o["records"] == 0
     assert rep["token_length_hist"].count() == 0
-    assert rep["cosine_sample"].first()["pairs"] == 0
+    assert rep["cosine_sample"].count() == 0  # under 10 sequences: no similarity section

@@ -14,6 +14,9 @@ from pyspark.sql.types import DoubleType, FloatType
 from ..functions import text as T
 from ..operators import stats
 
+# the similarity section of the output report needs this many sequences
+MIN_SIMILARITY_SEQUENCES = 10
+
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every floating column (engines sum floats in different orders)."""
@@ -259,6 +262,8 @@ def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
     runtime = meta.get("runtime_sec") or None
     sample = rank.first_n(corpus, cfg.similarity_sample, "pos")
     cos_summary, cos_hist = similarity.sample_cosine_stats(sample, "pos", "tokens", 50)
+    if cos_summary.first()["sequences"] < MIN_SIMILARITY_SEQUENCES:  # the report's minimum
+        cos_summary, cos_hist = cos_summary.limit(0), cos_hist.limit(0)
     lengths = corpus.select(F.size("tokens").alias("len"))
     return {
         "summary": output_report(corpus.where(F.col("text").isNotNull()) if cfg.decode_sample is None else texts,
