@@ -46,28 +46,24 @@ def bucketed_rank(df: DataFrame, bucket: Column, order: list[Column | str], out:
                   skew_factor: float = 4.0) -> DataFrame:
     """Dense 0-based position by ``order`` using a bucket monotone in that order.
 
-    Two levels: rows per bucket are counted (one small row per bucket reaches
-    the driver), offsets follow from the bucket order, and
-    ``row_number()`` runs within each bucket.  Deterministic, so no
+    Two levels: rows per bucket are counted (a table of at most
+    ``MAX_BUCKETS`` rows; only its size and largest count reach the driver),
+    offsets follow from the bucket order, and ``row_number()`` runs within
+    each bucket.  Deterministic, so no
     checkpoint is needed.  When some bucket holds more than ``skew_factor``
     times the average (a hot key range), the sort-based ``global_rank`` is
     used instead, so no task gets an outsized bucket.
     """
     b = df.withColumn("_b", bucket)
-    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).limit(MAX_BUCKETS + 1).collect()
-    if not counts:
+    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    st = counts.agg(F.count(F.lit(1)).alias("k"), F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first()
+    if not st["k"]:
         return df.withColumn(out, F.lit(None).cast("long")).limit(0)
-    sizes = [r["_n"] for r in counts]
-    avg = sum(sizes) / len(sizes)
-    if len(counts) > MAX_BUCKETS or max(sizes) > skew_factor * avg + 10_000:
+    if st["k"] > MAX_BUCKETS or st["mx"] > skew_factor * st["tot"] / st["k"] + 10_000:
         return global_rank(df, order, out)
-    offsets, acc = [], 0
-    for r in sorted(counts, key=lambda r: r["_b"]):
-        offsets.append((r["_b"], acc))
-        acc += r["_n"]
-    spark = df.sparkSession
-    bt = b.schema["_b"].dataType.simpleString()
-    offs = spark.createDataFrame(offsets, f"_b {bt}, _off long")
+    # offsets from the small counts table, all JVM-side (at most MAX_BUCKETS rows)
+    w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_b", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_b").orderBy(*order)
     return (
         b.join(F.broadcast(offs), "_b")

@@ -63,7 +63,8 @@ def run_pipeline(spark: SparkSession, records: DataFrame, out_dir: str, profile:
 
 def _write_json(spark: SparkSession, path: str, obj: dict) -> None:
     """Small metadata object as one JSON document (written by one task)."""
-    spark.createDataFrame([(json.dumps(obj),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    # a one-row JVM-side frame: no Python-side job for a tiny write
+    spark.range(1).select(F.lit(json.dumps(obj)).alias("value")).write.mode("overwrite").text(path)
 
 
 def read_json_object(spark: SparkSession, path: str) -> dict:
