@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, rows_frame
 from . import stats
 
 COSINE_DIGITS = 12
@@ -49,8 +49,8 @@ def mean_cosine(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens")
     nonempty = u.select("id").distinct().count()
     pairs = n_seq * (n_seq - 1) // 2
     mean = (sq - nonempty) / 2.0 / pairs if pairs else None
-    return df.sparkSession.createDataFrame(
-        [(n_seq, pairs, mean)], "sequences long, pairs long, mean_cosine double"
+    return rows_frame(
+        df.sparkSession, [(n_seq, pairs, mean)], "sequences long, pairs long, mean_cosine double"
     )
 
 
@@ -66,7 +66,7 @@ def pair_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
     ))
     n_blocks = u.agg(F.max("b")).first()[0]
     if n_blocks is None:
-        return df.sparkSession.createDataFrame([], "i long, j long, cosine double")
+        return rows_frame(df.sparkSession, [], "i long, j long, cosine double")
     # block pair (bi <= bj): left rows of block bi are sent to every bj >= bi,
     # right rows of block bj to every bi <= bj; a (bi, bj, token) group holds
     # at most ``block`` rows on each side.
@@ -102,12 +102,12 @@ def sample_cosine_stats(df: DataFrame, id_col: str = "pos", tokens_col: str = "t
     zeros = pairs - k
     mean = ((agg["s"] or 0.0) / pairs) if pairs else None
     median = stats.exact_quantiles(pc, "cosine", [0.5], offset_zeros=zeros)[0.5] if pairs else None
-    summary = spark.createDataFrame(
-        [(n_seq, pairs, zeros, mean, median)],
+    summary = rows_frame(
+        spark, [(n_seq, pairs, zeros, mean, median)],
         "sequences long, pairs long, zero_pairs long, mean double, median double",
     )
     if not pairs:
-        return summary, spark.createDataFrame([], "bin int, lo double, hi double, n long, density double")
+        return summary, rows_frame(spark, [], "bin int, lo double, hi double, n long, density double")
     lo = 0.0 if zeros else float(agg["lo"])
     hi = float(agg["hi"]) if k else 0.0
     if lo == hi:

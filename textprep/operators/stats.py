@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import rows_frame
+
 
 def equal_width_bin(x: Column, lo: float, hi: float, bins: int) -> Column:
     """Bin index of ``x`` in [lo, hi] cut into ``bins``; the last bin is closed."""
@@ -30,7 +32,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
     r = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     if r is None or r["n"] == 0:
-        return spark.createDataFrame([], "bin int, lo double, hi double, n long, density double")
+        return rows_frame(spark, [], "bin int, lo double, hi double, n long, density double")
     lo, hi, total = float(r["lo"]), float(r["hi"]), int(r["n"])
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
@@ -64,7 +66,7 @@ def integer_histogram(df: DataFrame, col: str, cap: int) -> DataFrame:
     mx = 0 if r is None or r["mx"] is None else int(r["mx"])
     last_edge = min(mx + 2, cap) - 1
     if last_edge < 1:
-        return spark.createDataFrame([], "bin int, lo long, hi long, n long, density double")
+        return rows_frame(spark, [], "bin int, lo long, hi long, n long, density double")
     inside = vals.where((F.col("x") >= 0) & (F.col("x") <= last_edge))
     counts = inside.groupBy(F.least(F.col("x"), F.lit(last_edge - 1)).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n")

@@ -13,6 +13,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import text as T
 from ..operators import stats
+from ..session import rows_frame
 
 # the similarity section of the output report needs this many sequences
 MIN_SIMILARITY_SEQUENCES = 10
@@ -73,16 +74,16 @@ def lang_confidence(detected: DataFrame) -> DataFrame:
     ).first()
     q = stats.exact_quantiles(detected, "prob", [0.25, 0.5, 0.75])
     row = (r["docs"], r["languages"], r["mean"], r["min"], q[0.25], q[0.5], q[0.75], r["max"])
-    return detected.sparkSession.createDataFrame(
-        [row], "docs long, languages long, mean double, min double, q1 double, median double, q3 double, max double"
+    return rows_frame(
+        detected.sparkSession, [row], "docs long, languages long, mean double, min double, q1 double, median double, q3 double, max double"
     )
 
 
 def describe_table(df: DataFrame, col: str) -> DataFrame:
     """One-row table of ``stats.describe``."""
     d = stats.describe(df, col)
-    return df.sparkSession.createDataFrame(
-        [(d["count"], d["mean"], d["median"], d["min"], d["max"], d["std"])],
+    return rows_frame(
+        df.sparkSession, [(d["count"], d["mean"], d["median"], d["min"], d["max"], d["std"])],
         "count long, mean double, median double, min double, max double, std double",
     )
 
@@ -123,7 +124,7 @@ def vocab_richness(kept: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _long(spark, section: str, values: dict) -> DataFrame:
     rows = [(section, k, None if v is None else float(v)) for k, v in values.items()]
-    return spark.createDataFrame(rows, "section string, metric string, value double")
+    return rows_frame(spark, rows, "section string, metric string, value double")
 
 
 def input_report(records: DataFrame, detected: DataFrame, limit: int | None = None) -> DataFrame:
@@ -251,13 +252,13 @@ def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
     corpus = materialize(read_output(spark, out_dir, cfg.decode_sample))
     texts = corpus.where(F.col("text").isNotNull())
     meta = read_json_object(spark, os.path.join(out_dir, "pipeline_summary.json"))
-    reasons = spark.createDataFrame(
-        sorted((meta.get("drop_reasons") or {}).items()), "reason string, n long"
+    reasons = rows_frame(
+        spark, sorted((meta.get("drop_reasons") or {}).items()), "reason string, n long"
     )
     dropped_true = sum(n for r, n in (meta.get("drop_reasons") or {}).items() if r in DROP_REASONS)
     pii = (meta.get("drop_reasons") or {}).get("pii_replaced", 0)
     kept = corpus.count()
-    acc = spark.createDataFrame([(kept, dropped_true, dropped_true + pii, pii)],
+    acc = rows_frame(spark, [(kept, dropped_true, dropped_true + pii, pii)],
                                 "kept long, dropped_true long, dropped_ref long, pii_replaced long")
     runtime = meta.get("runtime_sec") or None
     sample = rank.first_n(corpus, cfg.similarity_sample, "pos")

@@ -110,3 +110,22 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(path)
     _SHIPPED.add(app)
+
+
+def rows_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small result table built from literals on the JVM side.
+
+    ``createDataFrame`` on a Python list goes through a Python RDD, which
+    costs a Python-side job each time the table is read; report rows do not
+    need that.
+    """
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(ddl)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
