@@ -37,7 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when nothing is set (local tests) a scratch folder is made.
+    is; without it the job stops.  Only in local mode, when nothing is set
+    (tests, bench), a scratch folder is made.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -45,7 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf:
-        conf = tempfile.mkdtemp(prefix="textprep-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        conf = tempfile.mkdtemp(prefix="textprep-ckpt-")  # local mode only (tests, bench)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
