@@ -227,7 +227,7 @@ def _dedup(spark, sf, scope):
     c = c.withColumn("key", dedup.text_key("pt"))
     scope_col = None
     if scope == "batch":
-        b = rank.global_rank(c.select("ord"), [F.col("ord")], "sv").select(
+        b = rank.ordinal_rank(c.select("ord"), "ord", "sv").select(
             "ord", F.floor(F.col("sv") / F.lit(QCFG.batch_size)).alias("batch_id"))
         c = c.join(b, "ord")
         scope_col = "batch_id"
