@@ -10,9 +10,11 @@ Physical shape (what crosses a shuffle):
 
 * the text is read and cleaned map-side into a narrow feature row per
   record: (ord, pii_found, 32-byte dedup key, piece count, special flag);
-* language scores come back one row per record from the gram job;
-* the batch number (parity scope) comes from a distributed rank of the
-  narrow table by ord;
+* the language is scored next to the features, in the same task (numpy over
+  the Arrow batch, sparse broadcast profile), and the narrow table is
+  checkpointed;
+* the batch number (parity scope) comes from a two-level rank of that
+  table by ord;
 * first copies: ``groupBy(batch, key).min(ord)`` joined back on ord;
 * only kept rows meet their text again, in one join on ``ord``.
 """
@@ -27,6 +29,7 @@ from ..functions import text as T
 from ..operators import dedup, lang, rank, tokens
 from ..session import materialize
 
+
 def normalize_input(df: DataFrame) -> DataFrame:
     """(ord, text, malformed): a missing text is '' (hence empty), as in the reference."""
     cols = df.columns
@@ -43,8 +46,9 @@ def _with_batch_ids(dec: DataFrame, cfg: PrepConfig) -> tuple[DataFrame, str | N
     ``ord`` order (distributed rank) and cut batches."""
     if cfg.dedup_scope not in ("batch", "global"):
         raise ValueError(f"dedup_scope must be 'batch' or 'global', got {cfg.dedup_scope!r}")
-    # checkpoint before any sort: a range sort samples its input in a separate
-    # pass, which would otherwise run the text features and the language model twice
+    # checkpoint first: the rank and both sides of the first-copy join read
+    # this table, and each read would otherwise rerun the text features and
+    # the language model
     dec = materialize(dec)
     if cfg.dedup_scope == "global":
         return dec, None
