@@ -19,7 +19,7 @@ from textprep.functions import text as T
 from textprep.operators import dedup, lang, rank, similarity, stats, tokens
 from textprep.plans import pipeline as PL
 from textprep.plans import reports as R
-from textprep.session import ensure_checkpoint_dir, materialize, scratch_path
+from textprep.session import ensure_checkpoint_dir, materialize, rows_frame, scratch_path
 from textprep.sources import jsonl, tables
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -444,6 +444,40 @@ def q_lang_confidence_histogram(spark, sf):
     return R.rounded(stats.histogram(p, "prob", 50), 6)
 
 
+def q_light_filter_counts(spark, sf):
+    """Light filter over the derived JSON-lines records (P1, A3): lines, blank,
+    malformed, light_empty (no text after stripping) and survivors."""
+    recs = jsonl.read_records(spark, _derived_jsonl(spark, sf), "part-*")
+    empty = ~F.col("malformed") & T.is_blank(F.coalesce(F.col("text"), F.lit("")))
+    return recs.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if("blank").alias("blank"),
+        F.count_if("malformed").alias("malformed"),
+        F.count_if(empty).alias("light_empty"),
+        F.count_if(~F.col("malformed") & ~empty).alias("survivors"),
+    )
+
+
+def q_shard_assign(spark, sf):
+    return _kept_tokens(spark, sf).select(F.col("ord").alias("doc_id"), "shard_id")
+
+
+def q_run_summary(spark, sf):
+    """The run summary without its runtime (S11, A19): (key, value)."""
+    acc = PL.accounting(_fates(spark, sf)).first()
+    kt = _kept_tokens(spark, sf).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("shard_id").alias("s")).first()
+    rows = [("records_after_cleaning", kt["n"]), ("shards", kt["s"]), ("shard_size", QCFG.shard_size),
+            ("dropped_true", acc["dropped_true"]), ("dropped_reference", acc["dropped_ref"])]
+    return rows_frame(spark, rows, "key string, value long")
+
+
+def q_cosine_pairs(spark, sf):
+    """Pairwise cosines of the 500-sequence sample, pairs sharing a token."""
+    sample = rank.first_n(_kept_tokens(spark, sf), QCFG.similarity_sample, "pos")
+    pc = similarity.pair_cosines(sample, "pos", "tokens")
+    return pc.select("i", "j", F.round("cosine", 6).alias("cosine"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "pii_replace": q_pii_replace,
@@ -498,6 +532,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lexical_diversity_histogram": q_lexical_diversity_histogram,
     "token_bag": q_token_bag,
     "lang_confidence_histogram": q_lang_confidence_histogram,
+    "light_filter_counts": q_light_filter_counts,
+    "shard_assign": q_shard_assign,
+    "run_summary": q_run_summary,
+    "cosine_pairs": q_cosine_pairs,
 }
 
 

@@ -405,4 +405,27 @@ ORACLE: dict[str, str] = {
     "token_bag": "WITH " + PIPE + """ SELECT doc_id, CAST(t AS BIGINT) AS token, count(*) AS n
       FROM (SELECT doc_id, unnest(toks) AS t FROM out) GROUP BY 1, 2""",
     "lang_confidence_histogram": "WITH " + hist(LANG + ", vals AS (SELECT round(prob, 4) AS x FROM dl)", 50),
+    "light_filter_counts": r"""WITH lines AS (
+        SELECT CAST(to_json({'text': text}) AS VARCHAR) AS value FROM documents
+        UNION ALL SELECT regexp_replace(text, '[\r\n]+', ' ', 'g') FROM documents
+        UNION ALL SELECT CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role}) AS VARCHAR) FROM conversations),
+      k AS (SELECT value, trim(regexp_replace(value, '\s+', ' ', 'g')) = '' AS blank,
+                   coalesce(try(json_type(value)) = 'OBJECT'
+                     AND coalesce(try(json_type(value, '$.text')) = 'VARCHAR', true), false) AS ok FROM lines),
+      r AS (SELECT blank, NOT blank AND NOT ok AS malformed,
+                   CASE WHEN ok AND NOT blank THEN coalesce(try(json_extract_string(value, '$.text')), '') ELSE '' END AS text
+            FROM k),
+      e AS (SELECT *, NOT malformed AND trim(regexp_replace(text, '\s+', ' ', 'g')) = '' AS light_empty FROM r)
+      SELECT count(*) AS lines, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE malformed) AS malformed,
+             count(*) FILTER (WHERE light_empty) AS light_empty,
+             count(*) FILTER (WHERE NOT malformed AND NOT light_empty) AS survivors
+      FROM e""",
+    "shard_assign": "WITH " + PIPE + " SELECT doc_id, CAST(shard_id AS INTEGER) AS shard_id FROM out",
+    "run_summary": "WITH " + PIPE + f""", o AS (SELECT count(*) AS n, count(DISTINCT shard_id) AS s FROM out)
+      SELECT 'records_after_cleaning' AS key, n AS value FROM o
+      UNION ALL SELECT 'shards', s FROM o
+      UNION ALL SELECT 'shard_size', {SHARD}
+      UNION ALL SELECT 'dropped_true', dropped_true FROM acc
+      UNION ALL SELECT 'dropped_reference', dropped_true + pii_replaced FROM acc""",
+    "cosine_pairs": "WITH " + SAMPLE_PAIRS + " SELECT i, j, round(c, 6) AS cosine FROM dots",
 }
