@@ -44,11 +44,13 @@ def mean_cosine(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens")
     """One row: sequences, pairs, mean pairwise cosine over the whole input."""
     n_seq = df.count()
     u = unit_vectors(token_bag(df, id_col, tokens_col))
-    per_token = u.groupBy("token").agg(F.sum("w").alias("s"))
-    sq = per_token.agg(F.sum(F.col("s") * F.col("s")).alias("sq")).first()["sq"] or 0.0
-    nonempty = u.select("id").distinct().count()
+    # one pass: per token the sum of unit weights and of their squares;
+    # sum_i |u_i|^2 (= the number of non-empty sequences) is the second total
+    per_token = u.groupBy("token").agg(F.sum("w").alias("s"), F.sum(F.col("w") * F.col("w")).alias("q"))
+    r = per_token.agg(F.sum(F.col("s") * F.col("s")).alias("sq"), F.sum("q").alias("nq")).first()
+    sq, nq = (r["sq"] or 0.0), (r["nq"] or 0.0)
     pairs = n_seq * (n_seq - 1) // 2
-    mean = (sq - nonempty) / 2.0 / pairs if pairs else None
+    mean = (sq - nq) / 2.0 / pairs if pairs else None
     return rows_frame(
         df.sparkSession, [(n_seq, pairs, mean)], "sequences long, pairs long, mean_cosine double"
     )
