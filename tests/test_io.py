@@ -67,6 +67,24 @@ def test_whole_job_on_jsonl(spark, scratch):
     assert kept > 0 and summary["shards"] == -(-kept // 20)
     texts = spark.read.json(os.path.join(out, "text"))
     assert texts.count() == kept
+    # part files concatenated in name order give the input order
+    import glob
+    import json as _json
+
+    lines = [_json.loads(ln)["text"] for f in sorted(glob.glob(os.path.join(out, "text", "part-*")))
+             for ln in open(f, encoding="utf-8") if ln.strip()]
+    from textprep.plans import pipeline as _PL
+
+    fate = _PL.fates(jsonl.read_records(spark, src).select("ord", "text", "malformed"), prof, cfg)
+    expected = [r["text"] for r in _PL.kept_texts(jsonl.read_records(spark, src), fate, cfg).orderBy("ord").collect()]
+    assert lines == expected
+    comb = [_json.loads(ln)["tokens"] for f in sorted(glob.glob(os.path.join(out, "combined", "part-*")))
+            for ln in open(f, encoding="utf-8") if ln.strip()]
+    assert len(comb) == kept
+    from textprep.plans import reports as _R
+
+    by_pos = [r["tokens"] for r in _R.read_output(spark, out).orderBy("pos").collect()]
+    assert comb == by_pos  # combined = shard records in numeric shard order
     sh = jsonl.read_shards(spark, os.path.join(out, "shards"))
     sizes = sorted(r["count"] for r in sh.groupBy("shard_id").count().collect())
     assert sizes[-1] == 20 and sum(sizes) == kept

@@ -116,9 +116,19 @@ def read_token_records(spark: SparkSession, path: str, glob: str = "*.json*") ->
     )
 
 
+def _ordered_parts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Range partitions in key order, each sorted: part files concatenate in order.
+
+    The partition count is explicit, so the writers stay parallel (adaptive
+    execution keeps a requested count instead of coalescing small outputs).
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+
+
 def write_text_jsonl(df: DataFrame, path: str, order_col: str = "ord") -> None:
     """Cleaned texts as ``{"text": ...}`` lines in ``order_col`` order."""
-    df.orderBy(order_col).select("text").write.mode("overwrite").json(path)
+    _ordered_parts(df, [order_col]).select("text").write.mode("overwrite").json(path)
 
 
 def write_shards(df: DataFrame, path: str) -> None:
@@ -147,7 +157,7 @@ def combine_shards(spark: SparkSession, shards_path: str, out_path: str) -> None
     df = spark.read.schema("tokens array<int>, shard_id int").json(shards_path)
     df = df.select("shard_id", "tokens", F.col("_metadata.file_path").alias("_f"),
                    F.monotonically_increasing_id().alias("_m"))
-    df.orderBy("shard_id", "_f", "_m").select("tokens").write.mode("overwrite").json(out_path)
+    _ordered_parts(df, ["shard_id", "_f", "_m"]).select("tokens").write.mode("overwrite").json(out_path)
 
 
 def check_jsonl(spark: SparkSession, path: str) -> DataFrame:
