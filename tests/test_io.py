@@ -166,3 +166,21 @@ def test_whole_job_with_nothing_kept(spark, scratch):
     assert o["records"] == 0
     assert rep["token_length_hist"].count() == 0
     assert rep["cosine_sample"].count() == 0  # under 10 sequences: no similarity section
+
+
+def test_command_line(spark, scratch):
+    from textprep.__main__ import main
+
+    src = os.path.join(scratch, "raw")
+    tables.documents(spark, "/root/testdata/sf0.001").orderBy("doc_id").select("text").coalesce(1).write.json(src)
+    for p in os.listdir(src):
+        if p.endswith(".json"):
+            os.rename(os.path.join(src, p), os.path.join(src, p[:-5] + ".jsonl"))
+    out = os.path.join(scratch, "out")
+    summary = main([src, out, "--train", "/root/testdata/sf0.001/documents.parquet", "--shard-size", "20"], spark)
+    assert summary["accounting"]["total"] == 200 and summary["records_after_cleaning"] > 0
+    reps = sorted(os.listdir(os.path.join(out, "reports")))
+    assert "input_summary" in reps and "output_summary" in reps and "output_drop_shares" in reps
+    again = main([src, os.path.join(scratch, "out2"), "--profile", os.path.join(out, "profile"),
+                  "--shard-size", "20", "--skip-reports"], spark)
+    assert again["records_after_cleaning"] == summary["records_after_cleaning"]
