@@ -544,11 +544,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_drop_reasons(spark, SMOKE_DIR)
 
 
+def _llm():
+    """(queries, SQL) of the optional subpackage and pipeline; empty where they are not installed."""
+    try:
+        import corpus_pipeline
+        from textprep.llm import queries as q
+    except ImportError:
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**q.QUERIES, "pipeline": corpus_pipeline.run}, {**q.ORACLE, **sql}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLE
 
-    return dict(ORACLE)
+    return {**ORACLE, **_llm()[1]}
