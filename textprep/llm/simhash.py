@@ -97,7 +97,7 @@ def co_occurrence(fps: DataFrame) -> tuple[int, np.ndarray]:
         cells = np.append(both.ravel(), n).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(4097)), pa.array(cells)], names=["cell", "n"])
 
-    rows = fps.select("fp").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    rows = fps.select("fp").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     cells = np.zeros(4097)  # 4,097 rows whatever the input
     for r in rows:
         cells[r["cell"]] = r["n"]

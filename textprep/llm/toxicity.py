@@ -20,12 +20,11 @@ Training (in Spark, then one small fit):
 Scoring is one pass without a shuffle; the model is a few hundred KB.
 """
 
-from __future__ import annotations
-
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -192,9 +191,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     docs = docs.drop(*[c for c in docs.columns if c.lower() == out.lower() and c != text_col])
 
     @F.pandas_udf("double")
-    def scored(texts: "pd.Series") -> "pd.Series":  # noqa: F821
-        import pandas as pd
-
+    def scored(texts: pd.Series) -> pd.Series:
         slots = model.table()
         return pd.Series([model.score(t or "", slots) for t in texts], dtype="float64")
 
