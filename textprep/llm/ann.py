@@ -2,10 +2,11 @@
 
 A vector is represented by the order of its ``prefix`` nearest pivots.  The
 index is a set of inverted files: for each pivot, the vectors that have it in
-their prefix, with its place there.  A query opens the files of its own nearest
-pivots, and vectors are ranked by the footrule distance of the two orders (a
-pivot missing from one of them counts as at place ``prefix``).  The best
-``share`` of the vectors, at least ``least``, is reranked by the exact measure.
+their prefix, with its place there.  A query opens the files of its own
+``opened`` nearest pivots, and vectors are ranked by the footrule distance of
+the two orders over those pivots (one that a vector lacks counts as at place
+``prefix``).  The best ``share`` of the vectors, at least ``least``, is reranked
+by the exact measure.
 
 Layout: the vectors are dealt by a hash of their identifier into shards of
 about ``SHARD`` vectors.  A shard's inverted files and vectors are a few packed
@@ -17,8 +18,9 @@ Equal vectors in a shard share one entry, which lists their identifiers in
 order, so a vector that is very common crowds out no candidate, and ties go to
 the smaller identifier.
 
-Only the pivots are a sample: ``pivots`` vectors, the first by a seeded hash of
-their identifier.  Every vector is indexed.
+Only the pivots are a sample: ``pivots`` vectors of the first 4 x ``pivots`` by a
+seeded hash of their identifier, each under cosine ``APART`` of those before it,
+so a dense cluster has no more than a few.  Every vector is indexed.
 """
 
 from collections.abc import Iterator
@@ -34,12 +36,13 @@ from ..session import materialize, ship_package
 from . import shared
 
 PIVOTS = 256
-PREFIX = 64
-SHARE = 0.1
+PREFIX = 128
+OPENED = 32
+SHARE = 0.12
+APART = 0.8
 LEAST = 500
 SHARD = 8_192
 BLOCK = 2_048
-STEP = 64  # queries scored at once
 
 
 def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -65,12 +68,15 @@ def orders(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
 
 
 def pick_pivots(vecs: DataFrame, n: int, seed: int) -> np.ndarray:
-    """At most ``n`` different directions among the first 2 n vectors by hash."""
-    rows = vecs.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(2 * n).select("v").collect()
+    """At most ``n`` directions that are ``APART``, from the first 4 n vectors by hash."""
+    rows = vecs.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(4 * n).select("v").collect()
     x = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    _, first = np.unique(x.round(9), axis=0, return_index=True)
-    return x[np.sort(first)[:n]]
+    used = np.empty((0, x.shape[1]))
+    for v in x:
+        if len(used) < n and (used @ v < APART).all():
+            used = np.vstack([used, v])
+    return used
 
 
 # rows of the index: file >= 0 is a pivot's inverted file (members, places);
@@ -104,7 +110,7 @@ def build_index(vecs: DataFrame, pivots: np.ndarray, prefix: int = PREFIX, shard
 
 
 def search_shard(index: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, k: int, prefix: int,
-                 share: float, least: int) -> pd.DataFrame:
+                 opened: int, share: float, least: int) -> pd.DataFrame:
     """Best k of a shard for every query of a block."""
     files = {f: (m, p) for f, m, p in zip(index["file"], index["members"], index["places"])}
     dim = pivots.shape[1]
@@ -117,7 +123,7 @@ def search_shard(index: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray,
     top = min(len(x), max(least, int(np.ceil(share * len(x)))))
     out: list[tuple[int, int, float]] = []
     qid, q = queries["id"].to_numpy(np.int64), np.stack(queries["v"].to_numpy()).astype(np.float64)
-    near = orders(q, pivots, prefix)
+    near = orders(q, pivots, opened)
     for i in range(len(q)):
         # footrule distance, less what a vector without any of the query's pivots has
         score = np.zeros(len(x), np.int32)
@@ -139,22 +145,22 @@ def search_shard(index: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray,
 
 
 def search(index: DataFrame, queries: DataFrame, pivots: np.ndarray, k: int = 5, prefix: int = PREFIX,
-           share: float = SHARE, least: int = LEAST, block_rows: int = BLOCK) -> DataFrame:
+           opened: int = OPENED, share: float = SHARE, least: int = LEAST, block_rows: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found, by cosine, ties to the smaller identifier."""
     spark = index.sparkSession
     blocks = max(1, -(-queries.count() // block_rows))
-    every = index.select("shard").distinct()
-    asked = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(blocks)))
+    shards = index.agg(F.max("shard")).first()[0] + 1
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
     # each block of queries goes to every shard: a stated query set against all rows, in blocks
-    shards = F.broadcast(every.agg(F.collect_list("shard").alias("shards")))  # one row; 8 bytes per 8,192 vectors
-    left = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    right = asked.join(shards, F.lit(True)).withColumn("shard", F.explode("shards")).drop("shards")
+    left = index.withColumn("block", F.explode(numbers(blocks)))
+    right = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(blocks))).withColumn(
+        "shard", F.explode(numbers(shards)))
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
                 {"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        return search_shard(a, b, pivots, k, prefix, share, least)
+        return search_shard(a, b, pivots, k, prefix, opened, share, least)
 
     ship_package(spark)
     found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(
@@ -165,8 +171,8 @@ def search(index: DataFrame, queries: DataFrame, pivots: np.ndarray, k: int = 5,
 
 
 def nearest(df: DataFrame, queries, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
-            pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST,
-            seed: int = 42) -> DataFrame:
+            pivots: int = PIVOTS, prefix: int = PREFIX, opened: int = OPENED, share: float = SHARE,
+            least: int = LEAST, seed: int = 42) -> DataFrame:
     """Each query's k nearest other rows of ``df`` by cosine: (query_id, rank, vec_id, score).
 
     ``queries`` is a condition on the identifier.  Rows that take no part (see
@@ -182,4 +188,4 @@ def nearest(df: DataFrame, queries, id_col: str = "vec_id", vec_col: str = "embe
         return vecs.sparkSession.range(0).selectExpr("id AS query_id", "int(id) AS rank", "id AS vec_id", "double(id) AS score")
     prefix = min(prefix, len(p))
     index = build_index(vecs, p, prefix)
-    return search(index, vecs.where(queries(F.col("id"))), p, k, prefix, share, least)
+    return search(index, vecs.where(queries(F.col("id"))), p, k, prefix, opened, share, least)

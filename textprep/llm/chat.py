@@ -32,7 +32,8 @@ from . import shared
 START, END = "<|im_start|>", "<|im_end|>"
 CONTROL = re.compile(r"<(\\*)\|(im_start|im_end)\|>")
 ESCAPED = re.compile(r"<\\(\\*)\|(im_start|im_end)\|>")
-TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
+# neither role nor text holds a control string: the first one that follows ends them
+TURN = re.compile(r"<\|im_start\|>((?:(?!<\|im_(?:start|end)\|>)[^\n])*+)\n((?:[^<]|<(?!\|im_(?:start|end)\|>))*+)<\|im_end\|>\n")
 
 
 def escape(text: str) -> str:
