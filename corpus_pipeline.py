@@ -44,9 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row of the mix: its token ids (packed little-endian 32-bit) and the digests of ids and decoded text."""
-    path = tokenizer_path()
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), path).drop("text")
-    return bpe.decode(ids, path).select(
+    return bpe.round_trip(docs.select("doc_id", "source", "text"), tokenizer_path()).select(
         "doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -39,8 +40,13 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 
 
 def _class(kind: str, below: int) -> str:
-    """Ranges of the assigned characters whose category begins with ``kind``, as in a regex class."""
-    hit = np.array([unicodedata.category(chr(c))[0] == kind for c in range(below)])
+    """Ranges of the characters whose category begins with ``kind``, as in a regex class.
+
+    ``regex`` knows a later Unicode version than ``unicodedata`` does.
+    """
+    every = "".join(chr(c) for c in range(below) if not 0xD800 <= c < 0xE000)
+    hit = np.zeros(below, bool)
+    hit[[ord(c) for c in regex.findall(rf"\p{{{kind}}}", every)]] = True
     edge = np.flatnonzero(np.diff(np.r_[0, hit.astype(np.int8), 0]))
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()))
 
@@ -60,7 +66,8 @@ GAP = re.compile(f"[{SPACE}]")
 SEPARATORS = re.compile("[\\x1c-\\x1f]")  # white space for str.split, but not for the tokenizer
 PIECE = 1 << 20       # characters of a piece, before the next white space
 WORDS = 250_000       # chunks looked up at once
-KNOWN = 400_000       # words and chunks a worker remembers
+KNOWN = 200_000       # words and chunks a worker remembers
+ROWS = 256            # rows handed on at once; decoded texts are large
 TOGETHER = 32         # words of under twice as many bytes are merged together with others
 WIDTH = 4_096        # words merged together
 NONE = np.iinfo(np.int32).max
@@ -324,7 +331,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(shipped.value, path)
-        for b in batches:
+        for b in in_rows(batches):
             ids = e.encode([t or "" for t in b.column(source).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(i) for i in keep), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -333,6 +340,20 @@ def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def in_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, max(1, b.num_rows), ROWS):
+            yield b.slice(at, ROWS)
+
+
+def joined(ids: bytes | None, tokens: list[str | None]) -> str:
+    """The tokens of packed ids, joined by spaces; ids that no token has are skipped."""
+    numbers = np.frombuffer(ids or b"", "<u4")
+    if len(numbers) and int(numbers.max()) >= len(tokens):
+        numbers = numbers[numbers < len(tokens)]
+    return " ".join([t for t in map(tokens.__getitem__, numbers.tolist()) if t is not None])
+
+
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """Every row of ``df`` with ``out``: the tokens of its packed ids, joined by spaces.
 
@@ -346,20 +367,39 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
     shipped = spark.sparkContext.broadcast(Vocabulary(path).tokens)
     df, schema = _extended(df, [StructField(out, StringType())])
 
-    def text(ids: bytes, tokens: list[str | None]) -> str:
-        numbers = np.frombuffer(ids or b"", "<u4")
-        if len(numbers) and int(numbers.max()) >= len(tokens):
-            numbers = numbers[numbers < len(tokens)]
-        return " ".join([t for t in map(tokens.__getitem__, numbers.tolist()) if t is not None])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = shipped.value
-        for b in batches:
-            ids = b.column(ids_col)
-            for at in range(0, max(1, b.num_rows), 256):  # decoded texts are large; hand them on in small batches
-                part = b.slice(at, 256)
-                texts = [text(x, tokens) for x in ids.slice(at, 256).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
-                                                 names=[f.name for f in schema.fields])
+        for b in in_rows(batches):
+            texts = [joined(x, tokens) for x in b.column(ids_col).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
+                                             names=[f.name for f in schema.fields])
 
     return df.mapInArrow(run, schema)
+
+
+def round_trip(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``decode(encode(df))`` without ``text_col``, in one pass: adds ``n_tokens``, ``ids`` and ``decoded``.
+
+    Texts cross to Python once, and a task holds one worker instead of one for
+    each direction.  The decoded text is made from the packed ids alone.
+    """
+    shared.require(df, text_col)
+    spark = df.sparkSession
+    ship_package(spark)
+    shipped = spark.sparkContext.broadcast(Vocabulary(path))
+    fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType()), StructField("decoded", StringType())]
+    taken = {text_col.lower(), *(f.name for f in fields)}
+    keep = [c for c in df.columns if c.lower() not in taken]
+    source = shared.fresh("source_text", df.columns)
+    schema = StructType([*df.select(*keep).schema.fields, *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(shipped.value, path)
+        for b in in_rows(batches):
+            ids = e.encode([t or "" for t in b.column(len(keep)).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array([joined(x, e.v.tokens) for x in ids], pa.string())],
+                names=[f.name for f in schema.fields])
+
+    return df.select(*keep, F.col(text_col).alias(source)).mapInArrow(run, schema)

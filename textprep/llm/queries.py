@@ -44,9 +44,8 @@ def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
-    path = tokenizer_path()
-    d = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode(d, path).select(
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe.round_trip(d, tokenizer_path()).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
