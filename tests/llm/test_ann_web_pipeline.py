@@ -57,7 +57,7 @@ def test_ann_edges(spark):
     good = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(1, 40)] + [(50, [1.0, 0, 0, 0]), (100, [2.0, 0, 0, 0]), (101, [3.0, 0, 0, 0])]
     bad = [(200, None), (250, []), (300, [0.0] * 4), (350, [1.0, None, 0, 0]), (400, [float("nan"), 1, 1, 1]), (450, [float("inf"), 1, 1, 1]),
            (None, [1.0, 1, 1, 1]), (500, [1.0, 2.0])]
-    df = spark.createDataFrame([(*r, 1) for r in good + bad], "vec_id long, embedding array<double>, rank int")
+    df = spark.createDataFrame([(i, v and [None if c is None else float(c) for c in v], 1) for i, v in good + bad], "vec_id long, embedding array<double>, rank int")
     got = {}
     for r in ann.nearest(df, lambda i: i % 50 == 0, k=3).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, pytest.approx(r.score)))
