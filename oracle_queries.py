@@ -302,11 +302,6 @@ ORACLE: dict[str, str] = {
     "residual_pii": "WITH " + PIPE + ", rp AS (SELECT " + nmatch("text", RE_R_EMAIL) + " + " + nmatch("text", RE_R_PHONE)
                     + " + " + nmatch("text", RE_R_SSN) + " AS total FROM kept), s AS (" + pii_summary("rp")
                     + ") SELECT *, pii_rate_pct > 1.0 AS warn FROM s",
-    "cosine_stats": "WITH " + SAMPLE_PAIRS + """
-      SELECT (SELECT count(*) FROM smp) AS sequences, count(*) AS pairs,
-             count(*) FILTER (WHERE x = 0) AS zero_pairs,
-             round(avg(x), 6) AS mean, round(quantile_cont(x, 0.5), 6) AS median FROM vals""",
-    "cosine_histogram": "WITH " + hist(SAMPLE_PAIRS, 50),
     "cosine_mean_all": "WITH " + PIPE + """,
       bag AS (SELECT doc_id AS id, t AS token, count(*) AS n FROM (SELECT doc_id, unnest(toks) AS t FROM out) GROUP BY 1, 2),
       nrm AS (SELECT id, sqrt(sum(n * n)) AS norm FROM bag GROUP BY id),
@@ -385,7 +380,6 @@ ORACLE: dict[str, str] = {
       SELECT 'object' AS shape, count(*) AS n, CAST(sum(len(toks)) AS BIGINT) AS tokens FROM out
       UNION ALL SELECT 'list', count(*), CAST(sum(len(toks)) AS BIGINT) FROM out
       UNION ALL SELECT 'other', count(*), CAST(0 AS BIGINT) FROM documents""",
-    "sample_first_n": "WITH " + PIPE + f" SELECT doc_id, pos FROM out WHERE pos < {SAMPLE}",
     "prepare_text": "WITH " + PIPE + " SELECT doc_id, text FROM kept",
     "prepare_dual": "WITH " + PIPE + " SELECT doc_id, text, array_to_string(toks, ' ') AS tokens FROM out",
     "drop_reasons_merged": "SELECT reason, CAST(sum(n) AS BIGINT) AS n FROM (SELECT * FROM (WITH " + pipe(D)
@@ -427,5 +421,4 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'shard_size', {SHARD}
       UNION ALL SELECT 'dropped_true', dropped_true FROM acc
       UNION ALL SELECT 'dropped_reference', dropped_true + pii_replaced FROM acc""",
-    "cosine_pairs": "WITH " + SAMPLE_PAIRS + " SELECT i, j, round(c, 6) AS cosine FROM dots",
 }

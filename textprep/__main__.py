@@ -13,11 +13,13 @@ import argparse
 import json
 import os
 
+from pyspark.sql import SparkSession
+
 from .config import PrepConfig
 from .operators import lang
 from .plans import reports
 from .plans.run import run_jsonl
-from .session import build_session
+from .session import ensure_checkpoint_dir
 
 
 def main(argv: list[str] | None = None, spark=None) -> dict:
@@ -37,7 +39,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     p.add_argument("--skip-reports", action="store_true")
     a = p.parse_args(argv)
 
-    spark = spark or build_session()
+    # master, memory and partitions are spark-submit's to set
+    spark = spark or SparkSession.builder.appName("textprep").getOrCreate()
+    ensure_checkpoint_dir(spark)
     cfg = PrepConfig(min_tokens=a.min_tokens, max_tokens=a.max_tokens, batch_size=a.batch_size,
                      dedup_scope=a.dedup_scope, shard_size=a.shard_size, seed=a.seed, do_pii=not a.no_pii)
     if a.train:

@@ -168,17 +168,21 @@ def output_report(corpus: DataFrame, fate_acc: DataFrame | None = None, runtime_
                   warn_pct: float = 1.0) -> DataFrame:
     """Output report (C9) as (section, metric, value).
 
-    ``corpus``: (text, tokens, shard_id) of the written output;
+    ``corpus``: (text, tokens, shard_id) of the written output.  Records without
+    a token list or a decoded text still count as records; duplicates and
+    lengths are over the token lists, vocabulary and PII over the texts.
     ``fate_acc``: the one-row accounting table, for drops and flow.
     """
     from ..operators import dedup
 
     spark = corpus.sparkSession
     tot = corpus.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("shard_id").alias("shards")).first()
-    dup = dedup.duplicate_counts(corpus).first()
-    lens = stats.describe(corpus.select(F.size("tokens").alias("len")), "len")
-    vr = vocab_richness(corpus).first()
-    rp = residual_pii(corpus, warn_pct).first()
+    listed = corpus.where(F.col("tokens").isNotNull())
+    texts = corpus.where(F.col("text").isNotNull())
+    dup = dedup.duplicate_counts(listed).first()
+    lens = stats.describe(listed.select(F.size("tokens").alias("len")), "len")
+    vr = vocab_richness(texts).first()
+    rp = residual_pii(texts, warn_pct).first()
     values = {
         "records": tot["n"], "shards": tot["shards"],
         "duplicates": dup["duplicates"], "duplicate_pct": dup["duplicate_pct"],
@@ -229,9 +233,13 @@ def read_output(spark, out_dir: str, decode_sample: int | None = None) -> DataFr
 
     from ..operators import rank, tokens
 
-    sh = spark.read.schema("tokens array<int>, shard_id int").json(os.path.join(out_dir, "shards"))
-    sh = sh.select("shard_id", "tokens", F.col("_metadata.file_path").alias("_f"),
-                   F.monotonically_increasing_id().alias("_m"))
+    from ..sources import jsonl
+
+    lines = spark.read.text(os.path.join(out_dir, "shards"))
+    value, tokens_of = jsonl.token_list(F.col("value"))
+    sh = lines.select("shard_id", tokens_of.alias("tokens"), value.isNull().alias("_bad"),
+                      F.col("_metadata.file_path").alias("_f"), F.monotonically_increasing_id().alias("_m"))
+    sh = sh.where(~F.col("_bad")).drop("_bad")
     ranked = rank.global_rank(sh, [F.col("shard_id"), F.col("_f"), F.col("_m")], "pos").drop("_f", "_m")
     vocab = spark.read.parquet(os.path.join(out_dir, "vocab"))
     todo = ranked if decode_sample is None else ranked.where(F.col("pos") < F.lit(decode_sample))
@@ -265,10 +273,9 @@ def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
     cos_summary, cos_hist = similarity.sample_cosine_stats(sample, "pos", "tokens", 50)
     if cos_summary.first()["sequences"] < MIN_SIMILARITY_SEQUENCES:  # the report's minimum
         cos_summary, cos_hist = cos_summary.limit(0), cos_hist.limit(0)
-    lengths = corpus.select(F.size("tokens").alias("len"))
+    lengths = corpus.where(F.col("tokens").isNotNull()).select(F.size("tokens").alias("len"))
     return {
-        "summary": output_report(corpus.where(F.col("text").isNotNull()) if cfg.decode_sample is None else texts,
-                                 acc, runtime, cfg.residual_pii_warn_pct),
+        "summary": output_report(corpus, acc, runtime, cfg.residual_pii_warn_pct),
         "drop_shares": stats.with_share(reasons).orderBy(F.col("n").desc(), F.col("reason")),
         "flow": flow(acc),
         "token_length": describe_table(lengths, "len"),

@@ -9,7 +9,7 @@ count (one small row per split) give every line its global position.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -98,6 +98,12 @@ def line_counters(records: DataFrame, limit: int | None = None) -> DataFrame:
     )
 
 
+def token_list(value: Column) -> tuple[Column, Column]:
+    """(JSON value, token list) of a shard line: ``{"tokens": [...]}`` or a bare ``[...]``."""
+    v = F.try_parse_json(value)
+    return v, F.coalesce(F.try_variant_get(v, "$.tokens", "array<int>"), F.try_variant_get(v, "$", "array<int>"))
+
+
 def read_token_records(spark: SparkSession, path: str, glob: str = "*.json*") -> DataFrame:
     """Shard lines: ``{"tokens": [...]}`` or a bare ``[...]``.
 
