@@ -70,7 +70,9 @@ def orders(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
 def pick_pivots(vecs: DataFrame, n: int, seed: int) -> np.ndarray:
     """At most ``n`` directions that are ``APART``, from the first 4 n vectors by hash."""
     rows = vecs.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(4 * n).select("v").collect()
-    x = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1)
+    if not rows:
+        return np.empty((0, 0))
+    x = np.array([r["v"] for r in rows], np.float64)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
     used = np.empty((0, x.shape[1]))
     for v in x:
