@@ -58,6 +58,17 @@ def test_bpe_equals_the_library(spark, monkeypatch):
     assert bpe.encode(df.limit(0), PATH).count() == bpe.round_trip(df.limit(0), PATH).count() == 0
 
 
+def test_bpe_composes_as_the_library_does():
+    marks = [chr(c) for c in range(0x110000) if unicodedata.combining(chr(c))]
+    rng, bases = random.Random(5), "aeo가각क\U00011935"
+    texts = ["".join(rng.choice(bases if rng.random() < 0.3 else marks) for _ in range(8)) for _ in range(20_000)]
+    texts += [f"a{m}\u0334\u0301{m}" for m in marks] + ["\U00011935\U00011930\U00011938"]
+    got = bpe.Encoder(bpe.Vocabulary(PATH)).encode(texts)
+    want = tokenizers.Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    for t, ids, w in zip(texts, got, want):
+        assert np.frombuffer(ids, "<u4").tolist() == w.ids, ascii(t)
+
+
 def test_bpe_pieces_hold_no_seam(monkeypatch):
     monkeypatch.setattr(bpe, "PIECE", 50)
     monkeypatch.setattr(bpe, "WORDS", 20)

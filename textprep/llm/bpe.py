@@ -1,6 +1,6 @@
 """BPE encoding and decoding with a public tokenizer file (``word`` kind: end-of-word suffix).
 
-A text is NFC-normalised, lower-cased character by character and split into
+A text is NFC-normalised (Unicode 9, as the library does), lower-cased character by character and split into
 words; a word's UTF-8 bytes are its first symbols, the last one with the end
 suffix.  Merging uses a segment tree over the ranks of adjacent pairs: leaf i
 holds (rank, i) of the pair that begins at symbol i, every node the smaller of
@@ -62,6 +62,16 @@ def words_of(below: int) -> re.Pattern:
     return re.compile(f"[{letter}]+|'s|'t|'re|'ve|'m|'ll|'d|[{number}]|[^{SPACE}{letter}{number}]+")
 
 
+# Combining marks of Unicode 10 and later, and a late composite's second half.
+# The library composes by Unicode 9, where none of them has a class or composes.
+LATE_MARKS = """
+    7fd 898-89f 8ca-8d3 9fe c3c d3b-d3c eba 1715 1abf-1ace 1df6-1dfa a82c 10d24-10d27 10eab-10eac
+    10efd-10eff 10f46-10f50 10f82-10f85 11070 1133b 1145e 11839-1183a 11930 1193d-1193e 11943 119e0
+    11a34 11a47 11a99 11d42 11d44-11d45 11d97 11f41-11f42 16ff0-16ff1 1e08f 1e130-1e136 1e2ae
+    1e2ec-1e2ef 1e4ec-1e4ef
+"""
+LATE = re.compile("([" + "".join("-".join(chr(int(x, 16)) for x in span.split("-")) for span in LATE_MARKS.split()) + "])")
+
 GAP = re.compile(f"[{SPACE}]")
 SEPARATORS = re.compile("[\\x1c-\\x1f]")  # white space for str.split, but not for the tokenizer
 PIECE = 1 << 20       # characters of a piece, before the next white space
@@ -110,6 +120,11 @@ class Vocabulary:
         return self._table
 
 
+def composed(text: str) -> str:
+    """NFC as of Unicode 9: later marks stay where they are, and nothing composes across them."""
+    return "".join(unicodedata.normalize("NFC", x) for x in LATE.split(text))
+
+
 def merge_together(v: Vocabulary, words: list[bytes]) -> list[bytes]:
     """Packed ids of short words, all trees stepped at once."""
     n = len(words)
@@ -241,7 +256,7 @@ class Encoder:
         """Chunks between white space of a piece without control tokens."""
         if not piece.isascii():
             # each capital sigma on its own, whatever stands around it
-            piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+            piece = composed(piece).replace("Σ", "σ")
         piece = piece.lower()
         return [c for c in GAP.split(piece) if c] if SEPARATORS.search(piece) else piece.split()
 
