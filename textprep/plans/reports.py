@@ -236,6 +236,8 @@ def read_output(spark, out_dir: str, decode_sample: int | None = None) -> DataFr
     from ..sources import jsonl
 
     lines = spark.read.text(os.path.join(out_dir, "shards"))
+    if "shard_id" not in lines.columns:  # nothing was kept: no shard folder to take the column from
+        lines = lines.withColumn("shard_id", F.lit(None).cast("int"))
     value, tokens_of = jsonl.token_list(F.col("value"))
     sh = lines.select("shard_id", tokens_of.alias("tokens"), value.isNull().alias("_bad"),
                       F.col("_metadata.file_path").alias("_f"), F.monotonically_increasing_id().alias("_m"))
