@@ -67,6 +67,23 @@ def test_ann_edges(spark):
     assert ann.nearest(df.limit(0), lambda i: i % 50 == 0).count() == 0
 
 
+def recall(spark, rows, k=5, every=40, **kw):
+    want = exact(rows, {i for i, _ in rows if i % every == 0}, k)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    found = ann.nearest(df, lambda i: i % every == 0, k=k, **kw).collect()
+    assert len(found) == sum(map(len, want.values()))
+    out = sum(r.vec_id in {j for j, _ in want[r.query_id]} for r in found) / len(found)
+    print(f"recall {out:.4f}")
+    return out
+
+
+def test_ann_recall_in_a_narrow_cone(spark):
+    """Vectors with a shared mean, eight times as many as are reranked at least."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(100, 32))[rng.integers(0, 100, 8 * ann.LEAST)] + 0.6 * rng.normal(size=(8 * ann.LEAST, 32)) + 4.0
+    assert recall(spark, list(enumerate(x))) >= 0.9
+
+
 # ------------------------------------------------------------ archives
 
 def plain_archive(rows, least=100):

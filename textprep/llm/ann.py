@@ -18,12 +18,14 @@ Equal vectors in a shard share one entry, which lists their identifiers in
 order, so a vector that is very common crowds out no candidate, and ties go to
 the smaller identifier.
 
-Only the pivots are a sample: ``pivots`` vectors of the first 4 x ``pivots`` by a
-seeded hash of their identifier, each under cosine ``APART`` of those before it,
-so a dense cluster has no more than a few.  Every vector is indexed.
+Only the pivots are a sample: ``pivots`` of the first 4 x ``pivots`` distinct
+vectors by a seeded hash.  Directions are taken from the sample's mean, so vectors
+in a narrow cone are told apart too.  Pivots under cosine ``APART`` of those
+before them come first, so a dense cluster has no more than a few; where these
+are too few, closer ones fill up, farthest first.  Every vector is indexed.
 """
 
-from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -61,24 +63,53 @@ def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return d.where(F.size("v") == (dim["dim"] if dim else 0))
 
 
-def orders(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
+class Pivots(NamedTuple):
+    directions: np.ndarray  # unit vectors
+    mean: np.ndarray        # of the sample, taken off every unit vector
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
+def orders(x: np.ndarray, pivots: Pivots, prefix: int) -> np.ndarray:
     """The ``prefix`` nearest pivots of each vector, nearest first; ties to the smaller pivot number."""
-    near = x @ pivots.T / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    near = (unit(x) - pivots.mean) @ pivots.directions.T
     return np.argsort(-near, axis=1, kind="stable")[:, :prefix].astype(np.int16)
 
 
-def pick_pivots(vecs: DataFrame, n: int, seed: int) -> np.ndarray:
-    """At most ``n`` directions that are ``APART``, from the first 4 n vectors by hash."""
-    rows = vecs.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(4 * n).select("v").collect()
+def choose(pool: np.ndarray, n: int) -> Pivots:
+    """``n`` distinct directions of ``pool``, fewer only where it has fewer."""
+    x = unit(pool)
+    mean = x.mean(0)
+    d = x - mean
+    off = np.linalg.norm(d, axis=1) > 1e-9
+    if not off.any():  # one direction: nothing to tell apart
+        return Pivots(x[:1], np.zeros_like(mean))
+    d = unit(d[off])
+    closest = np.full(len(d), -1.0)  # each one's highest cosine to a pivot
+    used: list[int] = []
+
+    def use(i: int) -> None:
+        used.append(i)
+        np.maximum(closest, d @ d[i], out=closest)
+
+    for i in range(len(d)):
+        if len(used) < n and closest[i] < APART:
+            use(i)
+    while len(used) < n and closest.min() < 1 - 1e-12:
+        use(int(closest.argmin()))
+    return Pivots(d[used], mean)
+
+
+def pick_pivots(vecs: DataFrame, n: int, seed: int) -> Pivots:
+    """At most ``n`` pivots, from the first 4 n distinct vectors by hash."""
+    hashed = vecs.select("v", F.xxhash64(F.lit(seed), "v").alias("h"))
+    first = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(4 * n).collect()]
+    rows = hashed.where(F.col("h").isin(first)).groupBy("h").agg(F.min("v").alias("v")).orderBy("h").collect()
     if not rows:
-        return np.empty((0, 0))
-    x = np.array([r["v"] for r in rows], np.float64)
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    used = np.empty((0, x.shape[1]))
-    for v in x:
-        if len(used) < n and (used @ v < APART).all():
-            used = np.vstack([used, v])
-    return used
+        return Pivots(np.empty((0, 0)), np.empty(0))
+    return choose(np.array([r["v"] for r in rows], np.float64), n)
 
 
 # rows of the index: file >= 0 is a pivot's inverted file (members, places);
@@ -86,7 +117,7 @@ def pick_pivots(vecs: DataFrame, n: int, seed: int) -> np.ndarray:
 INDEX = "shard long, file int, members binary, places binary"
 
 
-def build_index(vecs: DataFrame, pivots: np.ndarray, prefix: int = PREFIX, shard_rows: int = SHARD) -> DataFrame:
+def build_index(vecs: DataFrame, pivots: Pivots, prefix: int = PREFIX, shard_rows: int = SHARD) -> DataFrame:
     """The inverted files of every shard, from ``vectors``; written to the shared folder."""
     shards = max(1, -(-vecs.count() // shard_rows))
     ship_package(vecs.sparkSession)
@@ -99,7 +130,7 @@ def build_index(vecs: DataFrame, pivots: np.ndarray, prefix: int = PREFIX, shard
         pivot, place = near.ravel(), np.tile(np.arange(near.shape[1], dtype="<i2"), len(x))
         member = np.repeat(np.arange(len(x), dtype="<i4"), near.shape[1])
         by = np.argsort(pivot, kind="stable")
-        cut = np.searchsorted(pivot[by], np.arange(len(pivots) + 1))
+        cut = np.searchsorted(pivot[by], np.arange(len(pivots.directions) + 1))
         rows = [(i, member[by[a:b]].tobytes(), place[by[a:b]].tobytes()) for i, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
         rows.append((-1, x.tobytes(), b""))
         rows.append((-2, pdf["id"].to_numpy("<i8").tobytes(), entry.astype("<i4").tobytes()))
@@ -111,11 +142,11 @@ def build_index(vecs: DataFrame, pivots: np.ndarray, prefix: int = PREFIX, shard
     return shared.written(dealt.groupBy("shard").applyInPandas(run, INDEX), "ann-index")
 
 
-def search_shard(index: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, k: int, prefix: int,
+def search_shard(index: pd.DataFrame, queries: pd.DataFrame, pivots: Pivots, k: int, prefix: int,
                  opened: int, share: float, least: int) -> pd.DataFrame:
     """Best k of a shard for every query of a block."""
     files = {f: (m, p) for f, m, p in zip(index["file"], index["members"], index["places"])}
-    dim = pivots.shape[1]
+    dim = len(pivots.mean)
     x = np.frombuffer(files[-1][0], "<f8").reshape(-1, dim)
     ids, entry = np.frombuffer(files[-2][0], "<i8"), np.frombuffer(files[-2][1], "<i4")
     by = np.lexsort((ids, entry))
@@ -146,7 +177,7 @@ def search_shard(index: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray,
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
-def search(index: DataFrame, queries: DataFrame, pivots: np.ndarray, k: int = 5, prefix: int = PREFIX,
+def search(index: DataFrame, queries: DataFrame, pivots: Pivots, k: int = 5, prefix: int = PREFIX,
            opened: int = OPENED, share: float = SHARE, least: int = LEAST, block_rows: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found, by cosine, ties to the smaller identifier."""
     spark = index.sparkSession
@@ -186,8 +217,8 @@ def nearest(df: DataFrame, queries, id_col: str = "vec_id", vec_col: str = "embe
     shared.require(df, id_col, vec_col)
     vecs = materialize(vectors(df, id_col, vec_col))
     p = pick_pivots(vecs, pivots, seed)
-    if not len(p):
+    if not len(p.directions):
         return vecs.sparkSession.range(0).selectExpr("id AS query_id", "int(id) AS rank", "id AS vec_id", "double(id) AS score")
-    prefix = min(prefix, len(p))
+    prefix = min(prefix, len(p.directions))
     index = build_index(vecs, p, prefix)
     return search(index, vecs.where(queries(F.col("id"))), p, k, prefix, opened, share, least)
