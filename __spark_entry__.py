@@ -312,6 +312,12 @@ def q_cosine_mean_all(spark, sf):
     return R.rounded(similarity.mean_cosine(_kept_tokens(spark, sf), "pos", "tokens"), 6)
 
 
+def q_cosine_to_centroid(spark, sf):
+    summary, hist = R.similarity_distribution(_kept_tokens(spark, sf))
+    one = summary.select(F.col("count").alias("sequences"), "mean", "median")
+    return R.rounded(hist.crossJoin(F.broadcast(one)), 6)
+
+
 def q_input_report(spark, sf):
     d = _docs(spark, sf)
     det = lang.detect(d.where(T.clean_text("text") != "").select("ord", "text"), _profile(spark, sf))
@@ -490,6 +496,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vocab_histogram": q_vocab_histogram,
     "residual_pii": q_residual_pii,
     "cosine_mean_all": q_cosine_mean_all,
+    "cosine_to_centroid": q_cosine_to_centroid,
     "input_report": q_input_report,
     "output_report": q_output_report,
     "jsonl_tolerant_scan": q_jsonl_tolerant_scan,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from textprep.config import PrepConfig  # noqa: E402
 from textprep.functions import text as T  # noqa: E402
-from textprep.operators import dedup, lang, rank, similarity, stats, tokens  # noqa: E402
+from textprep.operators import dedup, lang, similarity, stats, tokens  # noqa: E402
 from textprep.plans import pipeline as PL  # noqa: E402
 from textprep.plans import reports as R  # noqa: E402
 from textprep.plans.run import run_pipeline  # noqa: E402
@@ -72,8 +72,7 @@ def main() -> None:
         R.residual_pii(kept).collect(),
         dedup.duplicate_counts(sh).collect(),
     ))
-    timed("cosine_sample", lambda: similarity.sample_cosine_stats(
-        rank.first_n(sh, cfg.similarity_sample), "pos", "tokens")[0].collect())
+    timed("cosine_to_centroid", lambda: [d.collect() for d in R.similarity_distribution(sh)])
     timed("cosine_mean_all", lambda: similarity.mean_cosine(sh, "pos", "tokens").collect())
 
     kept_n = summary["records_after_cleaning"]

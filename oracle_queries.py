@@ -310,6 +310,15 @@ ORACLE: dict[str, str] = {
       nn AS (SELECT count(*) AS s FROM out)
       SELECT s AS sequences, CAST(s * (s - 1) / 2 AS BIGINT) AS pairs, round(c / (s * (s - 1) / 2), 6) AS mean_cosine
       FROM nn CROSS JOIN dots""",
+    "cosine_to_centroid": "WITH " + hist(PIPE + """,
+      bag AS (SELECT doc_id AS id, t AS token, count(*) AS n FROM (SELECT doc_id, unnest(toks) AS t FROM out) GROUP BY 1, 2),
+      nrm AS (SELECT id, sqrt(sum(n * n)) AS norm FROM bag GROUP BY id),
+      u AS (SELECT bag.id, token, n / norm AS w FROM bag JOIN nrm USING (id)),
+      cen AS (SELECT token, sum(w) AS s FROM u GROUP BY token),
+      dots AS (SELECT id, sum(w * s) / (SELECT sqrt(sum(s * s)) FROM cen) AS c FROM u JOIN cen USING (token) GROUP BY id),
+      vals AS (SELECT round(coalesce(c, 0), 12) AS x FROM out LEFT JOIN dots ON dots.id = out.doc_id),
+      sm AS (SELECT count(*) AS sequences, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.5), 6) AS median FROM vals)
+      """, 50).replace("SELECT CAST(r.range", "SELECT sm.*, CAST(r.range") + " CROSS JOIN sm",
     "input_report": "WITH " + LANG + ", " + PIIC + """,
       v AS (SELECT pct.total FROM pct JOIN d USING (doc_id) WHERE d.clean <> ''),
       dv AS (SELECT dl.* FROM dl JOIN d USING (doc_id) WHERE d.clean <> ''),

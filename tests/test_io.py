@@ -184,3 +184,17 @@ def test_command_line(spark, scratch):
     again = main([src, os.path.join(scratch, "out2"), "--profile", os.path.join(out, "profile"),
                   "--shard-size", "20", "--skip-reports"], spark)
     assert again["records_after_cleaning"] == summary["records_after_cleaning"]
+
+
+def test_output_report_similarity_of_all_sequences(spark, scratch):
+    from textprep.plans import reports as R
+    from textprep.plans.run import run_pipeline
+
+    docs = tables.documents(spark, "/root/testdata/sf0.001")
+    out = os.path.join(scratch, "out")
+    cfg = PrepConfig(shard_size=20, similarity_sample=10)
+    kept = run_pipeline(spark, docs, out, lang.train_profile(docs), cfg)["records_after_cleaning"]
+    rep = R.output_report_files(spark, out, cfg)
+    assert rep["cosine_sample"].first()["sequences"] == 10 < kept
+    assert rep["cosine_to_centroid"].first()["count"] == kept
+    assert sum(r["n"] for r in rep["cosine_to_centroid_hist"].collect()) == kept

@@ -205,3 +205,26 @@ def test_bucketed_and_ordinal_rank(spark):
     skewed = spark.createDataFrame([(v,) for v in list(range(5000)) + [10**12]], "v long")
     got2 = {r["v"]: r["pos"] for r in rank.ordinal_rank(skewed, "v").collect()}
     assert got2[10**12] == 5000 and got2[4999] == 4999
+
+
+def test_centroid_cosines_of_all_sequences(spark, monkeypatch):
+    """More sequences than the reference's sample, hot and cold tokens, sequences without tokens."""
+    from textprep.plans import reports
+
+    rng = random.Random(8)
+    seqs = [[min(rng.randrange(40), rng.randrange(40)) for _ in range(rng.randrange(1, 12))] for _ in range(700)] + [[], None]
+    df = spark.createDataFrame(list(enumerate(seqs)), "pos long, tokens array<int>")
+    x = np.array([np.bincount(s or [], minlength=40).astype(float) for s in seqs])
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    want = x @ x.sum(0) / np.linalg.norm(x.sum(0))
+    for hot in (3, similarity.HOT_TOKENS):
+        monkeypatch.setattr(similarity, "HOT_TOKENS", hot)
+        got = {r["id"]: r["cosine"] for r in similarity.centroid_cosines(df).collect()}
+        assert [got[i] for i in range(len(seqs))] == pytest.approx(list(want))
+    summary, hist = reports.similarity_distribution(df)
+    s = summary.first()
+    assert s["count"] == 702 and s["mean"] == pytest.approx(want.mean()) and s["median"] == pytest.approx(np.median(want))
+    bins = hist.orderBy("bin").collect()
+    assert [r["n"] for r in bins] == np.histogram(want.round(12), 50)[0].tolist()
+    empty = reports.similarity_distribution(df.limit(0))
+    assert empty[0].first()["count"] == 0 and empty[1].count() == 0

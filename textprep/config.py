@@ -26,7 +26,7 @@ class PrepConfig:
     # first 1,000 decoded texts) are available as parameters for parity
     report_sample_lines: int | None = None       # input report: first N lines
     decode_sample: int | None = None             # output report: first N decoded texts
-    similarity_sample: int = 500                 # pairwise cosine: first N shuffled sequences (quadratic)
+    similarity_sample: int | None = None         # pairwise cosine: first N shuffled sequences (quadratic); 500 = the reference's
     others_share: float = 0.001                  # languages under this share roll up to "Others"
     residual_pii_warn_pct: float = 1.0
 
@@ -35,11 +35,12 @@ class PrepConfig:
             raise ValueError("need 0 <= min_tokens <= max_tokens")
         if self.dedup_scope not in ("batch", "global"):
             raise ValueError("dedup_scope must be 'batch' or 'global'")
-        for name in ("batch_size", "shard_size", "similarity_sample"):
+        for name in ("batch_size", "shard_size"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
-        if self.lang_sample_chars is not None and self.lang_sample_chars <= 0:
-            raise ValueError("lang_sample_chars must be positive or None")
+        for name in ("lang_sample_chars", "similarity_sample"):
+            if getattr(self, name) is not None and getattr(self, name) <= 0:
+                raise ValueError(f"{name} must be positive or None")
 
     def with_(self, **kw) -> "PrepConfig":
         return replace(self, **kw)

@@ -5,6 +5,10 @@
   without forming pairs: with unit vectors u_i,
   ``sum_{i<j} u_i.u_j = (|sum_i u_i|^2 - #non-empty) / 2``, one aggregation by
   token.
+* ``centroid_cosines``: each sequence's cosine to the corpus centroid
+  ``sum_i u_i``, over all sequences.  The centroid's ``HOT_TOKENS`` most
+  frequent tokens are broadcast, the others joined by token, so no join key
+  holds more than a ``HOT_TOKENS``-th of the entries.
 * ``pair_cosines``: the pairwise values of a bounded sample (the reference's
   first-N sequences).  Pairs are formed inside blocks: sequences are cut into
   blocks of ``block`` rows, each block's entries are replicated to its
@@ -23,6 +27,7 @@ from ..session import materialize, rows_frame
 from . import stats
 
 COSINE_DIGITS = 12
+HOT_TOKENS = 16_384
 
 
 def token_bag(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens") -> DataFrame:
@@ -56,6 +61,20 @@ def mean_cosine(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens")
     )
 
 
+def centroid_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens") -> DataFrame:
+    """(id, cosine): every sequence's cosine to the centroid of the unit vectors; 0 without tokens."""
+    ids = df.select(F.col(id_col).alias("id"))
+    u = materialize(unit_vectors(token_bag(df, id_col, tokens_col)))
+    centroid = materialize(u.groupBy("token").agg(F.sum("w").alias("s"), F.count(F.lit(1)).alias("k")))
+    length = centroid.agg(F.sqrt(F.sum(F.col("s") * F.col("s")))).first()[0] or 1.0
+    hot = F.broadcast(centroid.orderBy(F.col("k").desc(), "token").limit(HOT_TOKENS).select("token", "s"))
+    cold = u.join(hot, "token", "left_anti").join(centroid.select("token", "s"), "token")
+    entries = u.join(hot, "token").select("id", "w", "s").unionByName(cold.select("id", "w", "s"))
+    dots = entries.groupBy("id").agg((F.sum(F.col("w") * F.col("s")) / F.lit(length)).alias("c"))
+    return ids.join(dots, "id", "left").select(
+        "id", F.round(F.coalesce("c", F.lit(0.0)), COSINE_DIGITS).alias("cosine"))
+
+
 def pair_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
                  block: int = 128) -> DataFrame:
     """(i, j, cosine) for i < j over pairs sharing at least one token.

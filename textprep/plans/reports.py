@@ -15,7 +15,7 @@ from ..functions import text as T
 from ..operators import stats
 from ..session import rows_frame
 
-# the similarity section of the output report needs this many sequences
+# the pairwise sample of the output report needs this many sequences
 MIN_SIMILARITY_SEQUENCES = 10
 
 
@@ -249,8 +249,23 @@ def read_output(spark, out_dir: str, decode_sample: int | None = None) -> DataFr
     return ranked.join(text, "pos", "left")
 
 
+def similarity_distribution(corpus: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
+                            bins: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(summary, histogram) of every sequence's cosine to the corpus centroid."""
+    from ..operators import similarity
+    from ..session import materialize
+
+    cos = materialize(similarity.centroid_cosines(corpus, id_col, tokens_col))
+    return describe_table(cos, "cosine"), stats.histogram(cos, "cosine", bins)
+
+
 def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
-    """The output report (C9) on a written output folder: summary and tables."""
+    """The output report (C9) on a written output folder: summary and tables.
+
+    Similarity is over all sequences; ``cosine_sample`` and ``cosine_hist``, the
+    reference's pairs of the first sequences, are empty unless
+    ``similarity_sample`` is set.
+    """
     import os
 
     from ..config import DROP_REASONS, PrepConfig
@@ -271,7 +286,8 @@ def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
     acc = rows_frame(spark, [(kept, dropped_true, dropped_true + pii, pii)],
                                 "kept long, dropped_true long, dropped_ref long, pii_replaced long")
     runtime = meta.get("runtime_sec") or None
-    sample = rank.first_n(corpus, cfg.similarity_sample, "pos")
+    centroid, centroid_hist = similarity_distribution(corpus)
+    sample = rank.first_n(corpus, cfg.similarity_sample or 0, "pos")
     cos_summary, cos_hist = similarity.sample_cosine_stats(sample, "pos", "tokens", 50)
     if cos_summary.first()["sequences"] < MIN_SIMILARITY_SEQUENCES:  # the report's minimum
         cos_summary, cos_hist = cos_summary.limit(0), cos_hist.limit(0)
@@ -285,6 +301,8 @@ def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
         "unique_words_hist": stats.histogram(texts.select(T.unique_words_lower("text").alias("u")), "u", 30),
         "lexical_diversity_hist": stats.histogram(texts.select(T.lexical_diversity("text").alias("d")), "d", 30),
         "residual_pii_hist": stats.integer_histogram(texts.select(T.pii_counts("text")["total"].alias("t")), "t", 10),
+        "cosine_to_centroid": centroid,
+        "cosine_to_centroid_hist": centroid_hist,
         "cosine_sample": cos_summary,
         "cosine_hist": cos_hist,
         "cosine_mean_all": similarity.mean_cosine(corpus, "pos", "tokens"),
