@@ -156,6 +156,26 @@ def test_layout(page, text):
     assert html_layout.page_text(page).split("\n") == text.split("\n")
 
 
+EMBEDDED = [
+    ("so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>.", "so x=1 2."),
+    ("<math><semantics><mi>y</mi><annotation encoding='application/x-tex'>\\no</annotation></semantics></math>", "y"),
+    ("<svg><title>no</title><defs><text>no</text></defs><g>no<text x=1>A<tspan>B</tspan></text><text>C</text></g></svg>", "AB C"),
+    ("<svg><g display=none><text>no</text></g><foreignObject><p>in</p></foreignObject></svg>", "in"),
+    ("<svg><text><a href=x>link</a></text><path d=z><p>after", "link\n\nafter"),
+    ("<filter>html</filter> <desc>text</desc>", "html text"),
+    ("size <select><option>S<option selected>M<option>L</select> now", "size M now"),
+    ("<select><option disabled>pick<optgroup label=g><option>first</optgroup></select>", "first"),
+    ("<select multiple><optgroup label=g><option>a<option label=bee>b</select>", "g\na\nbee"),
+    ("<select><option>a<input value=b><p>c", "a b\n\nc"),
+    ("<object data=x.pdf><param name=n>see <a href=x.pdf>file</a></object>", "see file"),
+]
+
+
+@pytest.mark.parametrize("page,text", EMBEDDED)
+def test_layout_of_embedded_text(page, text):
+    assert html_layout.page_text(page).split("\n") == text.split("\n")
+
+
 def test_layout_of_odd_pages(spark):
     deep = "<div>" * 20_000 + "in" + "</li>" * 1000 + "</div>" * 20_000
     nested = "<ul><li>" * 500 + "x"

@@ -7,9 +7,17 @@ without a start) is followed by a rendering walk that emits all visible text:
   keep a blank line around them, ``br`` breaks a line, ``pre`` keeps its spaces;
 - list items get ``- `` or their number, their other lines are indented;
 - table cells are aligned in columns, with column and row spans;
+- formulas (``math``) are in line, parts of fractions, scripts and rows apart by a
+  space; of an ``svg`` the text elements and ``foreignObject``; of a ``select`` the
+  chosen option (the last marked ``selected``, else the first that is enabled),
+  of one that shows a list (``multiple``, ``size``) all; of an ``object`` its fallback;
 - what a browser does not show is left out: head, scripts, styles, templates,
   comments, ``hidden`` elements, ``display:none`` and ``visibility:hidden``
-  (until a descendant is made visible again).
+  (until a descendant is made visible again); ``datalist``; the fallback in
+  ``audio``, ``video``, ``canvas``, ``iframe``, ``noscript``, ``noembed`` and
+  ``noframes``, for browsers without them; annotations and phantoms of formulas;
+  of an ``svg`` definitions, titles and descriptions.  Text that an ``svg``
+  defines and draws by ``use`` is left out too.
 
 Both passes are iterative, so nesting depth is not bounded by the interpreter.
 """
@@ -32,8 +40,16 @@ from . import shared
 # fixed values of the HTML language
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video "
-                   "canvas svg math select area base link meta param source track".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video "
+                   "canvas area base link meta param source track".split())
+SVG_UNSEEN = frozenset("defs symbol clippath mask pattern marker lineargradient radialgradient filter desc metadata".split())
+MATH_UNSEEN = frozenset("annotation annotation-xml mphantom".split())
+MATH_PARTS = frozenset("mfrac msub msup msubsup munder mover munderover mroot mmultiscripts mtable mtr mlabeledtr".split())
+# these end an svg or math that is left open, but within elements that hold HTML
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+                       "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+FOREIGN = frozenset("svg math".split())
+HOLDS_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 BLOCKS = frozenset("address article aside blockquote body center details dialog dd dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup "
                    "option p pre section summary table tbody td tfoot th thead tr ul caption".split())
@@ -50,6 +66,7 @@ IMPLIED = {
     "thead": ("tbody thead tfoot tr td th caption colgroup", "table"),
     "tfoot": ("tbody thead tfoot tr td th caption colgroup", "table"),
     "option": ("option", "select datalist optgroup"), "optgroup": ("option optgroup", "select"),
+    "select": ("select", ""), "input": ("select", ""), "textarea": ("select", ""),
     "body": ("head", "html"),
 }
 IMPLIED_SETS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in IMPLIED.items()}
@@ -68,10 +85,19 @@ DEEPEST = 64  # lists, quotations and cells nested deeper are rendered in line w
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "within")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
+    def __init__(self, tag: str, attrs: dict[str, str], within: str = ""):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.within = within  # "svg", "text" (of an svg), "math" or "" for HTML
+
+    def inside(self) -> str:
+        """``within`` of its children."""
+        if self.tag in FOREIGN:
+            return self.tag
+        if self.within == "svg" and self.tag in ("text", "foreignobject"):
+            return "text" if self.tag == "text" else ""
+        return self.within
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -134,7 +160,9 @@ def build(source: str) -> Node:
         if tag == "html":
             root.attrs = attributes(m[3]) | root.attrs
             continue
-        node = Node(tag, attributes(m[3]))
+        if tag in BREAKS_OUT and stack[-1].inside():
+            close(FOREIGN, HOLDS_HTML)
+        node = Node(tag, attributes(m[3]), stack[-1].inside())
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|\Z", re.I).search(source, pos)
@@ -259,6 +287,51 @@ def table_lines(rows: list[list[Cell]]) -> list[str]:
     return out
 
 
+def shown_options(select: Node) -> list[Node] | None:
+    """The option that a drop-down shows; None for a list, which shows all."""
+    size = select.attrs.get("size", "").strip()
+    if "multiple" in select.attrs or size.isdecimal() and size.isascii() and size.lstrip("0") not in ("", "1"):
+        return None
+    options: list[Node] = []
+    enabled: list[Node] = []
+    walk = [(select, False)]
+    while walk:
+        n, barred = walk.pop()
+        barred = barred or n.tag in ("option", "optgroup") and "disabled" in n.attrs
+        if n.tag == "option":
+            options.append(n)
+            if not barred:
+                enabled.append(n)
+        walk += [(c, barred) for c in reversed(n.children) if isinstance(c, Node)]
+    return [o for o in options if "selected" in o.attrs][-1:] or enabled[:1] or options[:1]
+
+
+def apart(children: list) -> list:
+    """Children with a space between them."""
+    return [x for c in children for x in (" ", c)][1:]
+
+
+def content(node: Node) -> list:
+    """Children that are rendered in an element's place."""
+    tag, label = node.tag, node.attrs.get("label")
+    if node.within == "svg" or tag == "svg":
+        if tag == "text":
+            return [" ", *node.children, " "]
+        return node.children if tag == "foreignobject" else [c for c in node.children if isinstance(c, Node)]
+    if tag == "math":
+        return [" ", *node.children, " "] if node.attrs.get("display", "").lower() == "block" else node.children
+    if node.within == "math" and tag in MATH_PARTS:
+        return apart(node.children)
+    if tag == "select":
+        shown = shown_options(node)
+        return node.children if shown is None else [" ", *(c for o in shown for c in content(o)), " "]
+    if tag == "option" and label:
+        return [label]
+    if tag == "optgroup" and label:
+        return [label, *node.children]
+    return node.children
+
+
 class Open(NamedTuple):
     """What an element being rendered has to finish."""
     node: Node
@@ -303,6 +376,14 @@ def render(root: Node) -> str:
         tag, attrs = node.tag, node.attrs
         if tag in UNSEEN or "hidden" in attrs and attrs["hidden"].lower() != "until-found":
             continue
+        if node.within:
+            if tag in (MATH_UNSEEN if node.within == "math" else SVG_UNSEEN):
+                continue
+            if node.within != "math":  # styles as attributes
+                if attrs.get("display", "").strip().lower() == "none":
+                    continue
+                if (v := attrs.get("visibility", "").strip().lower()) in ("hidden", "collapse", "visible"):
+                    seen = v == "visible"
         style = attrs.get("style", "")
         if style:
             if NOT_SHOWN.search(style):
@@ -350,7 +431,7 @@ def render(root: Node) -> str:
             inner = Flow()
             walk.append(((kind, inner, node), flow, seen, pre, lists, depth))
             depth += 1
-        walk += [(c, inner, seen, pre, 0 if kind == "cell" else lists, depth) for c in reversed(node.children)]
+        walk += [(c, inner, seen, pre, 0 if kind == "cell" else lists, depth) for c in reversed(content(node))]
     return "\n".join(page.done())
 
 
