@@ -58,7 +58,8 @@ STAGES = [
 ]
 
 # SQL expresses neither the classifier, the components nor the tokenizer: the
-# tests hold every stage against a brute-force version instead.
+# tests hold every stage against a brute-force version instead (the mix: its
+# copies, not their positions).
 ORACLE_SQL = None
 
 

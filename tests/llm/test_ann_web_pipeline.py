@@ -2,14 +2,18 @@
 
 import hashlib
 import random
+from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from textprep.llm import ann, arc2warc, bpe, html_layout, queries
 from textprep.llm.queries import table, tokenizer_path
 
+from .test_dedup_mix_url import WORD, fair_targets
 from .test_text_ops import plain_components, plain_fingerprint, reference
 
 SF, SF_VECTORS = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -84,6 +88,13 @@ def test_ann_recall_in_a_narrow_cone(spark):
     assert recall(spark, list(enumerate(x))) >= 0.9
 
 
+def test_ann_recall_of_the_index(spark):
+    """The 2,000 given vectors, of which 240 are reranked for a query."""
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    assert len(rows) == 2000
+    assert recall(spark, rows, least=0) >= 0.9
+
+
 # ------------------------------------------------------------ archives
 
 def plain_archive(rows, least=100):
@@ -194,8 +205,59 @@ def test_layout_query(spark):
     assert {r.page_id: r.text for r in got} == {i: html_layout.page_text(h or "") for i, h in pages.items()}
 
 
+class Visible(HTMLParser):
+    """Shown characters of a page in order, without white space; a dash for every item."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.unseen = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.unseen += tag in ("title", "script", "style")
+        if tag == "li":
+            self.out.append("-")
+
+    def handle_endtag(self, tag):
+        self.unseen -= tag in ("title", "script", "style")
+
+    def handle_data(self, data):
+        if not self.unseen:
+            self.out += data.split()
+
+
+def test_layout_query_against_another_parser(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    for r in queries.op8_html_extraction(spark, SF).collect():
+        assert "<ol" not in pages[r.page_id]
+        page = Visible()
+        page.feed(pages[r.page_id])
+        page.close()
+        assert "".join(r.text.split()) == "".join(page.out)
+
+
 # ------------------------------------------------------------ pipeline
 
+def test_mix_stage_copies(spark):
+    """Every document as often as a running count over its source's whole stream says."""
+    docs = table(spark, SF, "documents")
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(42), "doc_id", "source"), 33)
+    stream = sorted((r.key, r.doc_id, len(WORD.findall(r.text or "")), r.source)
+                    for r in docs.select("doc_id", "source", "text", key.alias("key")).collect())
+    sizes = Counter()
+    for _, _, n, s in stream:
+        sizes[s] += n
+    target, want = fair_targets(dict(sizes)), Counter()
+    for s in sizes:
+        done = 0
+        for _ in range(3):
+            for _, i, n, source in stream:
+                if source == s and n:
+                    want[i] += done + n / 2 <= target[s]
+                    done += n
+    got = Counter(r.doc_id for r in corpus_pipeline.mix(spark, docs, SF).collect())
+    assert got and got == +want
+
+
 def test_pipeline_stages(spark):
     """Every stage on what its predecessor kept, against brute force."""
     docs = table(spark, SF, "documents")
