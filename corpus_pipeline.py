@@ -29,11 +29,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every SimHash component: the one with the smallest identifier.
-    Documents without an identifier cannot be told apart and stay."""
-    found = simhash.cluster(docs, shingle=3, max_bits=3)
-    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One document of every SimHash component: the one with the smallest identifier; where
+    that repeats, one of its rows.  Other rows of a repeated identifier are judged on their own.
+    Documents without an identifier stay."""
+    return simhash.drop_near(docs, shingle=3, max_bits=3)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

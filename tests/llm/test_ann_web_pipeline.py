@@ -289,6 +289,17 @@ def test_pipeline_stages(spark):
     assert all((r.n_tokens, bytes(r.ids)) == want[r.doc_id][:2] for r in got)
 
 
+def test_near_copies_of_repeated_identifiers(spark):
+    """A clean row stays beside a near copy of its identifier; of one component one row stays."""
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(999)) for _ in range(200)) for _ in range(4))
+    rows = [(1, a), (2, a.upper()), (2, b), (3, c), (3, c.upper()), (4, d), (4, d), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()), key=repr)
+    least = min((c, c.upper()), key=lambda t: hashlib.sha256(t.encode()).digest())
+    assert got == sorted([(1, a), (2, b), (3, least), (4, d), (None, a)], key=repr)
+
+
 def test_pipeline_takes_empty_and_odd_documents(spark):
     rows = [(None, None, None, None, None, 1), (1, "", "en", "s", 0, 2), (2, "a b", "en", None, 3, 3), (2, "a b", "en", None, 3, 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score int")

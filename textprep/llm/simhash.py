@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, materialize, ship_package
@@ -68,19 +68,27 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(cuts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp): fp is the fingerprint as a signed long.  Null text counts as empty."""
+def text_key(text_col: str = "text") -> Column:
+    """SHA-256 of a text; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256))
+
+
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 keyed: bool = False) -> DataFrame:
+    """(id, fp), ``keyed`` also key, the text's: fp is the fingerprint as a signed long.  Null text counts as empty."""
     shared.require(df, id_col, text_col)
     ship_package(df.sparkSession)
+    extra = ["key"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t or b"", shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["id", "fp"])
+                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *b.columns[2:]], names=["id", "fp", *extra])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, fp long")
+    key = [text_key(text_col).alias("key")] if keyed else []
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *key).mapInArrow(
+        run, "id long, fp long" + (", key binary" if keyed else ""))
 
 
 # ------------------------------------------------------------ the plan
@@ -374,10 +382,42 @@ def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     Repeated rows give repeated results.  An empty table gives an empty result.
     """
     fps = materialize(fingerprints(df, id_col, text_col, shingle))
-    distinct = materialize(fps.groupBy("fp").agg(F.min("id").alias("id")))
+    return fps.join(smallest(fps, F.col("id"), max_bits), "fp").select(
+        F.col("id").alias(id_col), "fp", F.col("least").alias("component_id"))
+
+
+def smallest(fps: DataFrame, what: Column, max_bits: int) -> DataFrame:
+    """(fp, least): the smallest ``what``, nulls aside, of the component of each fingerprint."""
+    distinct = materialize(fps.groupBy("fp").agg(F.min(what).alias("least")))
     parts = materialize(components(links(distinct, max_bits)))
     rooted = distinct.join(parts, distinct["fp"] == parts["node"], "left").select(
-        "fp", "id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    return rooted.drop("least").join(least, "root").select("fp", "least")
+
+
+def drop_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+              max_bits: int = 3) -> DataFrame:
+    """One row of every component of ``cluster``: that of the smallest identifier, and of its
+    texts, where the identifier repeats, of the smallest SHA-256.
+
+    A row goes by its identifier and text: other rows of the identifier are judged by their
+    own component.  Of rows that repeat both, one stays (any, where other columns differ).
+    Rows without an identifier take part in the links but stay.
+    """
+    fps = materialize(fingerprints(df, id_col, text_col, shingle, keyed=True))
+    row = F.struct("id", "key")
+    first = smallest(fps, F.when(F.col("id").isNotNull(), row), max_bits)
+    rows = fps.where(F.col("id").isNotNull()).groupBy("id", "key").agg(
+        F.first("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
+    judged = materialize(rows.join(first, "fp").select("id", "key", "n", (row == F.col("least")).alias("stays")))
+    key = shared.fresh("key", df.columns)
+    same = lambda a, b: (a[id_col] == b["id"]) & (a[key] == b["key"])
+    keyed = df.withColumn(key, text_key(text_col))
+    dropped = judged.where(~F.col("stays")).select("id", "key")
+    out = keyed.join(dropped, same(keyed, dropped), "left_anti")
+    repeated = judged.where(F.col("stays") & (F.col("n") > 1)).select("id", "key")
+    if not repeated.isEmpty():
+        once = out.join(repeated, same(out, repeated), "left_semi").dropDuplicates([id_col, key])
+        out = out.join(repeated, same(out, repeated), "left_anti").unionByName(once)
+    return out.select(*df.columns)
