@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import rows_frame
-from . import ann, arc2warc, bpe, chat, exact_dedup, html_layout, mixing, simhash, toxicity, url_rules
+from . import (align, ann, arc2warc, bpe, chat, exact_dedup, fim, html_layout, mixing, piece, shared, simhash, toxicity,
+               url_rules)
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -83,6 +86,27 @@ def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_turns(c.unionByName(extra)))
 
 
+def op11_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return piece.round_trip(d, tokenizer_path(PIECES)).select(
+        "doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_fim(spark: SparkSession, sf: str) -> DataFrame:
+    made = fim.transform(table(spark, sf, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored("output", "form"), 256).alias("restored_sha256"))
+
+
+def op13_align(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    linked = align.link(d, tokenizer_path(BYTES), tokenizer_path(PIECES))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    kept = shared.written(linked.withColumn("groups_sha256", digest).drop("groups"), "linked")
+    return align.counted(kept).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_ann": op2_ann,
@@ -94,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_fim": op12_fim,
+    "op13_align": op13_align,
 }
 
 ORACLE: dict[str, str] = {
@@ -151,4 +178,29 @@ ORACLE: dict[str, str] = {
                           || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
         FROM c GROUP BY conv_id
     """,
+    "op12_fim": """
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+        ), u AS (
+            SELECT doc_id, t, regexp_extract_all(t, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units,
+                   [('0x' || substr(h, 1 + 8 * i, 8))::BIGINT FOR i IN range(4)] AS h FROM d
+        ), c AS (
+            SELECT *, len(units) AS n, h[1] % (len(units) + 1) AS x, h[2] % (len(units) + 1) AS y FROM u
+        ), p AS (
+            SELECT doc_id, t, n,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+                        WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+                   array_to_string(units[1:least(x, y)], '') AS prefix,
+                   array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS middle,
+                   array_to_string(units[greatest(x, y) + 1:], '') AS suffix
+            FROM c
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p
+    """,
 }

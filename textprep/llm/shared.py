@@ -1,11 +1,13 @@
-"""Small helpers of the subpackage: written tables, column names, partition counts."""
+"""Small helpers of the subpackage: written tables, column names, partition counts, batches of bounded size."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
@@ -33,6 +35,11 @@ def fresh(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def positional(df: DataFrame, *columns: Column) -> DataFrame:
+    """The columns under names by position: Python workers cannot be handed names with dots."""
+    return df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -41,3 +48,18 @@ def require(df: DataFrame, *cols: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
+
+
+def in_bytes(batches: Iterable[pa.RecordBatch], column: int, limit: int = 4 << 20, rows: int = 4_096) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows and about ``limit`` bytes of the text in ``column``
+    (a longer text is a slice of its own)."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        at, held = 0, 0
+        for i, n in enumerate(sizes.tolist()):
+            if i > at and (held + n > limit or i - at >= rows):
+                yield b.slice(at, i - at)
+                at, held = i, 0
+            held += n
+        if at < b.num_rows:
+            yield b.slice(at)
