@@ -233,7 +233,7 @@ def test_align_in_parts_gives_the_same_ids(monkeypatch):
     a = Tokenizer.from_file(tokenizer_path(BYTES))
     a.encode_special_tokens = True
     monkeypatch.setattr(align, "PIECE", 5)
-    monkeypatch.setattr(align, "TOGETHER", 40)
+    monkeypatch.setattr(align, "KNOWN", 50)
     texts = [t for t in ODD + random_texts(600, 12) if t and "▁" not in t]
     for t, (x, y) in zip(texts, pair.tokens(texts)):
         assert x.tolist() == a.encode(" " + t, add_special_tokens=False).ids, t

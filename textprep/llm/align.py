@@ -15,6 +15,8 @@ rarer pairs are shuffled to their counts, so no pair holds more than a sliver.
 
 from __future__ import annotations
 
+import array
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -30,12 +32,11 @@ from . import shared
 from .piece import Recent
 
 SHIFT = 32               # an id pair is A's id << SHIFT | B's id
-KNOWN = 150_000          # windows remembered, twice
+KNOWN = 100_000          # windows, and chunks between gaps, remembered, twice
 PIECE = 1 << 20          # characters tokenised at once
-TOGETHER = 1 << 20       # characters handed to the libraries at once
 HOT = 1 << 18            # pairs whose counts are broadcast (a few MB)
-#: a space between a word's end and a letter: no token of either tokenizer goes across
-GAP = re.compile(r"(?<=[^\s▁]) (?=[^\W\d_])")
+#: a lone space between a word's end and a letter, digit or ASCII mark: no token of either tokenizer goes across
+GAP = re.compile(r"(?<=[^\s▁]) (?=[^\W_]|[!-~])")
 
 
 class Pair:
@@ -59,55 +60,68 @@ class Pair:
         self.bytes_b = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
                         for i in range(b.get_piece_size())]
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.size_a, self.size_b = self.len_a.tolist(), self.len_b.tolist()
         self.mark_a = np.array([x[:1] == b" " for x in self.bytes_a])
         self.mark_b = np.array([b.id_to_piece(i)[:1] == "▁" for i in range(b.get_piece_size())])
+        self.chunks: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
         self.windows = Recent(self.window, KNOWN, lambda k: len(k[0]) <= 256)
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Both tokenizers' ids of whole texts; empty where their bytes are not those of the text."""
-        out: list[tuple[list[np.ndarray], list[np.ndarray]]] = [([], []) for _ in texts]
-        held: list[tuple[int, str]] = []
-        size = 0
-        for n, text in enumerate(texts):
+        none, out = np.zeros(0, np.int32), []
+        for text in texts:
+            raw_a, raw_b = [], []
             for part in parts(text):
-                held.append((n, part))
-                size += len(part)
-                if size >= TOGETHER:
-                    self._tokenise(held, out)
-                    held, size = [], 0
-        self._tokenise(held, out)
-        none = np.zeros(0, np.int32)
-        pairs = []
-        for text, (a, b) in zip(texts, out):
-            ids_a, ids_b = np.concatenate([none, *a]), np.concatenate([none, *b])
+                chunks = GAP.split(part)
+                met = list(map(self.learned(set(chunks)).__getitem__, chunks))
+                raw_a += [m[0] for m in met]
+                raw_b += [m[1] for m in met]
+            a, b = (np.frombuffer(b"".join(x), np.int32) for x in (raw_a, raw_b))
             raw = b" " + text.encode()
-            same = text and raw == b"".join(map(self.bytes_a.__getitem__, ids_a.tolist())) == b"".join(
-                map(self.bytes_b.__getitem__, ids_b.tolist()))
-            pairs.append((ids_a, ids_b) if same else (none, none))
-        return pairs
-
-    def _tokenise(self, held, out) -> None:
-        if held:
-            made_a = self.a.encode_batch_fast([" " + t for _, t in held], add_special_tokens=False)
-            made_b = self.b.encode([t for _, t in held], num_threads=1)
-            for (n, _), a, b in zip(held, made_a, made_b):
-                out[n][0].append(np.array(a.ids, np.int32))
-                out[n][1].append(np.array(b, np.int32))
+            same = text and raw == b"".join(map(self.bytes_a.__getitem__, a.tolist())) == b"".join(
+                map(self.bytes_b.__getitem__, b.tolist()))
+            out.append((a, b) if same else (none, none))
+        return out
+
+    def learned(self, chunks: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """A table with both tokenizers' packed ids of the chunks, each with a space in front."""
+        if len(self.chunks) > KNOWN:
+            self.older, self.chunks = self.chunks, {}
+        new = []
+        for c in chunks:
+            if c not in self.chunks:
+                if c in self.older:
+                    self.chunks[c] = self.older[c]
+                else:
+                    new.append(c)
+        if new:
+            made = self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)
+            for c, a, b in zip(new, made, self.b.encode(new, num_threads=1)):
+                self.chunks[c] = np.array(a.ids, np.int32).tobytes(), np.array(b, np.int32).tobytes()
+        return self.chunks
 
     def window(self, key: tuple[bytes, bytes]) -> tuple[str, int, bytes]:
         """(groups, their number, packed id pair per link) of a window's ids."""
-        a, b = (np.frombuffer(x, np.int32) for x in key)
-        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        cut = np.intersect1d(end_a, end_b)
-        ids_a, ids_b = a.tolist(), b.tolist()
-        groups, i, j = [], 0, 0
-        for ka, kb in zip(np.searchsorted(end_a, cut, "right").tolist(), np.searchsorted(end_b, cut, "right").tolist()):
-            groups.append(",".join(map(str, ids_a[i:ka])) + "|" + ",".join(map(str, ids_b[j:kb])))
-            i, j = ka, kb
-        # every stretch between neighbouring ends lies in one token of each: one link
-        ends = np.union1d(end_a, end_b)
-        at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        return ";".join(groups), len(groups), (a[at_a].astype(np.int64) << SHIFT | b[at_b]).tobytes()
+        a, b = (np.frombuffer(x, np.int32).tolist() for x in key)
+        end_a = list(itertools.accumulate(map(self.size_a.__getitem__, a)))
+        end_b = list(itertools.accumulate(map(self.size_b.__getitem__, b)))
+        i = j = first_a = first_b = 0
+        last = len(a)
+        groups, links = [], []
+        while True:  # every stretch between neighbouring ends lies in one token of each: one link
+            links.append(a[i] << SHIFT | b[j])
+            x, y = end_a[i], end_b[j]
+            if x < y:
+                i += 1
+            elif y < x:
+                j += 1
+            else:
+                i, j = i + 1, j + 1
+                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
+                if i == last:
+                    return ";".join(groups), len(groups), array.array("q", links).tobytes()
+                first_a, first_b = i, j
 
     def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray]:
         """(groups, their number, id pair per link) of a document's ids."""
