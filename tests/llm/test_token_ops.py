@@ -211,6 +211,18 @@ def align_by_hand(texts):
             for na, nb, ng, ls, g in docs]
 
 
+def test_align_in_blocks_with_small_tables(monkeypatch):
+    with open(tokenizer_path(BYTES), "rb") as f, open(tokenizer_path(PIECES), "rb") as g:
+        pair = align.Pair(f.read(), g.read())
+    monkeypatch.setattr(align, "BLOCK", 3)
+    monkeypatch.setattr(align, "REMEMBERED", 5_000)
+    texts = [(t or "")[:400] for t in ODD] + random_texts(300, 15)
+    for (x, y), want in zip(pair.tokens(texts), align_by_hand(texts)):
+        groups, n, links = pair.aligned(x, y)
+        assert (len(x), len(y), n, len(links), groups) == (*want[:4], want[6])
+    assert len(pair.windows.now) + len(pair.windows.older) < 60
+
+
 @pytest.mark.parametrize("hot", [0, 40, align.HOT])
 def test_align_equals_all_pairs(spark, hot):
     texts = [t if t is None or len(t) < 400 else t[:400] for t in ODD] + random_texts(150, 8) + ["the cat sat on the mat"] * 30
@@ -233,7 +245,7 @@ def test_align_in_parts_gives_the_same_ids(monkeypatch):
     a = Tokenizer.from_file(tokenizer_path(BYTES))
     a.encode_special_tokens = True
     monkeypatch.setattr(align, "PIECE", 5)
-    monkeypatch.setattr(align, "KNOWN", 50)
+    monkeypatch.setattr(align, "REMEMBERED", 20_000)
     texts = [t for t in ODD + random_texts(600, 12) if t and "▁" not in t]
     for t, (x, y) in zip(texts, pair.tokens(texts)):
         assert x.tolist() == a.encode(" " + t, add_special_tokens=False).ids, t

@@ -15,8 +15,6 @@ rarer pairs are shuffled to their counts, so no pair holds more than a sliver.
 
 from __future__ import annotations
 
-import array
-import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -29,14 +27,43 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from ..session import ship_package
 from . import shared
-from .piece import Recent
 
 SHIFT = 32               # an id pair is A's id << SHIFT | B's id
-KNOWN = 100_000          # windows, and chunks between gaps, remembered, twice
+REMEMBERED = 64 << 20    # bytes of windows, and of chunks between gaps, remembered, twice
 PIECE = 1 << 20          # characters tokenised at once
+BLOCK = 1 << 16          # windows looked up at once
 HOT = 1 << 18            # pairs whose counts are broadcast (a few MB)
 #: a lone space between a word's end and a letter, digit or ASCII mark: no token of either tokenizer goes across
 GAP = re.compile(r"(?<=[^\s▁]) (?=[^\W_]|[!-~])")
+#: what may stand between two gaps
+INNER = re.compile(r"(?=[^\W_]|[!-~])[^▁]*(?<=\S)\Z")
+
+
+class Met:
+    """Values made before, by key; when full the table becomes the older half, and the half before is forgotten.
+
+    ``make`` takes a list of keys.  Only the keys of one call come on top of the bound.
+    """
+
+    def __init__(self, make, size):
+        self.make, self.size, self.bytes, self.now, self.older = make, size, 0, {}, {}
+
+    def table(self, keys: set) -> dict:
+        """A table that holds ``keys``."""
+        if self.bytes > REMEMBERED:
+            self.older, self.now, self.bytes = self.now, {}, 0
+        now, older, new = self.now, self.older, []
+        for k in keys:
+            if k not in now:
+                if k in older:
+                    now[k] = older[k]
+                    self.bytes += self.size(k)
+                else:
+                    new.append(k)
+        if new:
+            now.update(zip(new, self.make(new)))
+            self.bytes += sum(map(self.size, new))
+        return now
 
 
 class Pair:
@@ -60,12 +87,14 @@ class Pair:
         self.bytes_b = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
                         for i in range(b.get_piece_size())]
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.size_a, self.size_b = self.len_a.tolist(), self.len_b.tolist()
+        #: an id as it stands in groups, by the mark behind it
+        self.text_a, self.text_b = ([f"{i}{m}" for i in range(n) for m in marks]
+                                    for n, marks in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")))
+        self.text = self.text_a + self.text_b
         self.mark_a = np.array([x[:1] == b" " for x in self.bytes_a])
         self.mark_b = np.array([b.id_to_piece(i)[:1] == "▁" for i in range(b.get_piece_size())])
-        self.chunks: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
-        self.windows = Recent(self.window, KNOWN, lambda k: len(k[0]) <= 256)
+        self.chunks = Met(self.tokenised, lambda c: 400 + 8 * len(c))
+        self.windows = Met(self.align, lambda k: 500 + 8 * len(k[0]))
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Both tokenizers' ids of whole texts; empty where their bytes are not those of the text."""
@@ -74,9 +103,9 @@ class Pair:
             raw_a, raw_b = [], []
             for part in parts(text):
                 chunks = GAP.split(part)
-                met = list(map(self.learned(set(chunks)).__getitem__, chunks))
-                raw_a += [m[0] for m in met]
-                raw_b += [m[1] for m in met]
+                met = list(map(self.chunks.table(set(chunks)).__getitem__, chunks))
+                raw_a.append(b"".join([m[0] for m in met]))
+                raw_b.append(b"".join([m[1] for m in met]))
             a, b = (np.frombuffer(b"".join(x), np.int32) for x in (raw_a, raw_b))
             raw = b" " + text.encode()
             same = text and raw == b"".join(map(self.bytes_a.__getitem__, a.tolist())) == b"".join(
@@ -84,44 +113,57 @@ class Pair:
             out.append((a, b) if same else (none, none))
         return out
 
-    def learned(self, chunks: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """A table with both tokenizers' packed ids of the chunks, each with a space in front."""
-        if len(self.chunks) > KNOWN:
-            self.older, self.chunks = self.chunks, {}
-        new = []
-        for c in chunks:
-            if c not in self.chunks:
-                if c in self.older:
-                    self.chunks[c] = self.older[c]
-                else:
-                    new.append(c)
-        if new:
-            made = self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)
-            for c, a, b in zip(new, made, self.b.encode(new, num_threads=1)):
-                self.chunks[c] = np.array(a.ids, np.int32).tobytes(), np.array(b, np.int32).tobytes()
-        return self.chunks
-
-    def window(self, key: tuple[bytes, bytes]) -> tuple[str, int, bytes]:
-        """(groups, their number, packed id pair per link) of a window's ids."""
-        a, b = (np.frombuffer(x, np.int32).tolist() for x in key)
-        end_a = list(itertools.accumulate(map(self.size_a.__getitem__, a)))
-        end_b = list(itertools.accumulate(map(self.size_b.__getitem__, b)))
-        i = j = first_a = first_b = 0
-        last = len(a)
-        groups, links = [], []
-        while True:  # every stretch between neighbouring ends lies in one token of each: one link
-            links.append(a[i] << SHIFT | b[j])
-            x, y = end_a[i], end_b[j]
-            if x < y:
-                i += 1
-            elif y < x:
-                j += 1
-            else:
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                if i == last:
-                    return ";".join(groups), len(groups), array.array("q", links).tobytes()
-                first_a, first_b = i, j
+    def tokenised(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        """Both tokenizers' packed ids of each chunk with a space in front: those that may stand
+        between gaps as one text, cut at their ends, the others one by one."""
+        inner = [c for c in chunks if INNER.match(c)]
+        made = {}
+        if inner:
+            text = " ".join(inner)
+            ends = np.cumsum([1 + len(c.encode()) for c in inner])
+            cut = []
+            for ids, sizes in ((self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.len_a),
+                               (self.b.encode(text), self.len_b)):
+                ids = np.array(ids, np.int32)
+                reach = np.cumsum(sizes[ids])
+                at = np.searchsorted(reach, ends)
+                if not np.array_equal(reach[np.minimum(at, len(reach) - 1)], ends):
+                    raise ValueError("a token goes across a gap between words; these tokenizers cannot be cut there")
+                raw, bounds = ids.tobytes(), [0, *(4 * at + 4).tolist()]
+                cut.append([raw[i:k] for i, k in zip(bounds, bounds[1:])])
+            made = dict(zip(inner, zip(*cut)))
+        other = [c for c in chunks if c not in made]
+        for c, a, b in zip(other, self.a.encode_batch_fast([" " + c for c in other], add_special_tokens=False),
+                           self.b.encode(other, num_threads=1)) if other else ():
+            made[c] = np.array(a.ids, np.int32).tobytes(), np.array(b, np.int32).tobytes()
+        return [made[c] for c in chunks]
+
+    def align(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[str, int, bytes]]:
+        """(groups, their number, packed id pair per link) of each window of ids.
+
+        The windows lie one behind the other, as in a text; their ends are ends of both sides.
+        """
+        a, b = (np.frombuffer(b"".join([k[i] for k in keys]), np.int32) for i in (0, 1))
+        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        last = end_a[np.cumsum([len(k[0]) // 4 for k in keys]) - 1]
+        cut = np.intersect1d(end_a, end_b, assume_unique=True)
+        # groups as text: A's ids of a group, then B's, each with the mark behind it
+        group_a, group_b = np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)
+        size_a, size_b = np.bincount(group_a), np.bincount(group_b)
+        place_a = np.arange(len(a)) + (np.cumsum(size_b) - size_b)[group_a]
+        place_b = np.arange(len(b)) + np.cumsum(size_a)[group_b]
+        words = np.empty(len(a) + len(b), np.int64)
+        words[place_a] = 2 * a.astype(np.int64) + (end_a == cut[group_a])
+        words[place_b] = len(self.text_a) + 2 * b.astype(np.int64) + (end_b == cut[group_b])
+        words = list(map(self.text.__getitem__, words.tolist()))
+        groups = np.searchsorted(cut, last) + 1
+        stop = np.cumsum(size_a + size_b)[groups - 1].tolist()
+        # every stretch between neighbouring ends lies in one token of each: one link
+        ends = np.union1d(end_a, end_b)
+        pairs = a[np.searchsorted(end_a, ends)].astype(np.int64) << SHIFT | b[np.searchsorted(end_b, ends)]
+        raw, reach = pairs.tobytes(), (8 * np.searchsorted(ends, last) + 8).tolist()
+        return [("".join(words[i:k])[:-1], n, raw[u:w]) for i, k, n, u, w in zip(
+            [0, *stop], stop, np.diff(groups, prepend=0).tolist(), [0, *reach], reach)]
 
     def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray]:
         """(groups, their number, id pair per link) of a document's ids."""
@@ -131,12 +173,16 @@ class Pair:
         anchors = np.intersect1d(start_a[self.mark_a[a]], start_b[self.mark_b[b]], assume_unique=True)
         cut_a, cut_b = ((np.searchsorted(s, anchors) * 4).tolist() for s in (start_a, start_b))
         raw_a, raw_b = a.tobytes(), b.tobytes()
-        known = self.windows
-        met = [known[raw_a[i:k], raw_b[j:l]]
-               for i, k, j, l in zip([0, *cut_a], [*cut_a, len(raw_a)], [0, *cut_b], [*cut_b, len(raw_b)])
-               if k > i]
-        return (";".join([m[0] for m in met]), sum([m[1] for m in met]),
-                np.frombuffer(b"".join([m[2] for m in met]), np.int64))
+        cut_a, cut_b = [0, *cut_a, len(raw_a)], [0, *cut_b, len(raw_b)]
+        groups, n, links = [], 0, []
+        for at in range(0, len(cut_a) - 1, BLOCK):
+            i, j = cut_a[at: at + BLOCK + 1], cut_b[at: at + BLOCK + 1]
+            keys = [(raw_a[p:q], raw_b[u:w]) for p, q, u, w in zip(i, i[1:], j, j[1:]) if q > p]
+            met = list(map(self.windows.table(set(keys)).__getitem__, keys))
+            groups.append(";".join([m[0] for m in met]))
+            n += sum([m[1] for m in met])
+            links.append(b"".join([m[2] for m in met]))
+        return ";".join(filter(None, groups)), n, np.frombuffer(b"".join(links), np.int64)
 
 
 def parts(text: str) -> Iterator[str]:
