@@ -138,9 +138,26 @@ def q_english_filter(spark, sf):
     return _detected(spark, sf).select(F.col("ord").alias("doc_id"), (F.col("lang") == "en").alias("is_english"))
 
 
+def _held_out(spark, sf):
+    """(ord, label, lang, prob) of documents with an odd id, by a profile trained on those with an even one."""
+    k = _key(spark, "held_out", sf)
+    if k not in _CACHE:
+        d = _docs(spark, sf)
+        profile = lang.train_profile(d.where(F.col("doc_id") % 2 == 0))
+        odd = d.where(F.col("doc_id") % 2 != 0)
+        det = lang.detect(odd.select("ord", "text"), profile, "text", "ord")
+        _CACHE[k] = materialize(odd.select("ord", F.col("lang").alias("label")).join(det, "ord"))
+    return _CACHE[k]
+
+
+def q_lang_reliability(spark, sf):
+    """Held-out accuracy by tenth of confidence: how far a confidence can be believed."""
+    return R.rounded(R.reliability(_held_out(spark, sf), 10))
+
+
 def q_lang_accuracy(spark, sf):
-    truth = _docs(spark, sf).select("ord", F.col("lang").alias("label"))
-    j = truth.join(_detected(spark, sf), "ord")
+    """Accuracy on held-out documents (P5)."""
+    j = _held_out(spark, sf)
     return j.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == F.col("lang")).alias("correct")
     )
@@ -318,6 +335,12 @@ def q_cosine_to_centroid(spark, sf):
     return R.rounded(hist.crossJoin(F.broadcast(one)), 6)
 
 
+def q_cosine_pairs(spark, sf):
+    """Mean, median and histogram of pairwise cosines over all output sequences."""
+    summary, hist = R.pair_distribution(_kept_tokens(spark, sf))
+    return R.rounded(hist.crossJoin(F.broadcast(summary)), 6)
+
+
 def q_input_report(spark, sf):
     d = _docs(spark, sf)
     det = lang.detect(d.where(T.clean_text("text") != "").select("ord", "text"), _profile(spark, sf))
@@ -360,6 +383,17 @@ def q_jsonl_fates(spark, sf):
     return f.groupBy(F.coalesce(F.col("reason"), F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_jsonl_line_order(spark, sf):
+    """Global line numbers of documents written as ordered JSON lines and read back."""
+    k = _key(spark, "ordered_jsonl", sf)
+    if k not in _CACHE:
+        _CACHE[k] = scratch_path(spark, f"ordered-{abs(hash(sf))}")
+        d = tables.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("text"), "doc_id")
+        jsonl.write_text_jsonl(d, _CACHE[k], "doc_id")
+    recs = jsonl.read_records(spark, _CACHE[k])
+    return recs.select("ord", F.col("text").cast("long").alias("doc_id"))
+
+
 def q_shard_record_shapes(spark, sf):
     """Shard lines as objects, bare lists and other JSON, read back by shape."""
     k = _key(spark, "shapes", sf)
@@ -468,6 +502,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lang_detect": q_lang_detect,
     "english_filter": q_english_filter,
     "lang_accuracy": q_lang_accuracy,
+    "lang_reliability": q_lang_reliability,
     "lang_distribution": q_lang_distribution,
     "lang_major_others": q_lang_major_others,
     "lang_confidence": q_lang_confidence,
@@ -497,9 +532,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "residual_pii": q_residual_pii,
     "cosine_mean_all": q_cosine_mean_all,
     "cosine_to_centroid": q_cosine_to_centroid,
+    "cosine_pairs": q_cosine_pairs,
     "input_report": q_input_report,
     "output_report": q_output_report,
     "jsonl_tolerant_scan": q_jsonl_tolerant_scan,
+    "jsonl_line_order": q_jsonl_line_order,
     "jsonl_fates": q_jsonl_fates,
     "shard_record_shapes": q_shard_record_shapes,
     "prepare_text": q_prepare_text,
@@ -525,7 +562,9 @@ def _llm():
     try:
         import corpus_pipeline
         from textprep.llm import queries as q
-    except ImportError:
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "textprep.llm"):  # a missing library is an error, not an absent subpackage
+            raise
         return {}, {}
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return {**q.QUERIES, "pipeline": corpus_pipeline.run}, {**q.ORACLE, **sql}

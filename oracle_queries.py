@@ -54,11 +54,11 @@ D_CONV = ("d AS (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS doc_id
 GRAMS = "unnest(list_transform(range(1, len(ch) - 1), lambda i: ch[i] || ch[i + 1] || ch[i + 2]))"
 
 
-def lang_ctes(target: str = D) -> str:
-    """Character 3-gram naive Bayes, add-0.5, trained on all labelled documents,
+def lang_ctes(target: str = D, train: str = "documents") -> str:
+    """Character 3-gram naive Bayes, add-0.5, trained on the labelled rows of ``train``,
     scoring the corpus of the ``d`` CTE given as ``target``."""
     return target + """,
-tr AS (SELECT lang AS label, """ + clean("text") + """ AS clean FROM documents),
+tr AS (SELECT lang AS label, """ + clean("text") + " AS clean FROM " + train + """),
 gt AS (
   SELECT label, """ + GRAMS + """ AS gram
   FROM (SELECT label, string_split(' ' || lower(clean) || ' ', '') AS ch FROM tr)),
@@ -94,6 +94,8 @@ dl AS (
 
 
 LANG = lang_ctes(D)
+# trained on even documents, odd ones scored
+HELD_OUT = lang_ctes(D.replace("FROM documents", "FROM documents WHERE doc_id % 2 <> 0"), "documents WHERE doc_id % 2 = 0")
 
 # the waterfall, dedup in batches of BATCH light-filter survivors
 def pipe(target: str = D) -> str:
@@ -170,6 +172,21 @@ SELECT CAST(r.range AS INTEGER) AS bin,
 FROM range({k}) r CROSS JOIN hb LEFT JOIN hc ON hc.bin = r.range"""
 
 
+def integer_hist(cap: int) -> str:
+    """Unit bins over ``total`` of ``pct``, and one row for the values past the last edge."""
+    return f""",
+      e AS (SELECT least(max(total) + 2, {cap}) - 1 AS last_edge, max(total) AS mx FROM pct),
+      c AS (SELECT CASE WHEN total > last_edge THEN last_edge ELSE least(total, last_edge - 1) END AS bin, count(*) AS n
+            FROM pct CROSS JOIN e WHERE total >= 0 GROUP BY 1),
+      x AS (SELECT r.range AS bin, last_edge, mx, coalesce(c.n, 0) AS n
+            FROM e CROSS JOIN range(e.last_edge + CASE WHEN mx > last_edge THEN 1 ELSE 0 END) r LEFT JOIN c ON c.bin = r.range)
+      SELECT CAST(bin AS INTEGER) AS bin, bin AS lo, CASE WHEN bin < last_edge THEN bin + 1 ELSE mx END AS hi,
+             CAST(n AS BIGINT) AS n,
+             CASE WHEN bin < last_edge THEN round(n / (SELECT sum(n) FROM x WHERE bin < last_edge), 4) END AS density,
+             round(n / (SELECT sum(n) FROM x), 4) AS share
+      FROM x"""
+
+
 PIIC = ("pc AS (SELECT doc_id, " + nmatch("text", RE_R_EMAIL) + " AS emails, "
         + nmatch("text", RE_R_PHONE) + " AS phones, " + nmatch("text", RE_R_SSN) + " AS ssns FROM documents), "
         "pct AS (SELECT doc_id, emails, phones, ssns, emails + phones + ssns AS total FROM pc)")
@@ -223,18 +240,17 @@ ORACLE: dict[str, str] = {
                            "SELECT lang, pii_found, count(*) AS n FROM x GROUP BY 1, 2",
     "pii_counts": "WITH " + PIIC + " SELECT * FROM pct",
     "pii_summary": "WITH " + PIIC + " " + pii_summary("pct"),
-    "pii_histogram": "WITH " + PIIC + """,
-      e AS (SELECT least(max(total) + 2, 20) - 1 AS last_edge FROM pct),
-      c AS (SELECT least(total, last_edge - 1) AS bin, count(*) AS n FROM pct CROSS JOIN e
-            WHERE total >= 0 AND total <= last_edge GROUP BY 1)
-      SELECT CAST(r.range AS INTEGER) AS bin, r.range AS lo, r.range + 1 AS hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n,
-             round(coalesce(c.n, 0) / (SELECT sum(n) FROM c), 4) AS density
-      FROM e CROSS JOIN range(e.last_edge) r LEFT JOIN c ON c.bin = r.range""",
+    "pii_histogram": "WITH " + PIIC + integer_hist(20),
     "lang_profile": "WITH " + LANG + " SELECT lang, gram, n FROM gc",
     "lang_detect": "WITH " + LANG + " SELECT doc_id, lang, round(prob, 4) AS prob FROM dl",
     "english_filter": "WITH " + LANG + " SELECT doc_id, lang = 'en' AS is_english FROM dl",
-    "lang_accuracy": "WITH " + LANG + " SELECT d.label, count(*) AS n, count(*) FILTER (WHERE d.label = dl.lang) AS correct "
+    "lang_accuracy": "WITH " + HELD_OUT + " SELECT d.label, count(*) AS n, count(*) FILTER (WHERE d.label = dl.lang) AS correct "
                      "FROM d JOIN dl USING (doc_id) GROUP BY d.label",
+    "lang_reliability": "WITH " + HELD_OUT + """, x AS (
+        SELECT round(prob, 4) AS p, CASE WHEN d.label = dl.lang THEN 1 ELSE 0 END AS ok FROM d JOIN dl USING (doc_id) WHERE d.label IS NOT NULL)
+      SELECT CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, count(*) AS n, CAST(sum(ok) AS BIGINT) AS correct,
+             round(avg(ok), 4) AS accuracy, round(avg(p), 4) AS mean_prob, round(avg(p) - avg(ok), 4) AS gap
+      FROM x GROUP BY 1""",
     "lang_distribution": "WITH " + LANG + """, c AS (SELECT lang, count(*) AS n FROM dl GROUP BY lang)
       SELECT lang, n, round(n / sum(n) OVER () * 100, 4) AS pct FROM c ORDER BY n DESC, lang LIMIT 5""",
     "lang_major_others": "WITH " + LANG + f""", c AS (SELECT lang, count(*) AS n FROM dl GROUP BY lang),
@@ -319,6 +335,20 @@ ORACLE: dict[str, str] = {
       vals AS (SELECT round(coalesce(c, 0), 12) AS x FROM out LEFT JOIN dots ON dots.id = out.doc_id),
       sm AS (SELECT count(*) AS sequences, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.5), 6) AS median FROM vals)
       """, 50).replace("SELECT CAST(r.range", "SELECT sm.*, CAST(r.range") + " CROSS JOIN sm",
+    "cosine_pairs": "WITH " + hist(PIPE + """,
+      bag AS (SELECT pos AS id, t AS token, count(*) AS n FROM (SELECT pos, unnest(toks) AS t FROM out) GROUP BY 1, 2),
+      nrm AS (SELECT id, sum(n * n)::DOUBLE AS sq FROM bag GROUP BY id),
+      nn AS (SELECT count(*) AS s FROM out),
+      prs AS (SELECT pos AS i, (pos + d.range) % s AS j FROM out CROSS JOIN nn CROSS JOIN range(1, 9) d
+              WHERE d.range <= s // 2 AND (2 * d.range < s OR pos < s // 2)),
+      dots AS (SELECT i, j, sum(a.n * b.n)::DOUBLE AS dot FROM prs JOIN bag a ON a.id = i JOIN bag b ON b.id = j AND a.token = b.token
+               GROUP BY 1, 2),
+      vals AS (SELECT coalesce(dot / sqrt(p.sq * q.sq), 0) AS x FROM prs LEFT JOIN dots USING (i, j)
+               LEFT JOIN nrm p ON p.id = i LEFT JOIN nrm q ON q.id = j),
+      sm AS (SELECT (SELECT s FROM nn) AS sequences, count(*) AS pairs, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.5), 6) AS median,
+                    (SELECT round(CASE WHEN s <= 17 THEN 0 ELSE least(1, sqrt(8 * ln(2 / 0.05) / s)) END, 6) FROM nn) AS bound95 FROM vals)
+      """, 50).replace("SELECT CAST(r.range", "SELECT sm.*, CAST(r.range") + " CROSS JOIN sm",
+    "jsonl_line_order": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ord, doc_id FROM documents",
     "input_report": "WITH " + LANG + ", " + PIIC + """,
       v AS (SELECT pct.total FROM pct JOIN d USING (doc_id) WHERE d.clean <> ''),
       dv AS (SELECT dl.* FROM dl JOIN d USING (doc_id) WHERE d.clean <> ''),
@@ -395,13 +425,7 @@ ORACLE: dict[str, str] = {
                            + " SELECT reason, n FROM reasons) UNION ALL SELECT * FROM (WITH " + pipe(D_CONV)
                            + " SELECT reason, n FROM reasons)) GROUP BY reason",
     "residual_pii_histogram": "WITH " + PIPE + ", pct AS (SELECT " + nmatch("text", RE_R_EMAIL) + " + "
-                              + nmatch("text", RE_R_PHONE) + " + " + nmatch("text", RE_R_SSN) + """ AS total FROM kept),
-      e AS (SELECT least(max(total) + 2, 10) - 1 AS last_edge FROM pct),
-      c AS (SELECT least(total, last_edge - 1) AS bin, count(*) AS n FROM pct CROSS JOIN e
-            WHERE total >= 0 AND total <= last_edge GROUP BY 1)
-      SELECT CAST(r.range AS INTEGER) AS bin, r.range AS lo, r.range + 1 AS hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n,
-             round(coalesce(c.n, 0) / (SELECT sum(n) FROM c), 4) AS density
-      FROM e CROSS JOIN range(e.last_edge) r LEFT JOIN c ON c.bin = r.range""",
+                              + nmatch("text", RE_R_PHONE) + " + " + nmatch("text", RE_R_SSN) + " AS total FROM kept)" + integer_hist(10),
     "lexical_diversity_histogram": "WITH " + hist(PIPE + ", m AS (SELECT len(" + words("text") + ") AS w, len(list_distinct("
                                                   + words("lower(text)") + ")) AS u FROM kept), "
                                                   "vals AS (SELECT u / w AS x FROM m WHERE w > 0)", 30),

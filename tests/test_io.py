@@ -71,14 +71,14 @@ def test_whole_job_on_jsonl(spark, scratch):
     import glob
     import json as _json
 
-    lines = [_json.loads(ln)["text"] for f in sorted(glob.glob(os.path.join(out, "text", "part-*")))
+    lines = [_json.loads(ln)["text"] for f in sorted(glob.glob(os.path.join(out, "text", "part_*.jsonl")))
              for ln in open(f, encoding="utf-8") if ln.strip()]
     from textprep.plans import pipeline as _PL
 
     fate = _PL.fates(jsonl.read_records(spark, src).select("ord", "text", "malformed"), prof, cfg)
     expected = [r["text"] for r in _PL.kept_texts(jsonl.read_records(spark, src), fate, cfg).orderBy("ord").collect()]
     assert lines == expected
-    comb = [_json.loads(ln)["tokens"] for f in sorted(glob.glob(os.path.join(out, "combined", "part-*")))
+    comb = [_json.loads(ln)["tokens"] for f in sorted(glob.glob(os.path.join(out, "combined", "part_*.jsonl")))
             for ln in open(f, encoding="utf-8") if ln.strip()]
     assert len(comb) == kept
     from textprep.plans import reports as _R

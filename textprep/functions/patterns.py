@@ -13,8 +13,10 @@ not, so that range is added by hand.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 # a text that is only Python whitespace (``not t.strip()``), anchored
 BLANK = r"(?U)\A[\s\x1c-\x1f]*\z"
-# Python ``\S+@\S+`` (greedy e-mail, swallows neighbouring punctuation).
-EMAIL = r"(?U)[^\s\x1c-\x1f]+@[^\s\x1c-\x1f]+"
+# Python ``\S+@\S+`` (greedy e-mail, swallows neighbouring punctuation).  A match that
+# begins inside a run of non-blanks also begins at the run's start, so the look-behind
+# changes no match; without it every character of a long run would rescan the run.
+EMAIL = r"(?U)(?<![^\s\x1c-\x1f])[^\s\x1c-\x1f]+@[^\s\x1c-\x1f]+"
 # Python ``\+?\d[\d\s\-]{7,}\d`` (phone: any run of 9+ digits/spaces/dashes).
 PHONE = r"(?U)\+?\d[\d\s\x1c-\x1f\-]{7,}\d"
 EMAIL_TOKEN = "[EMAIL]"

@@ -39,6 +39,25 @@ def global_rank(df: DataFrame, order: list[Column | str], out: str = "pos") -> D
     )
 
 
+def prefix_sum(df: DataFrame, order: list[str], value: str, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over all rows before this one in ``order`` (keys must be unique).
+
+    Two levels: a running sum inside each range partition, and the partitions'
+    totals in front of it.  Only the totals, one row per partition, meet in one place.
+    """
+    ordered = materialize(df.orderBy(*order)).withColumn("_part", F.spark_partition_id())
+    totals = ordered.groupBy("_part").agg(F.sum(value).alias("_t"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ordered.withColumn("_run", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(out, F.col("_off") + F.col("_run"))
+        .drop("_part", "_run", "_off")
+    )
+
+
 MAX_BUCKETS = 1 << 16
 
 

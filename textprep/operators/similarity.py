@@ -9,6 +9,11 @@
   ``sum_i u_i``, over all sequences.  The centroid's ``HOT_TOKENS`` most
   frequent tokens are broadcast, the others joined by token, so no join key
   holds more than a ``HOT_TOKENS``-th of the entries.
+* ``shifted_pairs``: cosines of a linear number of pairs over all sequences: the
+  seeded shuffle order shifted by the offsets 1..k, so every sequence meets k
+  sequences behind it and k before it.  Sequences travel once, in blocks of
+  consecutive positions plus the k that follow.  ``pair_sample_bound`` is the
+  error bound of its mean and of its distribution function.
 * ``pair_cosines``: the pairwise values of a bounded sample (the reference's
   first-N sequences).  Pairs are formed inside blocks: sequences are cut into
   blocks of ``block`` rows, each block's entries are replicated to its
@@ -20,6 +25,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +37,8 @@ from . import stats
 
 COSINE_DIGITS = 12
 HOT_TOKENS = 16_384
+PAIR_OFFSETS = 8
+PAIR_BLOCK = 256  # consecutive positions of one task's group
 
 
 def token_bag(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens") -> DataFrame:
@@ -75,6 +86,82 @@ def centroid_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "toke
         "id", F.round(F.coalesce("c", F.lit(0.0)), COSINE_DIGITS).alias("cosine"))
 
 
+def pair_sample_bound(n: int, confidence: float = 0.95) -> float | None:
+    """With probability ``confidence`` over the shuffle, the mean of ``shifted_pairs`` is within
+    this bound of the mean over all pairs, and so is, at any fixed cosine, the share of pairs
+    up to it.
+
+    Swapping two sequences of the order changes at most 4k of its kn pairs, each
+    by at most 1, so the mean by at most 4/n; a bounded-difference inequality
+    over random orders gives 2 exp(-2 t^2 / (n (4/n)^2)) for an error beyond t.
+    With at most 2k + 1 sequences all pairs are taken, and the error is 0.
+    """
+    if n < 2:
+        return None
+    return 0.0 if n <= 2 * PAIR_OFFSETS + 1 else min(1.0, math.sqrt(8 * math.log(2 / (1 - confidence)) / n))
+
+
+def shifted_pairs(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
+                  offsets: int = PAIR_OFFSETS, block: int = PAIR_BLOCK) -> DataFrame:
+    """(i, j, cosine): position i with positions i + 1 .. i + ``offsets``, round the end of the order.
+
+    ``id_col``: dense 0-based position in a seeded shuffle.  No pair is taken
+    twice: with n sequences the offsets end at n/2, which pairs only the first
+    half.  A sequence without tokens (null or empty) has cosine 0 to all others.
+    A group has ``block`` + ``offsets`` sequences, so no task holds more.  Dots and squared
+    norms are whole numbers, so the cosines do not depend on any order of summing.
+    """
+    if block < offsets:
+        raise ValueError("block must be at least the number of offsets")
+    src = df.select(F.col(id_col).cast("long").alias("i"), F.col(tokens_col).cast("array<long>").alias("t"))
+    n = src.count()
+    reach = min(offsets, n // 2)
+    if not reach:
+        return rows_frame(df.sparkSession, [], "i long, j long, cosine double")
+    last = (n - 1) // block
+    # a row lies in its own block, in the one before for that block's last rows, and
+    # once more behind the end of the order if it is among the first
+    place = F.explode(F.array(F.col("i"), F.when(F.col("i") < reach, F.col("i") + n)))
+    home = F.floor(F.col("v") / block)
+    blocks = F.explode(F.array(home, F.when(F.col("v") % block < reach, home - 1)))
+    rows = (
+        src.select("t", place.alias("v")).where(F.col("v").isNotNull())
+        .select("v", "t", blocks.alias("b")).where(F.col("b").between(0, last))
+    )
+
+    def pairs(key, pdf):
+        pdf = pdf.sort_values("v")
+        v = pdf["v"].to_numpy()
+        bags = [np.unique(np.asarray([x for x in t if x is not None] if t is not None else [], np.int64), return_counts=True)
+                for t in pdf["t"]]
+        norm = np.array([float((c * c).sum()) for _, c in bags])
+        sizes = [len(t) for t, _ in bags]
+        row = np.repeat(np.arange(len(v)), sizes)
+        token, count = (np.concatenate([b[k] for b in bags]) for k in (0, 1))
+        _, token = np.unique(token, return_inverse=True)
+        width = int(token.max()) + 1 if len(token) else 1
+        at = row * width + token  # ascending
+        begin = int(key[0]) * block
+        own = (v >= begin) & (v < min(begin + block, n))
+        out = []
+        for d in range(1, reach + 1):
+            left = np.flatnonzero(own & (v < n // 2) if 2 * d == n else own)
+            right = np.searchsorted(v, v[left] + d)
+            # each left row's entries among those of the row d places on
+            mine = np.isin(row, left)
+            partner = np.searchsorted(v, v[row[mine]] + d)
+            want = partner * width + token[mine]
+            found = np.minimum(np.searchsorted(at, want), len(at) - 1) if len(at) else want
+            hit = at[found] == want if len(at) else np.zeros(0, bool)
+            dot = np.bincount(row[mine][hit], count[mine][hit] * count[found[hit]], len(v))[left]
+            length = np.sqrt(norm[left] * norm[right])
+            cosine = np.divide(dot, length, out=np.zeros(len(left)), where=length > 0)
+            out.append(pd.DataFrame({"i": v[left], "j": (v[left] + d) % n, "cosine": cosine}))
+        return pd.concat(out)
+
+    return rows.groupBy("b").applyInPandas(pairs, "i long, j long, cosine double")
+
+
 def pair_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
                  block: int = 128) -> DataFrame:
     """(i, j, cosine) for i < j over pairs sharing at least one token.

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import pieces
-from ..session import BROADCAST_MAX_ROWS
+from ..session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, row_bytes
 from .rank import global_rank
 
 
@@ -40,24 +40,44 @@ def build_vocab(df: DataFrame, text_col: str = "text") -> DataFrame:
     return ranked.select(F.col("token_id").cast("int").alias("token_id"), "piece", "freq")
 
 
+HOT_STEPS = 256
+
+
+def hot_ids(vocab: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[int, int]:
+    """(end, n): the ids below ``end`` are at most ``max_rows`` entries of at most ``max_bytes``
+    bytes in all; ``n`` is the vocabulary's size.  A piece may be a whole text, so ids alone
+    bound nothing: bytes are summed in ``HOT_STEPS`` steps of ids (that many small rows)."""
+    step = max(1, -(-max_rows // HOT_STEPS))
+    per = vocab.groupBy(F.least(F.floor(F.col("token_id") / step), F.lit(HOT_STEPS)).alias("s")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(vocab, "token_id", "piece")).alias("b"))
+    rows = {r["s"]: r for r in per.collect()}
+    end, size = 0, 0
+    for s in range(HOT_STEPS):
+        size += rows[s]["b"] if s in rows else 0
+        if size > max_bytes:
+            break
+        end = min((s + 1) * step, max_rows)
+    return end, sum(r["n"] for r in rows.values())
+
+
 def _lookup(occ: DataFrame, vocab: DataFrame, key: str, value: str, max_rows: int) -> DataFrame:
     """Left-join ``occ`` to (key -> value) of the vocabulary.
 
-    Token ids are frequency ranks, so ids below ``max_rows`` are the most
-    frequent entries: they are broadcast (a bound proven by the id range) and
+    Token ids are frequency ranks, so the lowest ids are the most frequent
+    entries: those within ``max_rows`` rows and the byte bound are broadcast and
     resolve most occurrences in the task that made them.  Only occurrences
     still unresolved meet the rest of the vocabulary in a shuffle join.  When
     the whole vocabulary is under the bound there is no shuffle join at all.
-    ``build_vocab`` reads a checkpoint, so counting it is cheap.
+    ``build_vocab`` reads a checkpoint, so measuring it is cheap.
     """
-    n = vocab.count()
+    end, n = hot_ids(vocab, max_rows)
     v = vocab.select(key, value)
-    hot = F.broadcast(v.where(F.col("token_id") < F.lit(max_rows)))
+    hot = F.broadcast(v.where(F.col("token_id") < F.lit(end)))
     first = occ.join(hot, key, "left")
-    if n <= max_rows:
+    if n <= end:
         return first
     done = first.where(F.col(value).isNotNull())
-    cold = v.where(F.col("token_id") >= F.lit(max_rows))
+    cold = v.where(F.col("token_id") >= F.lit(end))
     rest = first.where(F.col(value).isNull()).drop(value).join(cold, key, "left")
     return done.unionByName(rest)
 

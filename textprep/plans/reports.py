@@ -65,6 +65,21 @@ def lang_rollup(detected: DataFrame, min_share: float = 0.001) -> DataFrame:
     return stats.with_share(c.groupBy(g.alias("lang_group")).agg(F.sum("n").cast("long").alias("n")))
 
 
+def reliability(df: DataFrame, bins: int = 10) -> DataFrame:
+    """(bin, n, correct, accuracy, mean_prob, gap) per confidence bin of (label, lang, prob) rows.
+
+    Confidence is binned at report precision (4 places).  Rows without a label
+    take no part; empty bins are absent.
+    """
+    p = F.round("prob", 4)
+    d = df.where(F.col("label").isNotNull()).select(
+        F.least(F.floor(p * bins).cast("int"), F.lit(bins - 1)).alias("bin"), p.alias("p"),
+        (F.col("label") == F.col("lang")).cast("int").alias("ok"))
+    g = d.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("ok").cast("long").alias("correct"), F.avg("p").alias("mean_prob"))
+    acc = F.col("correct") / F.col("n")
+    return g.select("bin", "n", "correct", acc.alias("accuracy"), "mean_prob", (F.col("mean_prob") - acc).alias("gap"))
+
+
 def lang_confidence(detected: DataFrame) -> DataFrame:
     """docs, languages, mean and quartiles of detection confidence."""
     r = detected.agg(
@@ -235,14 +250,11 @@ def read_output(spark, out_dir: str, decode_sample: int | None = None) -> DataFr
 
     from ..sources import jsonl
 
-    lines = spark.read.text(os.path.join(out_dir, "shards"))
-    if "shard_id" not in lines.columns:  # nothing was kept: no shard folder to take the column from
-        lines = lines.withColumn("shard_id", F.lit(None).cast("int"))
+    lines = jsonl.shard_lines(spark, os.path.join(out_dir, "shards"))
     value, tokens_of = jsonl.token_list(F.col("value"))
-    sh = lines.select("shard_id", tokens_of.alias("tokens"), value.isNull().alias("_bad"),
-                      F.col("_metadata.file_path").alias("_f"), F.monotonically_increasing_id().alias("_m"))
+    sh = lines.select("shard_id", tokens_of.alias("tokens"), value.isNull().alias("_bad"), "_block", "_m")
     sh = sh.where(~F.col("_bad")).drop("_bad")
-    ranked = rank.global_rank(sh, [F.col("shard_id"), F.col("_f"), F.col("_m")], "pos").drop("_f", "_m")
+    ranked = rank.global_rank(sh, [F.col("shard_id"), F.col("_block"), F.col("_m")], "pos").drop("_block", "_m")
     vocab = spark.read.parquet(os.path.join(out_dir, "vocab"))
     todo = ranked if decode_sample is None else ranked.where(F.col("pos") < F.lit(decode_sample))
     text = tokens.decode(todo, vocab, "tokens", "pos", "text")
@@ -251,7 +263,8 @@ def read_output(spark, out_dir: str, decode_sample: int | None = None) -> DataFr
 
 def similarity_distribution(corpus: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
                             bins: int = 50) -> tuple[DataFrame, DataFrame]:
-    """(summary, histogram) of every sequence's cosine to the corpus centroid."""
+    """(summary, histogram) of every sequence's cosine to the corpus centroid (how alike the
+    corpus is as a whole; the pairs' own distribution, A22, is ``pair_distribution``)."""
     from ..operators import similarity
     from ..session import materialize
 
@@ -259,10 +272,27 @@ def similarity_distribution(corpus: DataFrame, id_col: str = "pos", tokens_col:
     return describe_table(cos, "cosine"), stats.histogram(cos, "cosine", bins)
 
 
+def pair_distribution(corpus: DataFrame, id_col: str = "pos", tokens_col: str = "tokens",
+                      bins: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(summary, histogram) of pairwise cosines over all sequences (A22), estimated from a
+    linear number of pairs; the summary's ``bound95`` is the error bound of its mean, and
+    of the rank of its median."""
+    from ..operators import similarity
+    from ..session import materialize
+
+    pairs = materialize(similarity.shifted_pairs(corpus, id_col, tokens_col))
+    n = corpus.count()
+    d = stats.describe(pairs, "cosine")
+    summary = rows_frame(corpus.sparkSession, [(n, d["count"], d["mean"], d["median"], similarity.pair_sample_bound(n))],
+                         "sequences long, pairs long, mean double, median double, bound95 double")
+    return summary, stats.histogram(pairs, "cosine", bins)
+
+
 def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
     """The output report (C9) on a written output folder: summary and tables.
 
-    Similarity is over all sequences; ``cosine_sample`` and ``cosine_hist``, the
+    Similarity is over all sequences: ``pair_cosine`` is the distribution over pairs,
+    each sequence meeting a fixed number of others.  ``cosine_sample`` and ``cosine_hist``, the
     reference's pairs of the first sequences, are empty unless
     ``similarity_sample`` is set.
     """
@@ -287,6 +317,7 @@ def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
                                 "kept long, dropped_true long, dropped_ref long, pii_replaced long")
     runtime = meta.get("runtime_sec") or None
     centroid, centroid_hist = similarity_distribution(corpus)
+    pairs, pairs_hist = pair_distribution(corpus)
     sample = rank.first_n(corpus, cfg.similarity_sample or 0, "pos")
     cos_summary, cos_hist = similarity.sample_cosine_stats(sample, "pos", "tokens", 50)
     if cos_summary.first()["sequences"] < MIN_SIMILARITY_SEQUENCES:  # the report's minimum
@@ -301,6 +332,8 @@ def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
         "unique_words_hist": stats.histogram(texts.select(T.unique_words_lower("text").alias("u")), "u", 30),
         "lexical_diversity_hist": stats.histogram(texts.select(T.lexical_diversity("text").alias("d")), "d", 30),
         "residual_pii_hist": stats.integer_histogram(texts.select(T.pii_counts("text")["total"].alias("t")), "t", 10),
+        "pair_cosine": pairs,
+        "pair_cosine_hist": pairs_hist,
         "cosine_to_centroid": centroid,
         "cosine_to_centroid_hist": centroid_hist,
         "cosine_sample": cos_summary,

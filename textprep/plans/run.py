@@ -20,8 +20,10 @@ def run_pipeline(spark: SparkSession, records: DataFrame, out_dir: str, profile:
                  cfg: PrepConfig = PrepConfig(), vocab: DataFrame | None = None) -> dict:
     """Run the waterfall on ``records`` (ord, text[, malformed]) and write under ``out_dir``:
 
+    (each folder appears whole, when its write is committed)
+
     * ``text/``      cleaned kept texts as ``{"text": ...}`` lines, input order (S8)
-    * ``shards/``    ``{"tokens": [...]}`` lines, ``shard_id=N`` folders (S7)
+    * ``shards/``    ``{"tokens": [...]}`` lines, ``shard_NNNN.jsonl`` (S7)
     * ``combined/``  every shard record, shard by shard (S9)
     * ``vocab/``     (token_id, piece, freq) parquet
     * ``drop_reasons.json``, ``pipeline_summary.json`` (S10, S11)

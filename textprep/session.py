@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -62,20 +62,29 @@ def materialize(df: DataFrame) -> DataFrame:
 # Default bound for broadcasting a derived table (rows).  A side is broadcast
 # only after its row count was measured under this bound.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 128 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       materialized: bool = False) -> tuple[DataFrame, bool]:
+def row_bytes(df: DataFrame, *cols: str) -> Column:
+    """About how many bytes a row's columns take: strings and binaries by their length, others 16 each."""
+    types = dict(df.dtypes)
+    sized = [F.coalesce(F.octet_length(c), F.lit(0)) + 16 if types[c] in ("string", "binary")
+             else F.coalesce(F.size(c), F.lit(0)) * 16 if types[c].startswith("array") else F.lit(16) for c in cols or df.columns]
+    return sum(sized[1:], sized[0]).cast("long")
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, materialized: bool = False,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
     """Materialise ``df`` and broadcast it when its measured size allows.
 
     Returns the (checkpointed) frame, hinted for broadcast when it holds at
-    most ``max_rows`` rows, and whether it was hinted.  Above the bound the
-    caller's join stays a shuffle join (AQE splits skewed keys).
-    ``materialized``: ``df`` is already a checkpoint; only count it.
+    most ``max_rows`` rows and ``max_bytes`` bytes, and whether it was hinted.  Above
+    the bounds the caller's join stays a shuffle join (AQE splits skewed keys).
+    ``materialized``: ``df`` is already a checkpoint; only measure it.
     """
     m = df if materialized else materialize(df)
-    n = m.count()
-    if n <= max_rows:
+    n, size = m.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(m)), F.lit(0))).first()
+    if n <= max_rows and size <= max_bytes:
         return F.broadcast(m), True
     return m, False
 

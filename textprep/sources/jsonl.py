@@ -4,16 +4,23 @@ Lines are read with the splittable text source and parsed with
 ``try_parse_json`` (VARIANT), so a bad line never fails the job.  Input order
 (file name, then line) is rebuilt without sorting the data: lines of one
 file split are contiguous in one task, so each split's first row id and line
-count (one small row per split) give every line its global position.
+count (one small row per split) give every line its global position.  The
+counts are summed on two levels, splits inside a file and files in ranges of
+their names.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.text import is_blank
+from ..operators.rank import prefix_sum
+from ..session import broadcast_if_small, materialize
+from .commit import committed
 
 GLOB = "*.jsonl"
 
@@ -23,8 +30,10 @@ def read_lines(spark: SparkSession, path: str, glob: str = GLOB) -> DataFrame:
 
     Raises ``FileNotFoundError`` when no file matches (S1).
     """
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
     try:
-        raw = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false").text(path)
+        found = not reader.format("binaryFile").load(path).select("path").isEmpty()  # names only, no content
+        raw = reader.format("text").load(path)
         tagged = raw.select(
             "value",
             F.col("_metadata.file_path").alias("_file"),
@@ -33,16 +42,21 @@ def read_lines(spark: SparkSession, path: str, glob: str = GLOB) -> DataFrame:
         )
     except AnalysisException as e:  # path missing or nothing matched
         raise FileNotFoundError(f"no {glob} files under {path}") from e
-    if not raw.inputFiles():
+    if not found:
         raise FileNotFoundError(f"no {glob} files under {path}")
     splits = tagged.groupBy("_file", "_block").agg(
         F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    w = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_file", "_block", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off")
+    splits = materialize(splits)
+    files = prefix_sum(splits.groupBy("_file").agg(F.sum("_n").alias("_all")), ["_file"], "_all", "_before")
+    inside = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        splits.withColumn("_run", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        .join(files.select("_file", "_before"), "_file")
+        .select("_file", "_block", "_first", (F.col("_before") + F.col("_run")).alias("_off"))
     )
-    return tagged.join(F.broadcast(offsets), ["_file", "_block"]).select(
+    offsets, _ = broadcast_if_small(offsets)
+    return tagged.join(offsets, ["_file", "_block"]).select(
         (F.col("_off") + F.col("_mono") - F.col("_first")).alias("ord"), "value"
     )
 
@@ -132,38 +146,58 @@ def _ordered_parts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
+def _numbered(stem: str):
+    """Part names whose order as text is their order as numbers."""
+    return lambda k, n, _: f"{stem}_{k:0{max(5, len(str(n - 1)))}d}.jsonl"
+
+
 def write_text_jsonl(df: DataFrame, path: str, order_col: str = "ord") -> None:
-    """Cleaned texts as ``{"text": ...}`` lines in ``order_col`` order."""
-    _ordered_parts(df, [order_col]).select("text").write.mode("overwrite").json(path)
+    """Cleaned texts as ``{"text": ...}`` lines in ``order_col`` order (S8): ``part_NNNNN.jsonl``, which
+    ``read_records`` reads in that order.  Replaces ``path`` when all is written."""
+    with committed(df.sparkSession, path, _numbered("part")) as raw:
+        _ordered_parts(df, [order_col]).select("text").write.json(raw)
 
 
 def write_shards(df: DataFrame, path: str) -> None:
-    """``{"tokens": [...]}`` lines, one folder per ``shard_id``, in position order.
+    """``{"tokens": [...]}`` lines, one file ``shard_NNNN.jsonl`` per ``shard_id``, in position order.
 
-    Each shard (at most ``shard_size`` rows) is written by one task.
+    Each shard (at most ``shard_size`` rows) is written by one task; ``path`` is
+    replaced when all is written.
     """
-    (
-        df.repartition("shard_id").sortWithinPartitions("shard_id", "pos")
-        .select("shard_id", "tokens")
-        .write.mode("overwrite").partitionBy("shard_id").json(path)
-    )
+    def name(_k: int, _n: int, file: str) -> str:
+        return f"shard_{int(re.search(r'shard_id=([0-9]+)/', file)[1]):04d}.jsonl"
+
+    with committed(df.sparkSession, path, name) as raw:
+        (
+            df.repartition("shard_id").sortWithinPartitions("shard_id", "pos")
+            .select("shard_id", "tokens")
+            .write.option("maxRecordsPerFile", 0).partitionBy("shard_id").json(raw)
+        )
+
+
+def shard_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(shard_id, value, _block, _m): lines of written shards; ordered by all but ``value`` they
+    follow the shards' numbers (not their names: ``shard_10000`` comes after ``shard_9999``) (L6)."""
+    return spark.read.option("pathGlobFilter", "shard_*.jsonl").text(path).select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"shard_(\d+)", 1).cast("int").alias("shard_id"), "value",
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_m"))
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """Written shards back: (shard_id, tokens), numeric shard order."""
-    return spark.read.schema("tokens array<int>, shard_id int").json(path)
+    """Written shards back: (shard_id, tokens)."""
+    return shard_lines(spark, path).select(token_list(F.col("value"))[1].alias("tokens"), "shard_id")
 
 
 def combine_shards(spark: SparkSession, shards_path: str, out_path: str) -> None:
     """All shard records into one dataset, shard by shard.
 
-    Written in ``overwrite`` mode, so stale shards of earlier runs are never
-    picked up; the output is a folder of ordered part files.
+    Stale shards of earlier runs are never picked up; the output is a folder of
+    ordered part files, replaced when all is written.
     """
-    df = spark.read.schema("tokens array<int>, shard_id int").json(shards_path)
-    df = df.select("shard_id", "tokens", F.col("_metadata.file_path").alias("_f"),
-                   F.monotonically_increasing_id().alias("_m"))
-    _ordered_parts(df, ["shard_id", "_f", "_m"]).select("tokens").write.mode("overwrite").json(out_path)
+    df = shard_lines(spark, shards_path)
+    with committed(spark, out_path, _numbered("part")) as raw:
+        ordered = _ordered_parts(df, ["shard_id", "_block", "_m"])
+        ordered.select(token_list(F.col("value"))[1].alias("tokens")).write.json(raw)
 
 
 def check_jsonl(spark: SparkSession, path: str) -> DataFrame:
