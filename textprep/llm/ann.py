@@ -50,15 +50,23 @@ BLOCK = 2_048
 def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, vec): the rows that take part, vec as packed doubles.
 
-    Left out: null identifiers, and vectors that are null or empty, have norm 0, hold null or
+    A vector is scaled by the power of two that brings its largest component near 1: exact, with no
+    effect on cosines, and squares neither overflow nor vanish.
+
+    Left out: null identifiers, and vectors that are null or empty, all zero, hold null or
     non-finite components, or differ in length from the most common length
     (of equally common ones, the smaller).
     """
     v = F.col("v")
     d = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    norm = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
-    d = d.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(~bad).where(norm > 0)
+    big = F.array_max(F.transform(v, F.abs))
+    d = d.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(~bad).where(big > 0)
+    # in two steps, as the factor of the smallest numbers is itself out of range
+    power = F.floor(F.log2(big))
+    half = F.floor(power / 2)
+    two = F.lit(2.0)
+    d = d.select("id", F.transform(v, lambda x: x * F.pow(two, -half) * F.pow(two, half - power)).alias("v"))
     dim = d.groupBy(F.size("v").alias("dim")).count().orderBy(F.col("count").desc(), "dim").first()
     return d.where(F.size("v") == (dim["dim"] if dim else 0))
 

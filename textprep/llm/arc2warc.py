@@ -224,7 +224,7 @@ def record_id(key: str | None, *parts) -> str:
     return f"<urn:x-record:{key}>" if key is not None else f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, repr(parts))}>"
 
 
-def warc_record(r: dict, refers_to: str | None) -> str:
+def warc_record(r: dict, refers_to: str | None) -> bytes:
     head, _, payload = http_parts(r["block"])
     kind = "revisit" if refers_to is not None else "response" if head else "resource"
     block = head if kind == "revisit" else r["block"]
@@ -239,7 +239,7 @@ def warc_record(r: dict, refers_to: str | None) -> str:
         lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {record_id(refers_to)}"]
     kind_of = "application/http; msgtype=response" if head else r["mime"]
     lines += [f"Content-Type: {kind_of}", f"Content-Length: {len(block)}"]
-    return "\r\n".join(lines) + "\r\n\r\n" + block.decode("utf-8")
+    return ("\r\n".join(lines) + "\r\n\r\n").encode() + block
 
 
 def warc_info(name: str) -> str:
@@ -276,14 +276,15 @@ def convert(spark: SparkSession, arc_paths: list[str], path: str, min_bytes: int
             out = []
             if name is None:
                 name = f"{uuid.uuid4().hex}.warc.gz"
-                out.append(warc_info(name))
+                out.append(warc_info(name).encode())
             cols = {n: b.column(n).to_pylist() for n in b.schema.names}
             for i in range(b.num_rows):
                 r = {n: c[i] for n, c in cols.items()}
                 out.append(warc_record(r, r["refers_to"]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
-    (records.withColumn("refers_to", refers).mapInArrow(run, "value string")
+    # the cast keeps the bytes, and the text writer writes them as they are: blocks need not be UTF-8
+    (records.withColumn("refers_to", refers).mapInArrow(run, "value binary").select(F.col("value").cast("string"))
      .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path))
 
 

@@ -123,11 +123,12 @@ TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """One row per conversation, from the rendered text alone: (conv_id, n_turns, turns_sha256,
-    loss_chars, loss_sha256, formatted_chars).
+    """One row per conversation, from the rendered text and the loss mask: (conv_id, n_turns,
+    turns_sha256, loss_chars, loss_sha256, formatted_chars).
 
     Streams over the partitions of ``format_turns`` (whole conversations in
-    order), parses the rendered text and feeds running digests.
+    order), parses the rendered text and feeds running digests.  The loss text is
+    what lies under the mask's spans (``begin`` to ``end`` where ``loss``), unescaped.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +142,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
         for b in batches:
             finished = []
-            for c, piece in zip(b.column("conv_id").to_pylist(), b.column("formatted").to_pylist()):
+            for c, piece, begin, end, masked in zip(*(x.to_pylist() for x in b.columns)):
                 if c != conv:
                     if state:
                         finished.append(done())
@@ -149,16 +150,17 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 for role, text, _, _ in parse(piece):
                     state[0] += 1
                     state[1].update(f"{role}\n{text}\n".encode())
-                    if role == "assistant":
-                        state[2] += len(text)
-                        state[3].update(text.encode())
+                if masked:
+                    text = unescape(piece[begin - state[4]: end - state[4]])
+                    state[2] += len(text)
+                    state[3].update(text.encode())
                 state[4] += len(piece)
             if finished:
                 yield pa.Table.from_batches(finished).combine_chunks().to_batches()[0]
         if state:
             yield done()
 
-    return formatted.select("conv_id", "formatted").mapInArrow(
+    return formatted.select("conv_id", "formatted", "begin", "end", "loss").mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 

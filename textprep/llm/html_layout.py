@@ -13,7 +13,8 @@ without a start) is followed by a rendering walk that emits all visible text:
   of one that shows a list (``multiple``, ``size``) all; of an ``object`` its fallback;
 - what a browser does not show is left out: head, scripts, styles, templates,
   comments, ``hidden`` elements, ``display:none`` and ``visibility:hidden``
-  (until a descendant is made visible again); ``datalist``; the fallback in
+  (until a descendant is made visible again); closed ``dialog``, of closed ``details`` all
+  but the summary; ``rp``; ``datalist``; the fallback in
   ``audio``, ``video``, ``canvas``, ``iframe``, ``noscript``, ``noembed`` and
   ``noframes``, for browsers without them; annotations and phantoms of formulas;
   of an ``svg`` definitions, titles and descriptions.  Text that an ``svg``
@@ -41,7 +42,7 @@ from . import shared
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video "
-                   "canvas area base link meta param source track".split())
+                   "canvas rp area base link meta param source track".split())
 SVG_UNSEEN = frozenset("defs symbol clippath mask pattern marker lineargradient radialgradient filter desc metadata".split())
 MATH_UNSEEN = frozenset("annotation annotation-xml mphantom".split())
 MATH_PARTS = frozenset("mfrac msub msup msubsup munder mover munderover mroot mmultiscripts mtable mtr mlabeledtr".split())
@@ -75,8 +76,14 @@ SCOPE = frozenset("td th table caption template html".split())
 TABLE_PARTS = frozenset("table caption colgroup thead tbody tfoot tr td th".split())
 TABLE_SCOPE = frozenset("table template html".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?=[!?])[^>]*>?|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# Comments (two short forms are empty), other markup declarations, stray end tags, and tags: a name, then
+# attributes.  A quote opens a value only right behind "=", and only if it is closed; elsewhere it is part of
+# a name or value.  What "<" begins but no ">" ends before the next "<" outside quotes is text.
+VALUE = r"""(?:"[^"]*"|'[^']*'|(?!["'])[^\s<>]*+)"""
+TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?=[!?])[^>]*>?|</(?=[^a-zA-Z])[^>]*>"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[\s/]++|(?:=[^\s/<>=]*+|[^\s/<>=]++)(?:\s*+=\s*+{VALUE})?)*+)>", re.S)
+ATTRIBUTE = re.compile(r"""(=[^\s/<>=]*|[^\s/<>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|(?!["'])([^\s>]+)))?""")
 NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 
@@ -325,6 +332,8 @@ def content(node: Node) -> list:
     if tag == "select":
         shown = shown_options(node)
         return node.children if shown is None else [" ", *(c for o in shown for c in content(o)), " "]
+    if tag == "details" and "open" not in node.attrs:  # closed: its summary alone
+        return [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
     if tag == "option" and label:
         return [label]
     if tag == "optgroup" and label:
@@ -374,7 +383,7 @@ def render(root: Node) -> str:
                 flow.words(node)
             continue
         tag, attrs = node.tag, node.attrs
-        if tag in UNSEEN or "hidden" in attrs and attrs["hidden"].lower() != "until-found":
+        if tag in UNSEEN or tag == "dialog" and "open" not in attrs or "hidden" in attrs and attrs["hidden"].lower() != "until-found":
             continue
         if node.within:
             if tag in (MATH_UNSEEN if node.within == "math" else SVG_UNSEEN):
