@@ -28,6 +28,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from ..session import ship_package
 from . import shared
 
+SIDE = 1 << 24           # added to B's ids where A's and B's stand together
 SHIFT = 32               # an id pair is A's id << SHIFT | B's id
 REMEMBERED = 64 << 20    # bytes of windows, and of chunks between gaps, remembered, twice
 PIECE = 1 << 20          # characters tokenised at once
@@ -42,27 +43,25 @@ INNER = re.compile(r"(?=[^\W_]|[!-~])[^▁]*(?<=\S)\Z")
 class Met:
     """Values made before, by key; when full the table becomes the older half, and the half before is forgotten.
 
-    ``make`` takes a list of keys.  Only the keys of one call come on top of the bound.
+    ``make`` takes a list of keys; an entry is taken to have ``each`` bytes and 8 times its key's length.  Only the keys of one call come on top of the bound.
     """
 
-    def __init__(self, make, size):
-        self.make, self.size, self.bytes, self.now, self.older = make, size, 0, {}, {}
+    def __init__(self, make, each: int):
+        self.make, self.each, self.bytes, self.now, self.older = make, each, 0, {}, {}
 
-    def table(self, keys: set) -> dict:
+    def table(self, keys) -> dict:
         """A table that holds ``keys``."""
         if self.bytes > REMEMBERED:
             self.older, self.now, self.bytes = self.now, {}, 0
-        now, older, new = self.now, self.older, []
-        for k in keys:
-            if k not in now:
-                if k in older:
-                    now[k] = older[k]
-                    self.bytes += self.size(k)
-                else:
-                    new.append(k)
-        if new:
-            now.update(zip(new, self.make(new)))
-            self.bytes += sum(map(self.size, new))
+        now, older = self.now, self.older
+        missing = {k for k in keys if k not in now}
+        if missing:
+            new = [k for k in missing if k not in older]
+            if len(new) < len(missing):
+                now.update((k, older[k]) for k in missing if k in older)
+            if new:
+                now.update(zip(new, self.make(new)))
+            self.bytes += self.each * len(missing) + 8 * sum(map(len, missing))
         return now
 
 
@@ -93,59 +92,64 @@ class Pair:
         self.text = self.text_a + self.text_b
         self.mark_a = np.array([x[:1] == b" " for x in self.bytes_a])
         self.mark_b = np.array([b.id_to_piece(i)[:1] == "▁" for i in range(b.get_piece_size())])
-        self.chunks = Met(self.tokenised, lambda c: 400 + 8 * len(c))
-        self.windows = Met(self.align, lambda k: 500 + 8 * len(k[0]))
+        self.chunks = Met(self.tokenised, 400)
+        self.windows = Met(self.align, 450)
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Both tokenizers' ids of whole texts; empty where their bytes are not those of the text."""
         none, out = np.zeros(0, np.int32), []
         for text in texts:
-            raw_a, raw_b = [], []
+            raw_a, raw_b, same = [], [], bool(text)
             for part in parts(text):
                 chunks = GAP.split(part)
-                met = list(map(self.chunks.table(set(chunks)).__getitem__, chunks))
+                met = list(map(self.chunks.table(chunks).__getitem__, chunks))
+                if None in met:
+                    same = False
+                    break
                 raw_a.append(b"".join([m[0] for m in met]))
                 raw_b.append(b"".join([m[1] for m in met]))
-            a, b = (np.frombuffer(b"".join(x), np.int32) for x in (raw_a, raw_b))
-            raw = b" " + text.encode()
-            same = text and raw == b"".join(map(self.bytes_a.__getitem__, a.tolist())) == b"".join(
-                map(self.bytes_b.__getitem__, b.tolist()))
-            out.append((a, b) if same else (none, none))
+            out.append(tuple(np.frombuffer(b"".join(x), np.int32) for x in (raw_a, raw_b)) if same else (none, none))
         return out
 
-    def tokenised(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        """Both tokenizers' packed ids of each chunk with a space in front: those that may stand
-        between gaps as one text, cut at their ends, the others one by one."""
+    def same(self, text: str, a: list[int], b: list[int]) -> bool:
+        """Whether both tokenizers' bytes are a space and the text."""
+        return (" " + text).encode() == b"".join(map(self.bytes_a.__getitem__, a)) == b"".join(map(self.bytes_b.__getitem__, b))
+
+    def tokenised(self, chunks: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Both tokenizers' packed ids of each chunk with a space in front, None where their bytes are not
+        those of the chunk.  Chunks that may stand between gaps are one text, cut at their ends."""
         inner = [c for c in chunks if INNER.match(c)]
         made = {}
         if inner:
             text = " ".join(inner)
-            ends = np.cumsum([1 + len(c.encode()) for c in inner])
-            cut = []
-            for ids, sizes in ((self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.len_a),
-                               (self.b.encode(text), self.len_b)):
-                ids = np.array(ids, np.int32)
-                reach = np.cumsum(sizes[ids])
-                at = np.searchsorted(reach, ends)
-                if not np.array_equal(reach[np.minimum(at, len(reach) - 1)], ends):
-                    raise ValueError("a token goes across a gap between words; these tokenizers cannot be cut there")
-                raw, bounds = ids.tobytes(), [0, *(4 * at + 4).tolist()]
-                cut.append([raw[i:k] for i, k in zip(bounds, bounds[1:])])
-            made = dict(zip(inner, zip(*cut)))
+            ids_a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+            ids_b = self.b.encode(text)
+            if self.same(text, ids_a, ids_b):
+                ends, cut = np.cumsum([1 + len(c.encode()) for c in inner]), []
+                for ids, sizes in ((np.array(ids_a, np.int32), self.len_a), (np.array(ids_b, np.int32), self.len_b)):
+                    reach = np.cumsum(sizes[ids])
+                    at = np.searchsorted(reach, ends)
+                    if not np.array_equal(reach[at], ends):
+                        raise ValueError("a token goes across a gap between words; these tokenizers cannot be cut there")
+                    raw, bounds = ids.tobytes(), [0, *(4 * at + 4).tolist()]
+                    cut.append([raw[i:k] for i, k in zip(bounds, bounds[1:])])
+                made = dict(zip(inner, zip(*cut)))
         other = [c for c in chunks if c not in made]
         for c, a, b in zip(other, self.a.encode_batch_fast([" " + c for c in other], add_special_tokens=False),
                            self.b.encode(other, num_threads=1)) if other else ():
-            made[c] = np.array(a.ids, np.int32).tobytes(), np.array(b, np.int32).tobytes()
+            made[c] = (np.array(a.ids, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if self.same(c, a.ids, b) else None
         return [made[c] for c in chunks]
 
-    def align(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[str, int, bytes]]:
+    def align(self, keys: list[bytes]) -> list[tuple[str, int, bytes]]:
         """(groups, their number, packed id pair per link) of each window of ids.
 
         The windows lie one behind the other, as in a text; their ends are ends of both sides.
         """
-        a, b = (np.frombuffer(b"".join([k[i] for k in keys]), np.int32) for i in (0, 1))
+        ids = np.frombuffer(b"".join(keys), np.int32)
+        of_b = ids >= SIDE
+        a, b = ids[~of_b], ids[of_b] - SIDE
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        last = end_a[np.cumsum([len(k[0]) // 4 for k in keys]) - 1]
+        last = end_a[np.cumsum(~of_b)[np.cumsum(list(map(len, keys))) // 4 - 1] - 1]
         cut = np.intersect1d(end_a, end_b, assume_unique=True)
         # groups as text: A's ids of a group, then B's, each with the mark behind it
         group_a, group_b = np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)
@@ -171,18 +175,23 @@ class Pair:
             return "", 0, np.zeros(0, np.int64)
         start_a, start_b = np.cumsum(self.len_a[a]) - self.len_a[a], np.cumsum(self.len_b[b]) - self.len_b[b]
         anchors = np.intersect1d(start_a[self.mark_a[a]], start_b[self.mark_b[b]], assume_unique=True)
-        cut_a, cut_b = ((np.searchsorted(s, anchors) * 4).tolist() for s in (start_a, start_b))
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        cut_a, cut_b = [0, *cut_a, len(raw_a)], [0, *cut_b, len(raw_b)]
+        # windows one behind the other, A's ids of each before B's
+        window_a, window_b = np.searchsorted(anchors, start_a, "right"), np.searchsorted(anchors, start_b, "right")
+        size_a, size_b = (np.bincount(w, minlength=len(anchors) + 1) for w in (window_a, window_b))
+        ids = np.empty(len(a) + len(b), np.int32)
+        ids[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[window_a]] = a
+        ids[np.arange(len(b)) + np.cumsum(size_a)[window_b]] = b + SIDE
+        sizes = size_a + size_b
+        raw, cut = ids.tobytes(), [0, *(4 * np.cumsum(sizes[sizes > 0])).tolist()]
         groups, n, links = [], 0, []
-        for at in range(0, len(cut_a) - 1, BLOCK):
-            i, j = cut_a[at: at + BLOCK + 1], cut_b[at: at + BLOCK + 1]
-            keys = [(raw_a[p:q], raw_b[u:w]) for p, q, u, w in zip(i, i[1:], j, j[1:]) if q > p]
-            met = list(map(self.windows.table(set(keys)).__getitem__, keys))
+        for at in range(0, len(cut) - 1, BLOCK):
+            ends = cut[at: at + BLOCK + 1]
+            keys = [raw[i:k] for i, k in zip(ends, ends[1:])]
+            met = list(map(self.windows.table(keys).__getitem__, keys))
             groups.append(";".join([m[0] for m in met]))
             n += sum([m[1] for m in met])
             links.append(b"".join([m[2] for m in met]))
-        return ";".join(filter(None, groups)), n, np.frombuffer(b"".join(links), np.int64)
+        return ";".join(groups), n, np.frombuffer(b"".join(links), np.int64)
 
 
 def parts(text: str) -> Iterator[str]:
