@@ -66,7 +66,10 @@ def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     power = F.floor(F.log2(big))
     half = F.floor(power / 2)
     two = F.lit(2.0)
-    d = d.select("id", F.transform(v, lambda x: x * F.pow(two, -half) * F.pow(two, half - power)).alias("v"))
+    # the row is bound in a lambda of its own, so the factors are worked out once a row, not once a component
+    row = F.struct(v.alias("v"), F.pow(two, -half).alias("a"), F.pow(two, half - power).alias("b"))
+    scaled = F.transform(F.array(row), lambda r: F.transform(r["v"], lambda x: x * r["a"] * r["b"]))[0]
+    d = d.select("id", scaled.alias("v"))
     dim = d.groupBy(F.size("v").alias("dim")).count().orderBy(F.col("count").desc(), "dim").first()
     return d.where(F.size("v") == (dim["dim"] if dim else 0))
 
