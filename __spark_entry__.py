@@ -116,7 +116,7 @@ def q_pii_summary(spark, sf):
 
 
 def q_pii_histogram(spark, sf):
-    return R.rounded(stats.integer_histogram(_pii_counts(spark, sf), "total", 20))
+    return R.rounded(stats.integer_histogram(_pii_counts(spark, sf), "total", 20, overflow=True))
 
 
 # ---------------------------------------------------------------- language
@@ -438,7 +438,7 @@ def q_drop_reasons_merged(spark, sf):
 def q_residual_pii_histogram(spark, sf):
     """Residual report-pattern PII per output text, unit bins capped at 10."""
     k = _kept(spark, sf).select(T.pii_counts("text")["total"].alias("total"))
-    return R.rounded(stats.integer_histogram(k, "total", 10))
+    return R.rounded(stats.integer_histogram(k, "total", 10, overflow=True))
 
 
 def q_lexical_diversity_histogram(spark, sf):

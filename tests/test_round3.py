@@ -122,7 +122,7 @@ def test_exact_mean_lies_within_the_bound(spark):
 
 def test_integer_histogram_counts_what_lies_past_the_last_edge(spark):
     df = spark.createDataFrame([(x,) for x in (0, 0, 1, 25, 99, None)], "v int")
-    rows = stats.integer_histogram(df, "v", 20).orderBy("bin").collect()
+    rows = stats.integer_histogram(df, "v", 20, overflow=True).orderBy("bin").collect()
     assert len(rows) == 20
     assert [(r["bin"], r["n"], r["density"]) for r in rows[:2]] == [(0, 2, pytest.approx(2 / 3)), (1, 1, pytest.approx(1 / 3))]
     assert (rows[19]["bin"], rows[19]["lo"], rows[19]["hi"], rows[19]["n"], rows[19]["density"]) == (19, 19, 99, 2, None)

@@ -53,14 +53,14 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     )
 
 
-def integer_histogram(df: DataFrame, col: str, cap: int) -> DataFrame:
+def integer_histogram(df: DataFrame, col: str, cap: int, overflow: bool = False) -> DataFrame:
     """Unit-width histogram over edges 0..E, E = min(max + 2, cap) - 1 (H2).
 
-    Bins [i, i+1), the last one closed.  Values past E are counted in a last row
-    of their own, from E to the greatest value (``bin`` = E; only if there are
-    any).  ``density`` follows the plotted range, as in the reference: values past
-    E are not in its denominator, and their row has none; ``share`` is of all
-    values and adds up to 1.  Nulls and negative values take no part.
+    Bins [i, i+1), the last one closed.  Values past E are left out, as in the
+    reference's plot, or with ``overflow`` counted in a last row of their own, from E
+    to the greatest value (``bin`` = E; only if there are any).  ``density`` follows the plotted range, as in the reference: values past
+    E are not in its denominator, and their row has none; ``share`` is of the
+    counted values and adds up to 1.  Nulls and negative values take no part.
     """
     spark = df.sparkSession
     x = F.col(col).cast("long")
@@ -71,11 +71,11 @@ def integer_histogram(df: DataFrame, col: str, cap: int) -> DataFrame:
     if last_edge < 1:
         return rows_frame(spark, [], "bin int, lo long, hi long, n long, density double, share double")
     bin_ = F.when(F.col("x") > last_edge, last_edge).otherwise(F.least(F.col("x"), F.lit(last_edge - 1))).cast("int")
-    counts = vals.where(F.col("x") >= 0).groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = vals.where((F.col("x") >= 0) & (F.lit(overflow) | (F.col("x") <= last_edge))).groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     inside = F.col("bin") < last_edge
     total = F.sum(F.when(inside, F.col("n"))).over(Window.partitionBy())
     every = F.sum("n").over(Window.partitionBy())
-    skeleton = spark.range(last_edge + (mx > last_edge)).select(F.col("id").cast("int").alias("bin"))
+    skeleton = spark.range(last_edge + (overflow and mx > last_edge)).select(F.col("id").cast("int").alias("bin"))
     return (
         skeleton.join(F.broadcast(counts), "bin", "left")
         .select("bin", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))

@@ -234,7 +234,7 @@ def input_report_files(spark, raw_dir: str, profile, cfg=None) -> dict[str, Data
         "languages_rollup": lang_rollup(det, cfg.others_share),
         "confidence": lang_confidence(det),
         "confidence_hist": stats.histogram(det.select(F.round("prob", 4).alias("prob")), "prob", 50),
-        "pii_hist": stats.integer_histogram(valid.select(T.pii_counts("text")["total"].alias("total")), "total", 20),
+        "pii_hist": stats.integer_histogram(valid.select(T.pii_counts("text")["total"].alias("total")), "total", 20, overflow=True),
     }
 
 
@@ -331,7 +331,7 @@ def output_report_files(spark, out_dir: str, cfg=None) -> dict[str, DataFrame]:
         "token_length_hist": stats.histogram(lengths, "len", 50),
         "unique_words_hist": stats.histogram(texts.select(T.unique_words_lower("text").alias("u")), "u", 30),
         "lexical_diversity_hist": stats.histogram(texts.select(T.lexical_diversity("text").alias("d")), "d", 30),
-        "residual_pii_hist": stats.integer_histogram(texts.select(T.pii_counts("text")["total"].alias("t")), "t", 10),
+        "residual_pii_hist": stats.integer_histogram(texts.select(T.pii_counts("text")["total"].alias("t")), "t", 10, overflow=True),
         "pair_cosine": pairs,
         "pair_cosine_hist": pairs_hist,
         "cosine_to_centroid": centroid,
