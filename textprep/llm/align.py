@@ -5,7 +5,8 @@ model; both see a space and the text.  After full tokenisation the byte offsets
 where space-marked tokens of both begin are intersected: these are shared ends
 of both token sequences, and they cut a document into windows of a few ids.  A
 window's alignment depends on its ids alone, so it is remembered by the pair of
-id tuples in a bounded table.
+id tuples in a bounded table.  What stands between two lone spaces has ids and windows
+that do not depend on its neighbours, so its windows' alignments are remembered by its text.
 
 Linking (``link``) needs no shuffle.  Counting (``counted``) sums the id pairs
 of all documents, a pair of a batch at a time.  The most frequent pairs, a fixed
@@ -17,7 +18,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +30,14 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from ..session import ship_package
 from . import shared
 
-SIDE = 1 << 24           # added to B's ids where A's and B's stand together
 SHIFT = 32               # an id pair is A's id << SHIFT | B's id
 REMEMBERED = 64 << 20    # bytes of windows, and of chunks between gaps, remembered, twice
-PIECE = 1 << 20          # characters tokenised at once
+PIECE = 1 << 20          # characters of a text tokenised at once
+TOGETHER = 1 << 16       # characters of short texts looked up at once
 BLOCK = 1 << 16          # windows looked up at once
 HOT = 1 << 18            # pairs whose counts are broadcast (a few MB)
 #: a lone space between a word's end and a letter, digit or ASCII mark: no token of either tokenizer goes across
-GAP = re.compile(r"(?<=[^\s▁]) (?=[^\W_]|[!-~])")
+GAP = re.compile(r" (?<=[^\s▁] )(?=[^\W_]|[!-~])")
 #: what may stand between two gaps
 INNER = re.compile(r"(?=[^\W_]|[!-~])[^▁]*(?<=\S)\Z")
 
@@ -43,26 +45,28 @@ INNER = re.compile(r"(?=[^\W_]|[!-~])[^▁]*(?<=\S)\Z")
 class Met:
     """Values made before, by key; when full the table becomes the older half, and the half before is forgotten.
 
-    ``make`` takes a list of keys; an entry is taken to have ``each`` bytes and 8 times its key's length.  Only the keys of one call come on top of the bound.
+    ``make`` takes a list of keys; an entry is taken to have ``each`` bytes and 8 times its key's ``length``.  Only the keys of one call come on top of the bound.
     """
 
-    def __init__(self, make, each: int):
-        self.make, self.each, self.bytes, self.now, self.older = make, each, 0, {}, {}
+    def __init__(self, make: Callable, each: int, length: Callable = len):
+        self.make, self.each, self.length, self.bytes, self.now, self.older = make, each, length, 0, {}, {}
 
-    def table(self, keys) -> dict:
-        """A table that holds ``keys``."""
+    def values(self, keys: list) -> list:
+        """The value of every key."""
         if self.bytes > REMEMBERED:
             self.older, self.now, self.bytes = self.now, {}, 0
         now, older = self.now, self.older
-        missing = {k for k in keys if k not in now}
+        got = list(map(now.get, keys))
+        missing = {k for k, v in zip(keys, got) if v is None}
         if missing:
             new = [k for k in missing if k not in older]
             if len(new) < len(missing):
                 now.update((k, older[k]) for k in missing if k in older)
             if new:
                 now.update(zip(new, self.make(new)))
-            self.bytes += self.each * len(missing) + 8 * sum(map(len, missing))
-        return now
+            self.bytes += self.each * len(missing) + 8 * sum(map(self.length, missing))
+            got = list(map(now.__getitem__, keys))
+        return got
 
 
 class Pair:
@@ -90,33 +94,73 @@ class Pair:
         self.text_a, self.text_b = ([f"{i}{m}" for i in range(n) for m in marks]
                                     for n, marks in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")))
         self.text = self.text_a + self.text_b
+        self.text_length = np.array(list(map(len, self.text)))
         self.mark_a = np.array([x[:1] == b" " for x in self.bytes_a])
         self.mark_b = np.array([b.id_to_piece(i)[:1] == "▁" for i in range(b.get_piece_size())])
-        self.chunks = Met(self.tokenised, 400)
-        self.windows = Met(self.align, 450)
+        self.chunks = Met(self.chunk, 450)
+        self.windows = Met(self.align, 450, lambda key: len(key[0]) + len(key[1]))
+
+    def linked(self, texts: list[str]) -> list[tuple[int, int, str, int, bytes]]:
+        """(A's tokens, B's, groups, their number, packed id pair per link) of whole texts; nothing
+        where a tokenizer's bytes are not those of the text."""
+        out = []
+        for some in together(texts):
+            if len(some) > 1:
+                out += self.of_chunks([GAP.split(t) if t else [] for t in some])
+                continue
+            made = [(0, 0, "", 0, b"")]
+            for part in parts(some[0]) if some[0] else ():
+                made += self.of_chunks([GAP.split(part)])
+                if not made[-1][0]:
+                    made = made[:1]
+                    break
+            a, b, groups, n, links = zip(*made)
+            out.append((sum(a), sum(b), ";".join(groups[1:]), sum(n), b"".join(links)))
+        return out
+
+    def of_chunks(self, lists: list[list[str]]) -> list[tuple[int, int, str, int, bytes]]:
+        """As ``linked``, of texts cut at their gaps; looked up together."""
+        met, out, at = self.chunks.values([c for x in lists for c in x]), [], 0
+        for x in lists:
+            a, b, groups, n, links = zip(*met[at: at + len(x)]) if x else ((),) * 5
+            at += len(x)
+            out.append((sum(a), sum(b), ";".join(groups), sum(n), b"".join(links)) if all(a) else (0, 0, "", 0, b""))
+        return out
+
+    def chunk(self, chunks: list[str]) -> list[tuple[int, int, str, int, bytes]]:
+        """As ``linked``, of chunks by their windows; all zeros where a tokenizer's bytes differ."""
+        cut = self.tokenised(chunks)
+        keys = list(chain.from_iterable(cut))
+        met, out, at = self.met(keys), [], 0
+        for x in cut:
+            if len(x) == 1:
+                groups, n, links = met[at]
+            else:
+                own = met[at: at + len(x)]
+                groups, n, links = ";".join([m[0] for m in own]), sum([m[1] for m in own]), b"".join([m[2] for m in own])
+            at += len(x)
+            out.append((sum([len(k[0]) for k in x]) // 4, sum([len(k[1]) for k in x]) // 4, groups, n, links))
+        return out
+
+    def met(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[str, int, bytes]]:
+        """The alignments of windows, a block at a time."""
+        return [m for at in range(0, len(keys), BLOCK) for m in self.windows.values(keys[at: at + BLOCK])]
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Both tokenizers' ids of whole texts; empty where their bytes are not those of the text."""
-        none, out = np.zeros(0, np.int32), []
+        out = []
         for text in texts:
-            raw_a, raw_b, same = [], [], bool(text)
-            for part in parts(text):
-                chunks = GAP.split(part)
-                met = list(map(self.chunks.table(chunks).__getitem__, chunks))
-                if None in met:
-                    same = False
-                    break
-                raw_a.append(b"".join([m[0] for m in met]))
-                raw_b.append(b"".join([m[1] for m in met]))
-            out.append(tuple(np.frombuffer(b"".join(x), np.int32) for x in (raw_a, raw_b)) if same else (none, none))
+            cut = [x for part in parts(text) for x in self.tokenised(GAP.split(part))] if text else []
+            keys = list(chain.from_iterable(cut)) if all(cut) else []
+            out.append(tuple(np.frombuffer(b"".join([k[side] for k in keys]), np.int32) for side in (0, 1)))
         return out
 
     def same(self, text: str, a: list[int], b: list[int]) -> bool:
         """Whether both tokenizers' bytes are a space and the text."""
         return (" " + text).encode() == b"".join(map(self.bytes_a.__getitem__, a)) == b"".join(map(self.bytes_b.__getitem__, b))
 
-    def tokenised(self, chunks: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Both tokenizers' packed ids of each chunk with a space in front, None where their bytes are not
+    def tokenised(self, chunks: list[str]) -> list[tuple[tuple[bytes, bytes], ...]]:
+        """The windows of each chunk with a space in front, none where a tokenizer's bytes are not
         those of the chunk.  Chunks that may stand between gaps are one text, cut at their ends."""
         inner = [c for c in chunks if INNER.match(c)]
         made = {}
@@ -125,32 +169,39 @@ class Pair:
             ids_a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
             ids_b = self.b.encode(text)
             if self.same(text, ids_a, ids_b):
-                ends, cut = np.cumsum([1 + len(c.encode()) for c in inner]), []
-                for ids, sizes in ((np.array(ids_a, np.int32), self.len_a), (np.array(ids_b, np.int32), self.len_b)):
-                    reach = np.cumsum(sizes[ids])
-                    at = np.searchsorted(reach, ends)
-                    if not np.array_equal(reach[at], ends):
-                        raise ValueError("a token goes across a gap between words; these tokenizers cannot be cut there")
-                    raw, bounds = ids.tobytes(), [0, *(4 * at + 4).tolist()]
-                    cut.append([raw[i:k] for i, k in zip(bounds, bounds[1:])])
-                made = dict(zip(inner, zip(*cut)))
+                keys, anchors = self.cut(np.array(ids_a, np.int32), np.array(ids_b, np.int32))
+                starts = np.cumsum([0, *(1 + len(c.encode()) for c in inner[:-1])])
+                first = np.searchsorted(anchors, starts)
+                if first[-1] == len(anchors) or not np.array_equal(anchors[first], starts):
+                    raise ValueError("a token goes across a gap between words; these tokenizers cannot be cut there")
+                bounds = [*first.tolist(), len(keys)]
+                made = {c: tuple(keys[i:k]) for c, i, k in zip(inner, bounds, bounds[1:])}
         other = [c for c in chunks if c not in made]
         for c, a, b in zip(other, self.a.encode_batch_fast([" " + c for c in other], add_special_tokens=False),
                            self.b.encode(other, num_threads=1)) if other else ():
-            made[c] = (np.array(a.ids, np.int32).tobytes(), np.array(b, np.int32).tobytes()) if self.same(c, a.ids, b) else None
+            made[c] = tuple(self.cut(np.array(a.ids, np.int32), np.array(b, np.int32))[0]) if self.same(c, a.ids, b) else ()
         return [made[c] for c in chunks]
 
-    def align(self, keys: list[bytes]) -> list[tuple[str, int, bytes]]:
+    def cut(self, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[bytes, bytes]], np.ndarray]:
+        """Both sides' packed ids of every window, and the byte offsets where the windows begin: those
+        where space-marked tokens of both begin, and the text's start."""
+        start_a, start_b = np.cumsum(self.len_a[a]) - self.len_a[a], np.cumsum(self.len_b[b]) - self.len_b[b]
+        anchors = merged(start_a[self.mark_a[a]], start_b[self.mark_b[b]])[1]
+        if not len(anchors) or anchors[0]:
+            anchors = np.r_[0, anchors]
+        raw_a, raw_b = a.tobytes(), b.tobytes()
+        at_a, at_b = ([*(4 * np.searchsorted(s, anchors)).tolist(), len(raw)] for s, raw in ((start_a, raw_a), (start_b, raw_b)))
+        return [(raw_a[i:k], raw_b[u:w]) for i, k, u, w in zip(at_a, at_a[1:], at_b, at_b[1:])], anchors
+
+    def align(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[str, int, bytes]]:
         """(groups, their number, packed id pair per link) of each window of ids.
 
         The windows lie one behind the other, as in a text; their ends are ends of both sides.
         """
-        ids = np.frombuffer(b"".join(keys), np.int32)
-        of_b = ids >= SIDE
-        a, b = ids[~of_b], ids[of_b] - SIDE
+        a, b = (np.frombuffer(b"".join([k[side] for k in keys]), np.int32) for side in (0, 1))
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        last = end_a[np.cumsum(~of_b)[np.cumsum(list(map(len, keys))) // 4 - 1] - 1]
-        cut = np.intersect1d(end_a, end_b, assume_unique=True)
+        last = end_a[np.cumsum([len(k[0]) for k in keys]) // 4 - 1]
+        ends, cut = merged(end_a, end_b)
         # groups as text: A's ids of a group, then B's, each with the mark behind it
         group_a, group_b = np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)
         size_a, size_b = np.bincount(group_a), np.bincount(group_b)
@@ -159,39 +210,38 @@ class Pair:
         words = np.empty(len(a) + len(b), np.int64)
         words[place_a] = 2 * a.astype(np.int64) + (end_a == cut[group_a])
         words[place_b] = len(self.text_a) + 2 * b.astype(np.int64) + (end_b == cut[group_b])
-        words = list(map(self.text.__getitem__, words.tolist()))
         groups = np.searchsorted(cut, last) + 1
-        stop = np.cumsum(size_a + size_b)[groups - 1].tolist()
+        stop = np.cumsum(self.text_length[words])[np.cumsum(size_a + size_b)[groups - 1] - 1].tolist()
+        text = "".join(map(self.text.__getitem__, words.tolist()))
         # every stretch between neighbouring ends lies in one token of each: one link
-        ends = np.union1d(end_a, end_b)
         pairs = a[np.searchsorted(end_a, ends)].astype(np.int64) << SHIFT | b[np.searchsorted(end_b, ends)]
         raw, reach = pairs.tobytes(), (8 * np.searchsorted(ends, last) + 8).tolist()
-        return [("".join(words[i:k])[:-1], n, raw[u:w]) for i, k, n, u, w in zip(
+        return [(text[i:k - 1], n, raw[u:w]) for i, k, n, u, w in zip(
             [0, *stop], stop, np.diff(groups, prepend=0).tolist(), [0, *reach], reach)]
 
     def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray]:
         """(groups, their number, id pair per link) of a document's ids."""
-        if not len(a):
-            return "", 0, np.zeros(0, np.int64)
-        start_a, start_b = np.cumsum(self.len_a[a]) - self.len_a[a], np.cumsum(self.len_b[b]) - self.len_b[b]
-        anchors = np.intersect1d(start_a[self.mark_a[a]], start_b[self.mark_b[b]], assume_unique=True)
-        # windows one behind the other, A's ids of each before B's
-        window_a, window_b = np.searchsorted(anchors, start_a, "right"), np.searchsorted(anchors, start_b, "right")
-        size_a, size_b = (np.bincount(w, minlength=len(anchors) + 1) for w in (window_a, window_b))
-        ids = np.empty(len(a) + len(b), np.int32)
-        ids[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[window_a]] = a
-        ids[np.arange(len(b)) + np.cumsum(size_a)[window_b]] = b + SIDE
-        sizes = size_a + size_b
-        raw, cut = ids.tobytes(), [0, *(4 * np.cumsum(sizes[sizes > 0])).tolist()]
-        groups, n, links = [], 0, []
-        for at in range(0, len(cut) - 1, BLOCK):
-            ends = cut[at: at + BLOCK + 1]
-            keys = [raw[i:k] for i, k in zip(ends, ends[1:])]
-            met = list(map(self.windows.table(keys).__getitem__, keys))
-            groups.append(";".join([m[0] for m in met]))
-            n += sum([m[1] for m in met])
-            links.append(b"".join([m[2] for m in met]))
-        return ";".join(groups), n, np.frombuffer(b"".join(links), np.int64)
+        met = self.met(self.cut(a, b)[0]) if len(a) else []
+        return ";".join([m[0] for m in met]), sum([m[1] for m in met]), np.frombuffer(b"".join([m[2] for m in met]), np.int64)
+
+
+def merged(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of two ascending arrays without repeats, and those in both."""
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    twice = both[1:] == both[:-1]
+    return both[np.r_[~twice, True]] if len(both) else both, both[1:][twice]
+
+
+def together(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in runs of about TOGETHER characters; a longer one stands alone."""
+    at, held = 0, 0
+    for i, text in enumerate(texts):
+        if i > at and held + len(text) > TOGETHER:
+            yield texts[at:i]
+            at, held = i, 0
+        held += len(text)
+    if texts:
+        yield texts[at:]
 
 
 def parts(text: str) -> Iterator[str]:
@@ -241,15 +291,14 @@ def link(df: DataFrame, path_a: str, path_b: str, text_col: str = "text") -> Dat
             _MADE[path_a, path_b] = Pair(*shipped.value)
         pair = _MADE[path_a, path_b]
         for b in shared.in_bytes(batches, k, rows=512):
-            ids = pair.tokens([t or "" for t in b.column(k).to_pylist()])
-            met = [pair.aligned(x, y) for x, y in ids]
-            distinct = [np.unique(m[2], return_counts=True) for m in met]
+            met = pair.linked([t or "" for t in b.column(k).to_pylist()])
+            distinct = [np.unique(np.frombuffer(m[4], np.int64), return_counts=True) for m in met]
             starts = pa.array(np.r_[0, np.cumsum([len(d[0]) for d in distinct])], pa.int32())
             lists = [pa.ListArray.from_arrays(starts, pa.array(np.concatenate([d[i] for d in distinct]).astype(t)))
                      for i, t in ((0, np.int64), (1, np.int32))]
-            columns = [[len(x) for x, _ in ids], [len(y) for _, y in ids], [m[1] for m in met], [len(m[2]) for m in met]]
+            columns = [[m[0] for m in met], [m[1] for m in met], [m[3] for m in met], [len(m[4]) // 8 for m in met]]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:k], *(pa.array(c, pa.int64()) for c in columns), pa.array([m[0] for m in met], pa.string()), *lists],
+                [*b.columns[:k], *(pa.array(c, pa.int64()) for c in columns), pa.array([m[2] for m in met], pa.string()), *lists],
                 names=schema.fieldNames())
 
     return shared.positional(df, *keep, F.col(text_col)).mapInArrow(run, schema)
