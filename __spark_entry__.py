@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from textprep.config import PrepConfig
 from textprep.functions import text as T
 from textprep.operators import dedup, lang, rank, similarity, stats, tokens
+from textprep.operators.key_index import KeyIndex
 from textprep.plans import pipeline as PL
 from textprep.plans import reports as R
 from textprep.session import ensure_checkpoint_dir, materialize, rows_frame, scratch_path
@@ -259,6 +260,15 @@ def q_dedup_batch(spark, sf):
     return _dedup(spark, sf, "batch")
 
 
+def q_dedup_deliveries(spark, sf):
+    """All documents in two deliveries, even and odd doc_id, through a stored key index (D1 over runs)."""
+    c = _clean_docs(spark, sf).select("ord", dedup.text_key(T.replace_pii(F.col("text"))).alias("key"))
+    c = materialize(c)
+    index = KeyIndex(scratch_path(spark, f"keys-{abs(hash(sf))}"), 64)
+    done = [index.first_ever(dedup.mark_first(c.where(F.col("ord") % 2 == d), "key"), d) for d in (0, 1)]
+    return done[0].unionByName(done[1]).select(F.col("ord").alias("doc_id"), "is_first")
+
+
 def q_token_duplicates(spark, sf):
     return R.rounded(dedup.duplicate_counts(_doc_tokens(spark, sf)))
 
@@ -516,6 +526,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_score": q_quality_score,
     "dedup_global": q_dedup_global,
     "dedup_batch": q_dedup_batch,
+    "dedup_deliveries": q_dedup_deliveries,
     "token_duplicates": q_token_duplicates,
     "record_fates": q_record_fates,
     "drop_reasons": q_drop_reasons,

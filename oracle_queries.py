@@ -283,6 +283,9 @@ ORACLE: dict[str, str] = {
       FROM x""",
     "dedup_global": "WITH " + dedup(False),
     "dedup_batch": "WITH " + dedup(True),
+    "dedup_deliveries": "WITH " + CD + f""",
+      x AS (SELECT doc_id, {pii('text')} AS pt FROM cd)
+      SELECT doc_id, row_number() OVER (PARTITION BY lower(pt) ORDER BY doc_id % 2, doc_id) = 1 AS is_first FROM x""",
     "token_duplicates": "WITH " + DOC_VOCAB + """, k AS (SELECT tokens, count(*) AS c FROM de GROUP BY tokens),
       t AS (SELECT CAST(sum(c) AS BIGINT) AS total, count(*) AS uniq FROM k)
       SELECT total, uniq AS "unique", total - uniq AS duplicates,

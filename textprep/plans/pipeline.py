@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..config import DROP_REASONS, LIBRARY_DEFAULTS, PII_REPLACED, PrepConfig
 from ..functions import text as T
 from ..operators import dedup, lang, rank, tokens
+from ..operators.key_index import KeyIndex
 from ..session import materialize
 
 
@@ -60,12 +61,17 @@ def pii_text(clean: Column, cfg: PrepConfig) -> Column:
     return T.replace_pii(clean) if cfg.do_pii else clean
 
 
-def fates(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig()) -> DataFrame:
+def fates(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig(),
+          index: KeyIndex | None = None, delivery: int = 0) -> DataFrame:
     """One row per input row: (ord, reason, lang, prob, pii_found, n_tokens).
 
     ``reason`` is null for kept rows; ``malformed`` and ``light_empty`` are
-    bookkeeping fates outside the reference's drop reasons.
+    bookkeeping fates outside the reference's drop reasons.  With ``index`` (global
+    scope only) copies of texts of earlier deliveries are duplicates too, and the
+    delivery's first copies are stored in it when this is called.
     """
+    if index is not None and cfg.dedup_scope != "global":
+        raise ValueError("a key index needs dedup_scope='global'")
     base = normalize_input(df)
     clean = T.clean_text(F.col("text"))
     staged = base.select("ord", "malformed", clean.alias("clean"))
@@ -93,6 +99,8 @@ def fates(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = PrepConfig
     dec, scope_col = _with_batch_ids(dec, cfg)
     english = ~F.col("is_empty") & (F.col("lang") == F.lit(cfg.target_lang))
     dec = dedup.mark_first(dec, "key", "ord", scope_col, eligible=english)
+    if index is not None:
+        dec = index.first_ever(dec, delivery)
     in_len = tokens.length_ok(F.col("n_tokens"), cfg.min_tokens, cfg.max_tokens)
     reason = (
         F.when(F.col("is_empty"), F.lit("empty"))

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from ..config import PrepConfig
 from ..operators import lang, tokens
+from ..operators.key_index import KeyIndex
 from ..session import materialize
 from ..sources import jsonl
 from . import pipeline as PL
 
 
 def run_pipeline(spark: SparkSession, records: DataFrame, out_dir: str, profile: lang.LangProfile,
-                 cfg: PrepConfig = PrepConfig(), vocab: DataFrame | None = None) -> dict:
+                 cfg: PrepConfig = PrepConfig(), vocab: DataFrame | None = None,
+                 index: KeyIndex | None = None, delivery: int = 0) -> dict:
     """Run the waterfall on ``records`` (ord, text[, malformed]) and write under ``out_dir``:
 
     (each folder appears whole, when its write is committed)
@@ -28,10 +30,12 @@ def run_pipeline(spark: SparkSession, records: DataFrame, out_dir: str, profile:
     * ``vocab/``     (token_id, piece, freq) parquet
     * ``drop_reasons.json``, ``pipeline_summary.json`` (S10, S11)
 
+    ``index``, ``delivery``: drop copies of earlier deliveries' texts (``pipeline.fates``).
+
     Returns the summary.
     """
     t0 = time.time()
-    fate = materialize(PL.fates(records, profile, cfg))
+    fate = materialize(PL.fates(records, profile, cfg, index, delivery))
     kept = materialize(PL.kept_texts(records, fate, cfg))
     jsonl.write_text_jsonl(kept, os.path.join(out_dir, "text"))
     v = vocab if vocab is not None else tokens.build_vocab(kept)
@@ -76,8 +80,8 @@ def read_json_object(spark: SparkSession, path: str) -> dict:
 
 
 def run_jsonl(spark: SparkSession, src_dir: str, out_dir: str, profile: lang.LangProfile,
-              cfg: PrepConfig = PrepConfig()) -> dict:
+              cfg: PrepConfig = PrepConfig(), index: KeyIndex | None = None, delivery: int = 0) -> dict:
     """The reference's entry point: ``*.jsonl`` files in, outputs written."""
     recs = jsonl.read_records(spark, src_dir)
     return run_pipeline(spark, recs.select("ord", "text", "malformed",
-                                           F.col("blank")), out_dir, profile, cfg)
+                                           F.col("blank")), out_dir, profile, cfg, index=index, delivery=delivery)
