@@ -21,7 +21,7 @@ from textprep.operators.key_index import KeyIndex
 from textprep.plans import pipeline as PL
 from textprep.plans import reports as R
 from textprep.session import ensure_checkpoint_dir, materialize, rows_frame, scratch_path
-from textprep.sources import jsonl, tables
+from textprep.sources import jsonl, manifest, tables
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -492,6 +492,13 @@ def q_shard_assign(spark, sf):
     return _kept_tokens(spark, sf).select(F.col("ord").alias("doc_id"), "shard_id")
 
 
+def q_shard_manifest(spark, sf):
+    """Rows and checksum of every token shard the job's writer wrote, from the manifest beside them."""
+    path = scratch_path(spark, f"shards-{abs(hash(sf))}")
+    jsonl.write_shards(_kept_tokens(spark, sf), path)
+    return materialize(manifest.read(spark, path))
+
+
 def q_run_summary(spark, sf):
     """The run summary without its runtime (S11, A19): (key, value)."""
     acc = PL.accounting(_fates(spark, sf)).first()
@@ -559,6 +566,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lang_confidence_histogram": q_lang_confidence_histogram,
     "light_filter_counts": q_light_filter_counts,
     "shard_assign": q_shard_assign,
+    "shard_manifest": q_shard_manifest,
     "run_summary": q_run_summary,
 }
 

@@ -307,6 +307,9 @@ ORACLE: dict[str, str] = {
     "prepare_tokens": "WITH " + PIPE + """ SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens,
       array_to_string(toks, ' ') AS tokens FROM out""",
     "shuffle_rank": "WITH " + PIPE + " SELECT doc_id, pos FROM out",
+    "shard_manifest": "WITH " + PIPE + """ SELECT 'shard_' || format('{:04d}', CAST(shard_id AS INTEGER)) || '.jsonl' AS file, count(*) AS n,
+      CAST(sum(CAST('0x' || substr(md5('{"tokens":[' || array_to_string(toks, ',') || ']}'), 1, 15) AS HUGEINT)) AS VARCHAR) AS checksum
+      FROM out GROUP BY 1""",
     "shard_sizes": "WITH " + PIPE + " SELECT CAST(shard_id AS INTEGER) AS shard_id, count(*) AS n FROM out GROUP BY 1",
     "token_length_stats": "WITH " + PIPE + """, v AS (SELECT CAST(len(toks) AS DOUBLE) AS x FROM out)
       SELECT count(x) AS count, round(avg(x), 4) AS mean, round(quantile_cont(x, 0.5), 4) AS median,

@@ -25,11 +25,13 @@ def _part(path: str) -> tuple[str, int]:
 
 
 @contextmanager
-def committed(spark: SparkSession, path: str, name: Callable[[int, int, str], str]) -> Iterator[str]:
+def committed(spark: SparkSession, path: str, name: Callable[[int, int, str], str],
+              finish: Callable[[SparkSession, str], None] | None = None) -> Iterator[str]:
     """Yields a folder for a Spark writer; ``path`` then holds its files, and nothing else.
 
     ``name(k, n, file)`` names the k-th of n data files.  File names and renames
-    are the driver's, as in Spark's own commit; no data passes through it.
+    are the driver's, as in Spark's own commit; no data passes through it.  ``finish`` is
+    called with the named files' folder before it is put in place.
     """
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
@@ -54,6 +56,8 @@ def committed(spark: SparkSession, path: str, name: Callable[[int, int, str], st
         found.sort(key=_part)
         for k, f in enumerate(found):
             move(Path(f), Path(ready, name(k, len(found), f)))
+        if finish:
+            finish(spark, ready.toString())
         if fs.exists(target):
             move(target, old)
         move(ready, target)

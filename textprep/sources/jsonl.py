@@ -20,6 +20,7 @@ from pyspark.sql.utils import AnalysisException
 from ..functions.text import is_blank
 from ..operators.rank import prefix_sum
 from ..session import broadcast_if_small, materialize
+from . import manifest
 from .commit import committed
 
 GLOB = "*.jsonl"
@@ -154,7 +155,7 @@ def _numbered(stem: str):
 def write_text_jsonl(df: DataFrame, path: str, order_col: str = "ord") -> None:
     """Cleaned texts as ``{"text": ...}`` lines in ``order_col`` order (S8): ``part_NNNNN.jsonl``, which
     ``read_records`` reads in that order.  Replaces ``path`` when all is written."""
-    with committed(df.sparkSession, path, _numbered("part")) as raw:
+    with committed(df.sparkSession, path, _numbered("part"), manifest.write) as raw:
         _ordered_parts(df, [order_col]).select("text").write.json(raw)
 
 
@@ -167,7 +168,7 @@ def write_shards(df: DataFrame, path: str) -> None:
     def name(_k: int, _n: int, file: str) -> str:
         return f"shard_{int(re.search(r'shard_id=([0-9]+)/', file)[1]):04d}.jsonl"
 
-    with committed(df.sparkSession, path, name) as raw:
+    with committed(df.sparkSession, path, name, manifest.write) as raw:
         (
             df.repartition("shard_id").sortWithinPartitions("shard_id", "pos")
             .select("shard_id", "tokens")
@@ -183,8 +184,10 @@ def shard_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_m"))
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """Written shards back: (shard_id, tokens)."""
+def read_shards(spark: SparkSession, path: str, verify: bool = False) -> DataFrame:
+    """Written shards back: (shard_id, tokens) (S9, L6).  ``verify``: hold all lines against the manifest first."""
+    if verify:
+        manifest.check(spark, path)
     return shard_lines(spark, path).select(token_list(F.col("value"))[1].alias("tokens"), "shard_id")
 
 
@@ -195,7 +198,7 @@ def combine_shards(spark: SparkSession, shards_path: str, out_path: str) -> None
     ordered part files, replaced when all is written.
     """
     df = shard_lines(spark, shards_path)
-    with committed(spark, out_path, _numbered("part")) as raw:
+    with committed(spark, out_path, _numbered("part"), manifest.write) as raw:
         ordered = _ordered_parts(df, ["shard_id", "_block", "_m"])
         ordered.select(token_list(F.col("value"))[1].alias("tokens")).write.json(raw)
 
