@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from textprep.config import PrepConfig
 from textprep.operators import lang
+from textprep.plans import pipeline as PL
 from textprep.plans.run import read_json_object, run_jsonl
+from textprep.session import materialize
 from textprep.sources import jsonl, tables
 
 EDGE = ['{"text":"a b"}', "", "   ", "{bad", '{"x":1}', '{"text":"  "}', '{"text":null}',
@@ -198,3 +200,18 @@ def test_output_report_similarity_of_all_sequences(spark, scratch):
     assert rep["cosine_sample"].first()["sequences"] == 10 < kept
     assert rep["cosine_to_centroid"].first()["count"] == kept
     assert sum(r["n"] for r in rep["cosine_to_centroid_hist"].collect()) == kept
+
+
+def test_observed_counts_equal_a_count_of_their_own(spark, scratch):
+    rows = [(None, False), ("malformed", False), ("duplicate", True), ("duplicate", False), (None, True), ("light_empty", False)]
+    fate = spark.createDataFrame([(i, r, p) for i, (r, p) in enumerate(rows * 50)], "ord long, reason string, pii_found boolean")
+    for part in (fate.repartition(7), fate.limit(0)):
+        out, seen = PL.observe_fates(part)
+        out = materialize(out)
+        got, reasons = PL.observed_accounting(seen)
+        assert got == PL.accounting(part).first().asDict()
+        assert reasons == {r["reason"]: r["n"] for r in PL.drop_reasons(out).collect()}
+    shards = spark.createDataFrame([(i // 4, i, [i] * (i % 3)) for i in range(15)], "shard_id int, pos long, tokens array<int>")
+    written = jsonl.write_shards(shards, os.path.join(scratch, "s"))
+    assert written == {"records": 15, "tokens": sum(i % 3 for i in range(15))}
+    assert jsonl.write_shards(shards.limit(0), os.path.join(scratch, "e")) == {"records": 0, "tokens": 0}

@@ -52,3 +52,5 @@ LIBRARY_DEFAULTS = PrepConfig(min_tokens=5)
 # drop reasons in waterfall order (fixed values: the reference's reason names)
 DROP_REASONS = ("empty", "non_english", "duplicate", "tokenization_error", "length_filtered")
 PII_REPLACED = "pii_replaced"
+# every fate of a record; None is kept
+FATES = (None, "malformed", "light_empty", *DROP_REASONS)

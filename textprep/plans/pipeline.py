@@ -21,10 +21,10 @@ Physical shape (what crosses a shuffle):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..config import DROP_REASONS, LIBRARY_DEFAULTS, PII_REPLACED, PrepConfig
+from ..config import DROP_REASONS, FATES, LIBRARY_DEFAULTS, PII_REPLACED, PrepConfig
 from ..functions import text as T
 from ..operators import dedup, lang, rank, tokens
 from ..operators.key_index import KeyIndex
@@ -176,10 +176,9 @@ def accounting(fate: DataFrame) -> DataFrame:
 
 
 def accounting_from_counts(per_reason: list[tuple[str | None, int, int]]) -> tuple[dict, dict]:
-    """(accounting, drop reasons) from collected (reason, rows, pii rows) triples.
+    """(accounting, drop reasons) from (reason, rows, pii rows) triples.
 
-    The grouped table has at most one row per fate (eight), so it is read on
-    the driver; reasons follow ``drop_reasons``, accounting ``accounting``.
+    At most one triple per fate (eight), so they fit the driver; reasons follow ``drop_reasons``, accounting ``accounting``.
     """
     n = {r: c for r, c, _ in per_reason}
     pii = sum(p for _, _, p in per_reason)
@@ -194,6 +193,23 @@ def accounting_from_counts(per_reason: list[tuple[str | None, int, int]]) -> tup
     return acc, reasons
 
 
+def observe_fates(fate: DataFrame) -> tuple[DataFrame, Observation]:
+    """``fate`` with its counts observed by the action that writes it (A1, A2): no job of their own.
+
+    The metrics sit on top of the plan, in the tasks that write, whose results Spark
+    counts once however often a task is tried or a stage before it is run again.
+    """
+    seen = Observation()
+    by_reason = [F.count_if(F.col("reason").eqNullSafe(F.lit(r))).alias(r or "kept") for r in FATES]
+    return fate.observe(seen, *by_reason, F.count_if("pii_found").alias(PII_REPLACED)), seen
+
+
+def observed_accounting(seen: Observation) -> tuple[dict, dict]:
+    """(accounting, drop reasons) of ``observe_fates``, after the action."""
+    m = seen.get
+    return accounting_from_counts([(r, m[r or "kept"], 0 if r else m[PII_REPLACED]) for r in FATES])
+
+
 def prepare(df: DataFrame, profile: lang.LangProfile, cfg: PrepConfig = LIBRARY_DEFAULTS,
             output: str = "dual", vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Batch -> kept records + drop reasons (C1 tokens, C3 text, C4 dual).

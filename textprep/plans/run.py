@@ -30,12 +30,16 @@ def run_pipeline(spark: SparkSession, records: DataFrame, out_dir: str, profile:
     * ``vocab/``     (token_id, piece, freq) parquet
     * ``drop_reasons.json``, ``pipeline_summary.json`` (S10, S11)
 
+    Reasons, accounting and totals are observed by the jobs that write (A1, A2, A19).
+
     ``index``, ``delivery``: drop copies of earlier deliveries' texts (``pipeline.fates``).
 
     Returns the summary.
     """
     t0 = time.time()
-    fate = materialize(PL.fates(records, profile, cfg, index, delivery))
+    fate, seen = PL.observe_fates(PL.fates(records, profile, cfg, index, delivery))
+    fate = materialize(fate)
+    acc, reasons = PL.observed_accounting(seen)
     kept = materialize(PL.kept_texts(records, fate, cfg))
     jsonl.write_text_jsonl(kept, os.path.join(out_dir, "text"))
     v = vocab if vocab is not None else tokens.build_vocab(kept)
@@ -43,15 +47,13 @@ def run_pipeline(spark: SparkSession, records: DataFrame, out_dir: str, profile:
     enc = tokens.encode(kept, v, "text", "ord")
     sharded = PL.shuffle_and_shard(enc, cfg)  # positions come from a checkpointed sort
     shards_dir = os.path.join(out_dir, "shards")
-    jsonl.write_shards(sharded, shards_dir)
+    written = jsonl.write_shards(sharded, shards_dir)
     jsonl.combine_shards(spark, shards_dir, os.path.join(out_dir, "combined"))
-    per = fate.groupBy("reason").agg(F.count(F.lit(1)).alias("n"),
-                                     F.count_if("pii_found").alias("pii")).collect()
-    acc, reasons = PL.accounting_from_counts([(r["reason"], r["n"], r["pii"]) for r in per])
     n_shards = -(-acc["kept"] // cfg.shard_size)  # consecutive shards of shard_size
     runtime = time.time() - t0
     summary = {
         "records_after_cleaning": acc["kept"],
+        "tokens_written": written["tokens"],
         "shards": n_shards,
         "shard_size": cfg.shard_size,
         "drop_reasons": reasons,

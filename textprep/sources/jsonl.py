@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -159,21 +159,25 @@ def write_text_jsonl(df: DataFrame, path: str, order_col: str = "ord") -> None:
         _ordered_parts(df, [order_col]).select("text").write.json(raw)
 
 
-def write_shards(df: DataFrame, path: str) -> None:
+def write_shards(df: DataFrame, path: str) -> dict:
     """``{"tokens": [...]}`` lines, one file ``shard_NNNN.jsonl`` per ``shard_id``, in position order.
 
     Each shard (at most ``shard_size`` rows) is written by one task; ``path`` is
-    replaced when all is written.
+    replaced when all is written.  Returns the ``records`` and ``tokens`` written,
+    observed by the writing tasks (a null list counts as no tokens).
     """
     def name(_k: int, _n: int, file: str) -> str:
         return f"shard_{int(re.search(r'shard_id=([0-9]+)/', file)[1]):04d}.jsonl"
 
+    seen = Observation()
     with committed(df.sparkSession, path, name, manifest.write) as raw:
         (
             df.repartition("shard_id").sortWithinPartitions("shard_id", "pos")
             .select("shard_id", "tokens")
+            .observe(seen, F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(F.greatest(F.size("tokens"), F.lit(0))), F.lit(0)).alias("tokens"))
             .write.option("maxRecordsPerFile", 0).partitionBy("shard_id").json(raw)
         )
+    return seen.get
 
 
 def shard_lines(spark: SparkSession, path: str) -> DataFrame:
