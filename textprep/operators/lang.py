@@ -158,13 +158,12 @@ def profile_from_counts(counts: DataFrame, docs: DataFrame, gram_size: int = 3,
     doc_n = {r["lang"]: r["d"] for r in docs.limit(MAX_LANGUAGES + 1).collect()}  # labels: a small set
     if len(doc_n) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels")
-    # one job: per-language totals and entries, and (grand-total row) distinct grams
-    rows = counts.rollup("lang").agg(F.sum("n").alias("N"), F.count_distinct("gram").alias("g")).collect()
-    per_lang = [r for r in rows if r["lang"] is not None]
+    # (lang, gram) pairs are unique, so entries are plain counts; distinct grams are one narrow aggregate
+    per_lang = counts.groupBy("lang").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("g")).collect()
     big_n = {r["lang"]: r["N"] for r in per_lang}
-    nnz = sum(r["g"] for r in per_lang)  # (lang, gram) pairs are unique
+    nnz = sum(r["g"] for r in per_lang)
     langs = sorted(big_n)
-    v = next((r["g"] for r in rows if r["lang"] is None), 0)
+    v = counts.select("gram").distinct().count()
     total_docs = sum(doc_n[lang] for lang in langs)
     log_prior = [math.log(doc_n[lang] / total_docs) for lang in langs]
     log_unseen = [math.log(alpha / (big_n[lang] + alpha * v)) for lang in langs]
