@@ -60,6 +60,22 @@ def test_exact_dedup_replaces_clashing_columns_and_takes_empty(spark):
     assert exact_dedup.mark(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_exact_dedup_spreads_copies_without_an_identifier_of_their_own(spark, keep):
+    rows = [(None, "null ids", i) for i in range(4_000)] + [(7, "one id", i) for i in range(4_000)] + [(8, "one id", -1), (6, "one id", -2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other int").repartition(5)
+    placed, names = exact_dedup._sorted(df, "doc_id", "text", keep, None)
+    assert max(r["count"] for r in placed.groupBy(names[0], names[1]).count().collect()) < 400
+    got = [r.asDict() for r in exact_dedup.mark(df, keep=keep).collect()]
+    best = {"smallest": 6, "largest": 8}[keep]
+    assert len(got) == len(rows)
+    assert {(r["text"], r["keep_id"], r["group_size"]) for r in got} == {("null ids", None, 4_000), ("one id", best, 4_002)}
+    assert sorted((r["text"], r["doc_id"]) for r in got if r["kept"]) == [("null ids", None), ("one id", best)]
+    # ties of the best identifier over several runs: one row stays
+    tied = exact_dedup.dedup(df.where("doc_id is null or doc_id = 7"), keep=keep).collect()
+    assert sorted((r.text, r.doc_id) for r in tied) == [("null ids", None), ("one id", 7)]
+
+
 def test_exact_dedup_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     out = queries.op1_exact_dedup(spark, SF).collect()
@@ -121,6 +137,10 @@ def test_mix_edges(spark):
     check_mix(got, {i: t for i, t, _ in rows})
     assert mixing.training_order(out).count() == sum(r["copies"] for r in got)
     assert mixing.assign(df.limit(0)).count() == 0
+    nulls = spark.createDataFrame([(None, f"word {i}", "s") for i in range(5_000)], "doc_id long, text string, source string")
+    key = mixing.stream_key(42, "doc_id", "text", "source")
+    assert nulls.select(key.alias("key")).distinct().count() > 4_900  # no bucket holds all rows without an identifier
+    assert sum(r.taken for r in mixing.assign(nulls).collect()) == 10_000
     twice = spark.createDataFrame([(1, "a b", "s"), (1, "a b", "s"), (None, "a b", "s")], "doc_id long, text string, source string")
     assert sum(r.taken for r in mixing.assign(twice).collect()) == 6
 
