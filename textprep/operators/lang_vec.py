@@ -24,8 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 
-CHUNK_CODEPOINTS = 1 << 22
-EXPAND_MAX = 1 << 24
+CHUNK_CODEPOINTS = 1 << 19
+EXPAND_MAX = 1 << 21
 MASK21 = (1 << 21) - 1
 
 
