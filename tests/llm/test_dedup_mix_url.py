@@ -145,6 +145,58 @@ def test_mix_edges(spark):
     assert sum(r.taken for r in mixing.assign(twice).collect()) == 6
 
 
+def test_mix_query_counts_the_written_mix(spark, monkeypatch):
+    """The query writes the mix in training order, and takes what that holds, not what the targets say."""
+    mixes, order = [], mixing.training_order
+    written = mixing.shared.written
+    monkeypatch.setattr(mixing.shared, "written", lambda df, name: mixes.append(written(df, name)) or mixes[-1])
+    rows = queries.op4_mixing(spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count() and len(mixes) == 1
+    copies, words = {}, {}
+    for r in mixes[0].collect():
+        copies[r.doc_id] = copies.get(r.doc_id, 0) + 1
+        words[r.doc_id] = words.get(r.doc_id, 0) + r["size"]
+    assert sum(copies.values()) > len(rows)
+    assert all((r.copies, r.taken) == (copies.get(r.doc_id, 0), words.get(r.doc_id, 0)) for r in rows)
+    by_part = {}
+    for r in mixes[0].select("position", mixing.F.input_file_name().alias("f")).collect():
+        by_part.setdefault(r.f, []).append(r.position)
+    at = [p for f in sorted(by_part) for p in by_part[f]]
+    assert at == sorted(at)
+    # a mix of the first half of the training time takes less of every source
+    half = lambda d, i="doc_id": order(d, i).where("position < 0.5")
+    monkeypatch.setattr(mixing, "training_order", half)
+    less = {r.doc_id: r.taken for r in queries.op4_mixing(spark, SF).collect()}
+    assert all(less[r.doc_id] == len([p for p in r.positions if p < 0.5]) * r["size"] for r in rows)
+
+
+def test_draw_takes_repeated_and_null_identifiers(spark):
+    data = [(1, "a b", "s"), (1, "a b", "s"), (1, "c", "s"), (None, "a b", "s"), (None, None, "s"), (2, "", None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    assigned = mixing.assign(df)
+    rows, mix = mixing.draw(assigned)
+    assert rows.columns == assigned.columns
+    plain = lambda d: sorted((tuple(r) for r in d.drop("positions").collect()), key=repr)
+    assert plain(rows) == plain(assigned)
+    assert mix.count() == 4 and sum(r["size"] for r in mix.collect()) == 7
+    assert [d.count() for d in mixing.draw(mixing.assign(df.limit(0)))] == [0, 0]
+
+
+def test_mix_spreads_rows_of_one_identifier(spark, monkeypatch):
+    """Rows of one identifier are placed by their texts when they are many, and the mix stays whole."""
+    monkeypatch.setattr(mixing, "CELL_ROWS", 40)
+    data = [(7, " ".join(["w"] * (i % 9)) + f" {i}", "s") for i in range(3_000)] + [(i, "a b", "tu"[i % 2]) for i in range(100, 300)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(4)
+    out = mixing.assign(df)
+    rows = [r.asDict() for r in out.collect()]
+    assert sorted((r["doc_id"], r["text"], r["source"]) for r in rows) == sorted(data)
+    for s in "stu":
+        of = [r for r in rows if r["source"] == s]
+        assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= 10
+        first = sorted((r["positions"][0], r["size"]) for r in of if r["copies"])
+        assert len({p for p, _ in first}) == len(first)
+
+
 def test_positions_follow_the_schedules(spark):
     """A heavy source's documents lead, a light one's come late; the order is the range sort of positions."""
     df = spark.createDataFrame([(i, "a b c", "xyz"[i % 3]) for i in range(900)], "doc_id long, text string, source string")

@@ -10,6 +10,9 @@ Targets: the sources share ``budget`` times all words by weight; none takes
 more than ``max_epochs`` times its own size, and what exceeds that is shared
 among the others by weight until none is above (solved in closed form).
 
+``assign`` gives every document its places; ``draw`` writes the mix itself, one
+row per copy in training order, and counts from it what each document gave.
+
 A source's stream is its documents in a seeded hash order, epoch after epoch.
 The running word count of that order comes from two levels: buckets of the
 hash, about ``BUCKET_ROWS`` rows each, whose totals are summed in order, and a
@@ -30,6 +33,7 @@ from . import shared
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 BUCKET_ROWS = 500
+CELL_ROWS = 8 * BUCKET_ROWS  # of one identifier, about: more are placed by their texts too
 MAX_BROADCAST_SOURCES = 100_000  # counted; more sources are joined by shuffle
 WEIGHTS = (5.0, 2.0, 1.0)
 # (time, multiplier) knots by position in the weight cycle: heavy sources lead,
@@ -95,13 +99,14 @@ def position(share: Column, weight_no: Column, schedules: Sequence[Sequence[tupl
     return F.least(F.lit(1.0), seg["t0"] + F.when(rest > 0, 2 * rest / (seg["m0"] + root)).otherwise(0.0))
 
 
-def stream_key(seed: int, id_col: str, text_col: str, source_col: str) -> Column:
+def stream_key(seed: int, id_col: str, text_col: str, source_col: str, spread: bool = False) -> Column:
     """A row's place in its source's stream, 0 <= key < 2^31.
 
     Ties go by identifier and size, then rows are equal for the mix.  The text
-    spreads rows that share an identifier, or have none.
+    spreads rows that have no identifier, and with ``spread`` those that share one.
     """
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_col, source_col, text_col), 33)
+    text = F.col(text_col) if spread else F.when(F.col(id_col).isNull(), F.col(text_col))
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_col, source_col, text), 33)
 
 
 def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -117,8 +122,10 @@ def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     a source ends within half a document of its target.  Null texts have size
     0; rows of size 0 take no words and get no copy.  Null sources form one
     source, sorted last.  Null identifiers and repeated rows are rows like any
-    other; rows with the same identifier and text are interchangeable.  An
-    empty table gives an empty result.
+    other; rows with the same identifier and text are interchangeable.  Where more
+    than ``CELL_ROWS`` rows fall on one 2^20th of the keys, as those of one
+    identifier do, these rows are placed by their texts too.  An empty table gives
+    an empty result.
     """
     shared.require(df, id_col, text_col, source_col)
     out = ["size", "source_size", "target", "copies", "taken", "positions"]
@@ -126,11 +133,20 @@ def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     sized = df.withColumn("size", words(F.col(text_col)))
     names = [*df.columns, *out]
     key, bucket, begin, no, src, n = (shared.fresh(x, names) for x in ("key", "bucket", "begin", "no", "src", "n"))
-    h = stream_key(seed, id_col, text_col, source_col)
-
-    small = materialize(sized.select(F.col(source_col).alias("source"), "size", h.alias("key"))
-                        .groupBy("source", F.shiftright("key", 11).alias("fine"))
-                        .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")))
+    sized = sized.withColumn(key, stream_key(seed, id_col, text_col, source_col))
+
+    def cells() -> DataFrame:
+        return materialize(sized.groupBy(F.col(source_col).alias("source"), F.shiftright(key, 11).alias("fine"))
+                           .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")))
+
+    small = cells()
+    full = small.where(F.col("rows") > CELL_ROWS).select(F.col("source").alias(src), F.col("fine").alias(n))
+    if not full.isEmpty():
+        full, _ = broadcast_if_small(full.withColumn(bucket, F.lit(True)))
+        spread = F.when(F.col(bucket), stream_key(seed, id_col, text_col, source_col, spread=True)).otherwise(F.col(key))
+        at = F.col(source_col).eqNullSafe(F.col(src)) & (F.shiftright(key, 11) == F.col(n))
+        sized = sized.join(full, at, "left").withColumn(key, spread).drop(src, n, bucket)
+        small = cells()
     sources = materialize(targets(
         small.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("rows").alias("rows")),
         weights, max_epochs, budget))
@@ -150,7 +166,7 @@ def assign(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         .select(no, bucket, F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias(begin))
         .join(sources.select(F.col("source_no").alias(no), "source_size", "target", "weight_no"), no)
     )
-    rows = numbered(sized.withColumn(key, h), source_col, F.shiftright(key, 11)).join(plan, [no, bucket])
+    rows = numbered(sized, source_col, F.shiftright(key, 11)).join(plan, [no, bucket])
     inside = (Window.partitionBy(no, bucket).orderBy(key, F.col(id_col).asc_nulls_first(), "size")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     start = F.col(begin) + F.sum("size").over(inside) - F.col("size")
@@ -174,3 +190,21 @@ def training_order(assigned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     rows = assigned.withColumn("position", F.explode("positions")).drop("positions")
     return (rows.repartitionByRange(shared.partitions(assigned.sparkSession), "position", id_col)
             .sortWithinPartitions("position", id_col))
+
+
+def draw(assigned: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(rows, mix) of assigned rows: the mix as written, and the rows with what it takes of them.
+
+    The mix has the rows' columns and ``position``, one row per copy, in files that follow
+    each other in training order.  ``copies`` and ``taken`` of a row are counted in the
+    written mix.  Rows are followed by a number of their own, so identifiers may repeat or be null.
+    """
+    row, copies, taken = (shared.fresh(x, [*assigned.columns, "position"]) for x in ("row", "copies", "taken"))
+    placed = materialize(assigned.withColumn(row, F.monotonically_increasing_id()))
+    order = training_order(placed.drop("copies", "taken"), id_col)
+    mix = shared.written(order, "mix")
+    counted = mix.groupBy(row).agg(F.count(F.lit(1)).alias(copies), F.sum("size").alias(taken))
+    none = F.lit(0).cast("long")
+    given = placed.join(counted, row, "left").withColumns(
+        {"copies": F.coalesce(copies, none), "taken": F.coalesce(taken, none)})
+    return given.select(*assigned.columns), mix.drop(row)

@@ -43,7 +43,9 @@ def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").select("doc_id", "text", "source")
-    return mixing.assign(d).select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
+    assigned = mixing.assign(d).drop("text")
+    rows, _ = mixing.draw(assigned)
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
 
 
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
