@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from textprep.operators import lang_vec
@@ -74,3 +75,24 @@ def test_chunks_windows_and_slices_agree(monkeypatch):
 def test_code_round_trip():
     for g in ["abc", " é ", "\U0001F600\U0001F600x", "\x00\x01\x02"]:
         assert lang_vec.code_gram(lang_vec.gram_code(g)) == g
+
+
+def test_arrow_batches_are_cut_by_bytes_and_agree(monkeypatch):
+    """A batch of any size is worked on in slices of bounded text; kept columns pass through, nulls included."""
+    texts = _texts(n=60) + ["x" * 5_000]
+    payload = _payload(texts[:20])
+    lang, prob = _score(texts, payload)
+    monkeypatch.setattr(lang_vec, "SLICE_BYTES", 700)
+    ids = [None if i % 7 == 0 else i for i in range(len(texts))]
+    batch = pa.RecordBatch.from_pydict({"ord": ids, "lang": ["x", None] * 30 + ["y"], "u": texts})
+    seen, scored = [], lang_vec._scored
+    monkeypatch.setattr(lang_vec, "_scored", lambda t, p: seen.append(t) or scored(t, p))
+    out = pa.Table.from_batches(lang_vec.score_arrow(iter([batch]), _Bc(payload), ["ord"]))
+    assert out.column("ord").to_pylist() == ids and out.schema.names == ["ord", "lang", "prob"]
+    assert out.column("lang").to_pylist() == lang and out.column("prob").to_pylist() == pytest.approx(prob)
+    assert len(seen) > 5 and all(len(t) == 1 or sum(len(x.encode()) for x in t) <= 700 for t in seen)
+    c = {"x": collections.Counter(), "y": collections.Counter()}
+    for b in lang_vec.count_arrow(iter([batch])):
+        for name, code, n in zip(*(b.column(k).to_pylist() for k in ("lang", "code", "n"))):
+            c[name][code] += n
+    assert c == {"x": _brute(texts[:60:2]), "y": _brute(texts[60:])}
