@@ -87,12 +87,13 @@ def parse_records(lines: DataFrame) -> DataFrame:
 def read_records(spark: SparkSession, path: str, glob: str = GLOB) -> DataFrame:
     """Tolerant record scan: (ord, text, blank, malformed).
 
-    Few large files (fewer splits than cores) are spread by ``ord`` once the
-    line order is fixed, so the text work is not done by a handful of tasks.
+    Few large files (splits for less than half the cores) are spread by ``ord`` once
+    the line order is fixed, so the text work is not done by a handful of tasks.  With
+    more, to deal out and write all lines again would cost more than it saves.
     """
     from .tables import spread
 
-    return parse_records(spread(read_lines(spark, path, glob), "ord"))
+    return parse_records(spread(read_lines(spark, path, glob), "ord", spark.sparkContext.defaultParallelism // 2))
 
 
 def line_counters(records: DataFrame, limit: int | None = None) -> DataFrame:
