@@ -72,10 +72,33 @@ def mean_cosine(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens")
     )
 
 
+def row_vectors(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens") -> DataFrame:
+    """(id, token, w) with |w_id| = 1, as ``unit_vectors`` of ``token_bag``, for ids that each have one row:
+    made in the row, so nothing is shuffled.
+
+    In the sorted tokens a token's count is the distance to where the next one begins.
+    """
+    t = df.select(F.col(id_col).alias("id"), F.sort_array(F.filter(tokens_col, lambda x: x.isNotNull())).alias("t"))
+    t = t.where(F.size("t") > 0)
+    starts = F.filter(F.sequence(F.lit(1), F.size("t")),
+                      lambda i: (i == 1) | (F.get("t", i - 1) != F.get("t", F.greatest(i - 2, F.lit(0)))))
+    t = t.withColumn("at", starts)
+    counts = F.transform("at", lambda i, k: F.coalesce(F.get("at", k + 1), F.size("t") + 1) - i)
+    t = t.withColumn("n", counts)
+    squares = F.aggregate("n", F.lit(0).cast("long"), lambda a, n: a + n.cast("long") * n)
+    t = t.withColumn("norm", F.sqrt(squares.cast("double")))
+    entries = F.inline(F.transform("at", lambda i, k: F.struct(
+        F.get("t", i - 1).alias("token"), (F.get("n", k) / F.col("norm")).alias("w"))))
+    return t.select("id", entries)
+
+
 def centroid_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens") -> DataFrame:
-    """(id, cosine): every sequence's cosine to the centroid of the unit vectors; 0 without tokens."""
+    """(id, cosine): every sequence's cosine to the centroid of the unit vectors; 0 without tokens.
+
+    ``id_col``: each id has one row.  ``df`` is read three times: pass a checkpoint.
+    """
     ids = df.select(F.col(id_col).alias("id"))
-    u = materialize(unit_vectors(token_bag(df, id_col, tokens_col)))
+    u = row_vectors(df, id_col, tokens_col)
     centroid = materialize(u.groupBy("token").agg(F.sum("w").alias("s"), F.count(F.lit(1)).alias("k")))
     length = centroid.agg(F.sqrt(F.sum(F.col("s") * F.col("s")))).first()[0] or 1.0
     hot = F.broadcast(centroid.orderBy(F.col("k").desc(), "token").limit(HOT_TOKENS).select("token", "s"))
