@@ -228,3 +228,102 @@ def test_centroid_cosines_of_all_sequences(spark, monkeypatch):
     assert [r["n"] for r in bins] == np.histogram(want.round(12), 50)[0].tolist()
     empty = reports.similarity_distribution(df.limit(0))
     assert empty[0].first()["count"] == 0 and empty[1].count() == 0
+
+
+# ------------------------------------------------------------ what crosses a shuffle
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def _sequences(spark, n=120):
+    import random
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([1, 2, 3, 7, 2_000_000_000, None]) for _ in range(rng.randrange(0, 30))]) for i in range(n)]
+    return spark.createDataFrame([*rows, (n, None), (n + 1, [])], "pos long, tokens array<int>").repartition(3)
+
+
+def test_row_vectors_equal_unit_vectors_without_a_shuffle(spark):
+    from textprep.operators import similarity
+    df = _sequences(spark).localCheckpoint()
+    got = similarity.row_vectors(df)
+    want = {(r.id, r.token): r.w for r in similarity.unit_vectors(similarity.token_bag(df)).collect()}
+    assert len(want) > 300 and {(r.id, r.token): r.w for r in got.collect()} == want
+    assert _exchanges(got) == 0
+
+
+def test_centroid_cosines_take_repeated_and_null_ids(spark):
+    """Rows of one id are one sequence; a null id has cosine 0."""
+    import collections
+    import math
+    from textprep.operators import similarity
+    df = _sequences(spark, 40)
+    data = [(r.pos, r.tokens) for r in df.collect()]
+    for extra in ([], [(3, [1, 1, 9]), (None, [1, 2])]):
+        rows = data + extra
+        bags = collections.defaultdict(collections.Counter)
+        for i, t in rows:
+            if i is not None:
+                bags[i].update(x for x in t or [] if x is not None)
+        unit = {i: {t: n / math.sqrt(sum(c * c for c in b.values())) for t, n in b.items()} for i, b in bags.items()}
+        total = collections.Counter()
+        for u in unit.values():
+            for t, w in u.items():
+                total[t] += w
+        length = math.sqrt(sum(x * x for x in total.values()))
+        want = sorted((repr(i), round(sum(w * total[t] for t, w in unit.get(i, {}).items()) / length, 9)) for i, _ in rows)
+        got = similarity.centroid_cosines(spark.createDataFrame(rows, "pos long, tokens array<int>")).collect()
+        assert sorted((repr(r.id), round(r.cosine, 9)) for r in got) == want
+
+
+def test_encode_deals_texts_out_once_and_keeps_the_order(spark, monkeypatch):
+    """With the vocabulary broadcast the texts cross one shuffle and their pieces none; cold pieces give the same ids."""
+    from textprep.operators import tokens
+    rows = [(i, " ".join(f"w{(i * k) % 37} x{k}" for k in range(300))) for i in range(20)] + [(90, ""), (None, "a b"), (None, "b a"), (91, None)]
+    df = spark.createDataFrame(rows, "ord long, text string").repartition(3)
+    vocab = tokens.build_vocab(df).localCheckpoint()
+    got = tokens.encode(df, vocab)
+    assert _exchanges(got) == 1
+    plain = lambda d: sorted((repr(r.ord), r.tokens) for r in d.collect())
+    cold = tokens.encode(df, vocab, broadcast_max_rows=3)
+    assert plain(got) == plain(cold)
+    back = {r.ord: r.text for r in tokens.decode(cold, vocab, broadcast_max_rows=3).collect()}
+    assert {i: t for i, t in back.items() if i is not None} == {i: t or "" for i, t in rows if i is not None}
+    monkeypatch.setattr(tokens, "TASK_PIECES", 100)
+    many = tokens.encode(df, vocab)
+    found = sum(r.freq for r in vocab.collect())
+    assert f", {-(-found // 100)})" in many._jdf.queryExecution().executedPlan().toString() or found <= 100
+    assert plain(many) == plain(got)
+
+
+def test_lines_are_dealt_out_again_only_where_splits_are_few(spark, tmp_path, monkeypatch):
+    from textprep import session
+    from textprep.sources import jsonl, tables
+    df = spark.range(0, 1000, 1, 4)
+    assert tables.spread(df, "id", 4) is df and tables.spread(df, "id", 5).count() == 1000
+    made, dealt = session.materialize, []
+    monkeypatch.setattr(session, "materialize", lambda d: dealt.append(1) or made(d))
+    half = spark.sparkContext.defaultParallelism // 2
+    lines = spark.range(0, 4_000 * half, 1, half).selectExpr("concat('{\"text\": \"', sha2(cast(id as string), 512), '\"}') as value")
+    lines.write.text(str(tmp_path / "l"), compression="gzip")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")  # a split a file
+    try:
+        recs = jsonl.read_records(spark, str(tmp_path / "l"), "part-*")
+        assert recs.count() == 4_000 * half and not dealt
+        assert [r.ord for r in recs.orderBy("ord").limit(3).collect()] == [0, 1, 2]
+        jsonl.read_records(spark, str(tmp_path / "l"), "part-00000*")
+        assert dealt or half < 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_derived_lines_are_compressed(spark):
+    import glob
+    import __spark_entry__ as entry
+    path = entry._derived_jsonl(spark, "/root/testdata/sf0.001")
+    files = glob.glob(f"{path}/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
+    r = entry.q_light_filter_counts(spark, "/root/testdata/sf0.001").first()
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    assert r.lines == 2 * d + spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").count()

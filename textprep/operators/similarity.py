@@ -79,7 +79,7 @@ def row_vectors(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens")
     In the sorted tokens a token's count is the distance to where the next one begins.
     """
     t = df.select(F.col(id_col).alias("id"), F.sort_array(F.filter(tokens_col, lambda x: x.isNotNull())).alias("t"))
-    t = t.where(F.size("t") > 0)
+    t = t.where((F.size("t") > 0) & F.col("id").isNotNull())
     starts = F.filter(F.sequence(F.lit(1), F.size("t")),
                       lambda i: (i == 1) | (F.get("t", i - 1) != F.get("t", F.greatest(i - 2, F.lit(0)))))
     t = t.withColumn("at", starts)
@@ -95,10 +95,13 @@ def row_vectors(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens")
 def centroid_cosines(df: DataFrame, id_col: str = "pos", tokens_col: str = "tokens") -> DataFrame:
     """(id, cosine): every sequence's cosine to the centroid of the unit vectors; 0 without tokens.
 
-    ``id_col``: each id has one row.  ``df`` is read three times: pass a checkpoint.
+    Rows of one id are one sequence.  ``df`` is read several times: pass a checkpoint.
     """
     ids = df.select(F.col(id_col).alias("id"))
-    u = row_vectors(df, id_col, tokens_col)
+    if ids.groupBy("id").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).isEmpty():
+        u = row_vectors(df, id_col, tokens_col)
+    else:
+        u = materialize(unit_vectors(token_bag(df, id_col, tokens_col)))
     centroid = materialize(u.groupBy("token").agg(F.sum("w").alias("s"), F.count(F.lit(1)).alias("k")))
     length = centroid.agg(F.sqrt(F.sum(F.col("s") * F.col("s")))).first()[0] or 1.0
     hot = F.broadcast(centroid.orderBy(F.col("k").desc(), "token").limit(HOT_TOKENS).select("token", "s"))
