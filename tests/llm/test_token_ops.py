@@ -252,6 +252,48 @@ def test_align_in_parts_gives_the_same_ids(monkeypatch):
         assert y.tolist() == pair.b.encode(t), t
 
 
+def align_pair():
+    with open(tokenizer_path(BYTES), "rb") as f, open(tokenizer_path(PIECES), "rb") as g:
+        return align.Pair(f.read(), g.read())
+
+
+@pytest.mark.parametrize("together, block, remembered", [(1 << 16, 1 << 16, 128 << 20), (200, 3, 20_000)])
+def test_align_linked_equals_all_pairs(monkeypatch, together, block, remembered):
+    for name, value in (("TOGETHER", together), ("BLOCK", block), ("REMEMBERED", remembered)):
+        monkeypatch.setattr(align, name, value)
+    pair, texts = align_pair(), [(t or "")[:400] for t in ODD] + random_texts(300, 16)
+    texts += ["it's we've l'été don't 'tis they'LL 's 'd x'll", "a <|endoftext|> b<s> 12½ ²3 4,5-6", "größe ſo œuvre, “q” …", "q" * 70 + " r"] * 3
+    for got, want in zip(pair.linked(texts) + pair.linked(texts[::-1])[::-1], align_by_hand(texts + texts)):
+        assert (got[0], got[1], got[3], len(got[4]) // 8, got[2]) == (*want[:4], want[6])
+    if remembered < 1 << 20:
+        assert len(pair.windows.now) + len(pair.windows.older) < 200
+
+
+def test_align_plain_windows_have_the_library_ids():
+    pair, rng = align_pair(), random.Random(17)
+    assert pair.model is not None
+    letters = [c for c in map(chr, range(33, 0x180)) if align.PLAIN.match(c)]
+    assert all(c.isalpha() for c in letters if c > "~") and all(chr(c) in letters for c in range(33, 127))
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(3_000)]
+    words += ["".join(rng.choices("'strevmldSTa1.", k=rng.randint(1, 7))) for _ in range(3_000)]
+    for at in range(0, len(words), 50):
+        text = " ".join(words[at: at + 50])
+        assert pair.plain(text) == pair.whole(text), text
+
+
+def test_align_works_on_a_new_window_once(monkeypatch):
+    """New windows of a lookup are aligned together, by one merge of both tokenizers' ends and no other
+    pass; plain ones do not go through the library's pre-tokenizer; known ones cost a lookup."""
+    pair, merges, merged = align_pair(), [], align.merged
+    monkeypatch.setattr(align, "merged", lambda x, y: merges.append(len(x)) or merged(x, y))
+    texts = [" ".join(f"word{i}x{k}, ein" for k in range(20)) for i in range(50)]
+    first = pair.linked(texts)
+    assert len(merges) == 1
+    pair.whole = None
+    assert pair.linked(texts) == first and len(merges) == 1
+    assert pair.linked([t.replace("x", "y") for t in texts]) and len(merges) == 2
+
+
 def test_align_empty_table(spark):
     linked = align.link(frame(spark, ["x"]).limit(0), tokenizer_path(BYTES), tokenizer_path(PIECES))
     assert align.counted(linked).count() == 0

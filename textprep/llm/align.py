@@ -1,12 +1,10 @@
 """Alignment of two tokenizers' tokens over the same texts, and corpus-wide counts of linked ids.
 
 Tokenizer A is a byte-level BPE file (tokenizers library), B a SentencePiece
-model; both see a space and the text.  After full tokenisation the byte offsets
-where space-marked tokens of both begin are intersected: these are shared ends
-of both token sequences, and they cut a document into windows of a few ids.  A
-window's alignment depends on its ids alone, so it is remembered by the pair of
-id tuples in a bounded table.  What stands between two lone spaces has ids and windows
-that do not depend on its neighbours, so its windows' alignments are remembered by its text.
+model; both see a space and the text.  What stands between two lone spaces, a
+window, has ids and links that do not depend on its neighbours, so its
+alignment is remembered by its text in a bounded table.  New windows are
+tokenised and aligned together, a block at a time.
 
 Linking (``link``) needs no shuffle.  Counting (``counted``) sums the id pairs
 of all documents, a pair of a batch at a time.  The most frequent pairs, a fixed
@@ -16,10 +14,10 @@ rarer pairs are shuffled to their counts, so no pair holds more than a sliver.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,25 +29,29 @@ from ..session import ship_package
 from . import shared
 
 SHIFT = 32               # an id pair is A's id << SHIFT | B's id
-REMEMBERED = 64 << 20    # bytes of windows, and of chunks between gaps, remembered, twice
-PIECE = 1 << 20          # characters of a text tokenised at once
+REMEMBERED = 128 << 20   # bytes of windows remembered, twice
+PIECE = 1 << 20          # characters of a text looked up at once
 TOGETHER = 1 << 16       # characters of short texts looked up at once
-BLOCK = 1 << 16          # windows looked up at once
+BLOCK = 1 << 16          # windows tokenised and aligned at once
 HOT = 1 << 18            # pairs whose counts are broadcast (a few MB)
 #: a lone space between a word's end and a letter, digit or ASCII mark: no token of either tokenizer goes across
 GAP = re.compile(r" (?<=[^\s▁] )(?=[^\W_]|[!-~])")
 #: what may stand between two gaps
 INNER = re.compile(r"(?=[^\W_]|[!-~])[^▁]*(?<=\S)\Z")
+#: short windows of ASCII marks, digits and Latin letters, which `BYTE_LEVEL` splits as any version of Unicode does
+LETTER = "A-Za-zÀ-ÖØ-öø-ſ"
+PLAIN = re.compile(f"[!-~{LETTER}]{{1,64}}\\Z")
+BYTE_LEVEL = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[0-9]+| ?[^ 0-9{LETTER}]+")
 
 
 class Met:
     """Values made before, by key; when full the table becomes the older half, and the half before is forgotten.
 
-    ``make`` takes a list of keys; an entry is taken to have ``each`` bytes and 8 times its key's ``length``.  Only the keys of one call come on top of the bound.
+    ``make`` takes a list of keys; an entry is taken to have ``each`` bytes and 8 times its key's length.  Only the keys of one call come on top of the bound.
     """
 
-    def __init__(self, make: Callable, each: int, length: Callable = len):
-        self.make, self.each, self.length, self.bytes, self.now, self.older = make, each, length, 0, {}, {}
+    def __init__(self, make: Callable, each: int):
+        self.make, self.each, self.bytes, self.now, self.older = make, each, 0, {}, {}
 
     def values(self, keys: list) -> list:
         """The value of every key."""
@@ -57,21 +59,25 @@ class Met:
             self.older, self.now, self.bytes = self.now, {}, 0
         now, older = self.now, self.older
         got = list(map(now.get, keys))
-        missing = {k for k, v in zip(keys, got) if v is None}
-        if missing:
+        holes = [i for i, v in enumerate(got) if v is None]
+        if holes:
+            missing = {keys[i] for i in holes}
             new = [k for k in missing if k not in older]
             if len(new) < len(missing):
                 now.update((k, older[k]) for k in missing if k in older)
             if new:
                 now.update(zip(new, self.make(new)))
-            self.bytes += self.each * len(missing) + 8 * sum(map(self.length, missing))
-            got = list(map(now.__getitem__, keys))
+            self.bytes += self.each * len(missing) + 8 * sum(map(len, missing))
+            for i in holes:
+                got[i] = now[keys[i]]
         return got
 
 
 class Pair:
     """Both tokenizers of a worker, their token bytes, and the windows met so far."""
 
+    NONE = (0, 0, "", 0, b"")  # of a window whose bytes differ
+
     def __init__(self, path_a: str | bytes, path_b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
@@ -83,6 +89,12 @@ class Pair:
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = [b for b in range(256) if b not in plain]
         byte = {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(rest)}}
+        #: bytes as the model's characters, a line feed as it is; the model itself where `BYTE_LEVEL` is all that stands before it
+        self.char = {b: c for c, b in byte.items() if b != 10}
+        spec = json.loads(path_a)
+        kind = spec["pre_tokenizer"] or {}
+        byte_level = (kind.get("type"), kind.get("add_prefix_space"), kind.get("use_regex")) == ("ByteLevel", False, True)
+        self.model = self.a.model if byte_level and not spec["normalizer"] and all(t["special"] for t in spec["added_tokens"]) else None
         size = self.a.get_vocab_size()
         self.bytes_a = [bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode()
                         for t in (self.a.id_to_token(i) or "" for i in range(size))]
@@ -95,10 +107,7 @@ class Pair:
                                     for n, marks in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")))
         self.text = self.text_a + self.text_b
         self.text_length = np.array(list(map(len, self.text)))
-        self.mark_a = np.array([x[:1] == b" " for x in self.bytes_a])
-        self.mark_b = np.array([b.id_to_piece(i)[:1] == "▁" for i in range(b.get_piece_size())])
-        self.chunks = Met(self.chunk, 450)
-        self.windows = Met(self.align, 450, lambda key: len(key[0]) + len(key[1]))
+        self.windows = Met(self.window, 450)
 
     def linked(self, texts: list[str]) -> list[tuple[int, int, str, int, bytes]]:
         """(A's tokens, B's, groups, their number, packed id pair per link) of whole texts; nothing
@@ -106,11 +115,11 @@ class Pair:
         out = []
         for some in together(texts):
             if len(some) > 1:
-                out += self.of_chunks([GAP.split(t) if t else [] for t in some])
+                out += self.of_windows([GAP.split(t) if t else [] for t in some])
                 continue
-            made = [(0, 0, "", 0, b"")]
+            made = [self.NONE]
             for part in parts(some[0]) if some[0] else ():
-                made += self.of_chunks([GAP.split(part)])
+                made += self.of_windows([GAP.split(part)])
                 if not made[-1][0]:
                     made = made[:1]
                     break
@@ -118,111 +127,110 @@ class Pair:
             out.append((sum(a), sum(b), ";".join(groups[1:]), sum(n), b"".join(links)))
         return out
 
-    def of_chunks(self, lists: list[list[str]]) -> list[tuple[int, int, str, int, bytes]]:
+    def of_windows(self, lists: list[list[str]]) -> list[tuple[int, int, str, int, bytes]]:
         """As ``linked``, of texts cut at their gaps; looked up together."""
-        met, out, at = self.chunks.values([c for x in lists for c in x]), [], 0
+        met, out, at = self.windows.values([w for x in lists for w in x]), [], 0
         for x in lists:
             a, b, groups, n, links = zip(*met[at: at + len(x)]) if x else ((),) * 5
             at += len(x)
-            out.append((sum(a), sum(b), ";".join(groups), sum(n), b"".join(links)) if all(a) else (0, 0, "", 0, b""))
-        return out
-
-    def chunk(self, chunks: list[str]) -> list[tuple[int, int, str, int, bytes]]:
-        """As ``linked``, of chunks by their windows; all zeros where a tokenizer's bytes differ."""
-        cut = self.tokenised(chunks)
-        keys = list(chain.from_iterable(cut))
-        met, out, at = self.met(keys), [], 0
-        for x in cut:
-            if len(x) == 1:
-                groups, n, links = met[at]
-            else:
-                own = met[at: at + len(x)]
-                groups, n, links = ";".join([m[0] for m in own]), sum([m[1] for m in own]), b"".join([m[2] for m in own])
-            at += len(x)
-            out.append((sum([len(k[0]) for k in x]) // 4, sum([len(k[1]) for k in x]) // 4, groups, n, links))
+            out.append((sum(a), sum(b), ";".join(groups), sum(n), b"".join(links)) if all(a) else self.NONE)
         return out
 
-    def met(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[str, int, bytes]]:
-        """The alignments of windows, a block at a time."""
-        return [m for at in range(0, len(keys), BLOCK) for m in self.windows.values(keys[at: at + BLOCK])]
+    def window(self, windows: list[str]) -> list[tuple[int, int, str, int, bytes]]:
+        """As ``linked``, of windows; all zeros where a tokenizer's bytes differ."""
+        made = dict.fromkeys(windows, self.NONE)
+        for some, a, b, sizes in self.encoded(windows):
+            made.update(zip(some, self.align(a, b, np.cumsum(sizes))))
+        return list(made.values())
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Both tokenizers' ids of whole texts; empty where their bytes are not those of the text."""
-        out = []
+        out, none = [], np.zeros(0, np.int32)
         for text in texts:
-            cut = [x for part in parts(text) for x in self.tokenised(GAP.split(part))] if text else []
-            keys = list(chain.from_iterable(cut)) if all(cut) else []
-            out.append(tuple(np.frombuffer(b"".join([k[side] for k in keys]), np.int32) for side in (0, 1)))
+            ids = [(none, none)]
+            for part in parts(text) if text else ():
+                windows, made = GAP.split(part), {}
+                for some, a, b, sizes in self.encoded(list(dict.fromkeys(windows))):
+                    end = np.cumsum(sizes)[:-1]
+                    made.update(zip(some, zip(*(np.split(x, np.searchsorted(np.cumsum(n[x]), end) + 1)
+                                                for x, n in ((a, self.len_a), (b, self.len_b))))))
+                if len(made) < len(set(windows)):
+                    ids = ids[:1]
+                    break
+                ids += map(made.__getitem__, windows)
+            out.append(tuple(map(np.concatenate, zip(*ids))))
         return out
 
     def same(self, text: str, a: list[int], b: list[int]) -> bool:
         """Whether both tokenizers' bytes are a space and the text."""
         return (" " + text).encode() == b"".join(map(self.bytes_a.__getitem__, a)) == b"".join(map(self.bytes_b.__getitem__, b))
 
-    def tokenised(self, chunks: list[str]) -> list[tuple[tuple[bytes, bytes], ...]]:
-        """The windows of each chunk with a space in front, none where a tokenizer's bytes are not
-        those of the chunk.  Chunks that may stand between gaps are one text, cut at their ends."""
-        inner = [c for c in chunks if INNER.match(c)]
-        made = {}
-        if inner:
-            text = " ".join(inner)
-            ids_a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
-            ids_b = self.b.encode(text)
-            if self.same(text, ids_a, ids_b):
-                keys, anchors = self.cut(np.array(ids_a, np.int32), np.array(ids_b, np.int32))
-                starts = np.cumsum([0, *(1 + len(c.encode()) for c in inner[:-1])])
-                first = np.searchsorted(anchors, starts)
-                if first[-1] == len(anchors) or not np.array_equal(anchors[first], starts):
-                    raise ValueError("a token goes across a gap between words; these tokenizers cannot be cut there")
-                bounds = [*first.tolist(), len(keys)]
-                made = {c: tuple(keys[i:k]) for c, i, k in zip(inner, bounds, bounds[1:])}
-        other = [c for c in chunks if c not in made]
-        for c, a, b in zip(other, self.a.encode_batch_fast([" " + c for c in other], add_special_tokens=False),
-                           self.b.encode(other, num_threads=1)) if other else ():
-            made[c] = tuple(self.cut(np.array(a.ids, np.int32), np.array(b, np.int32))[0]) if self.same(c, a.ids, b) else ()
-        return [made[c] for c in chunks]
-
-    def cut(self, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple[bytes, bytes]], np.ndarray]:
-        """Both sides' packed ids of every window, and the byte offsets where the windows begin: those
-        where space-marked tokens of both begin, and the text's start."""
-        start_a, start_b = np.cumsum(self.len_a[a]) - self.len_a[a], np.cumsum(self.len_b[b]) - self.len_b[b]
-        anchors = merged(start_a[self.mark_a[a]], start_b[self.mark_b[b]])[1]
-        if not len(anchors) or anchors[0]:
-            anchors = np.r_[0, anchors]
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        at_a, at_b = ([*(4 * np.searchsorted(s, anchors)).tolist(), len(raw)] for s, raw in ((start_a, raw_a), (start_b, raw_b)))
-        return [(raw_a[i:k], raw_b[u:w]) for i, k, u, w in zip(at_a, at_a[1:], at_b, at_b[1:])], anchors
-
-    def align(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[str, int, bytes]]:
-        """(groups, their number, packed id pair per link) of each window of ids.
-
-        The windows lie one behind the other, as in a text; their ends are ends of both sides.
-        """
-        a, b = (np.frombuffer(b"".join([k[side] for k in keys]), np.int32) for side in (0, 1))
+    def plain(self, text: str) -> list[int]:
+        """A's ids of plain windows with a space in front: its model's, of the words that `BYTE_LEVEL` splits off."""
+        words = BYTE_LEVEL.findall(" " + text)
+        words = "\n".join(words).encode().decode("latin-1").translate(self.char).split("\n")
+        return [t.id for w in words for t in self.model.tokenize(w)]
+
+    def whole(self, text: str) -> list[int]:
+        """A's ids of any text with a space in front."""
+        return self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+
+    def encoded(self, windows: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray, list[int]]]:
+        """Different windows, a block at a time: (windows, A's ids, B's, each window's bytes) of the
+        windows with a space in front.  Those that may stand between gaps are tokenised as one text.
+        Windows where a tokenizer's bytes are not those of the window are left out."""
+        for at in range(0, len(windows), BLOCK):
+            block = windows[at: at + BLOCK]
+            plain = [w for w in block if PLAIN.match(w)] if self.model else []
+            done = set(plain)
+            inner = [w for w in block if w not in done and INNER.match(w)]
+            some, ids_a, ids_b = [], [], []
+            for these, ids in ((plain, self.plain), (inner, self.whole)):
+                text = " ".join(these)
+                a, b = (ids(text), self.b.encode(text)) if these else ([], [])
+                if these and self.same(text, a, b):
+                    some += these
+                    ids_a += a
+                    ids_b += b
+            done = set(some)
+            other = [w for w in block if w not in done]
+            for w, a, b in zip(other, self.a.encode_batch_fast([" " + w for w in other], add_special_tokens=False),
+                               self.b.encode(other, num_threads=1)) if other else ():
+                if self.same(w, a.ids, b):
+                    some.append(w)
+                    ids_a += a.ids
+                    ids_b += b
+            if some:
+                sizes = [1 + (len(w) if w.isascii() else len(w.encode())) for w in some]
+                yield some, np.array(ids_a, np.int32), np.array(ids_b, np.int32), sizes
+
+    def align(self, a: np.ndarray, b: np.ndarray, last: np.ndarray) -> list[tuple[int, int, str, int, bytes]]:
+        """As ``linked``, of each window of the ids; ``last`` are the windows' ends in bytes."""
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        last = end_a[np.cumsum([len(k[0]) for k in keys]) // 4 - 1]
         ends, cut = merged(end_a, end_b)
+        groups = np.searchsorted(cut, last, "right")
+        if not np.array_equal(cut[groups - 1], last):
+            raise ValueError("a token goes across a gap between words; these tokenizers cannot be cut there")
         # groups as text: A's ids of a group, then B's, each with the mark behind it
         group_a, group_b = np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)
-        size_a, size_b = np.bincount(group_a), np.bincount(group_b)
-        place_a = np.arange(len(a)) + (np.cumsum(size_b) - size_b)[group_a]
-        place_b = np.arange(len(b)) + np.cumsum(size_a)[group_b]
+        size_a, size_b = np.cumsum(np.bincount(group_a)), np.cumsum(np.bincount(group_b))
         words = np.empty(len(a) + len(b), np.int64)
-        words[place_a] = 2 * a.astype(np.int64) + (end_a == cut[group_a])
-        words[place_b] = len(self.text_a) + 2 * b.astype(np.int64) + (end_b == cut[group_b])
-        groups = np.searchsorted(cut, last) + 1
-        stop = np.cumsum(self.text_length[words])[np.cumsum(size_a + size_b)[groups - 1] - 1].tolist()
+        words[np.arange(len(a)) + np.r_[0, size_b][group_a]] = 2 * a.astype(np.int64) + (end_a == cut[group_a])
+        words[np.arange(len(b)) + size_a[group_b]] = len(self.text_a) + 2 * b.astype(np.int64) + (end_b == cut[group_b])
+        n_a, n_b = size_a[groups - 1], size_b[groups - 1]
+        stop = np.cumsum(self.text_length[words])[n_a + n_b - 1].tolist()
         text = "".join(map(self.text.__getitem__, words.tolist()))
         # every stretch between neighbouring ends lies in one token of each: one link
         pairs = a[np.searchsorted(end_a, ends)].astype(np.int64) << SHIFT | b[np.searchsorted(end_b, ends)]
-        raw, reach = pairs.tobytes(), (8 * np.searchsorted(ends, last) + 8).tolist()
-        return [(text[i:k - 1], n, raw[u:w]) for i, k, n, u, w in zip(
-            [0, *stop], stop, np.diff(groups, prepend=0).tolist(), [0, *reach], reach)]
+        raw, reach = pairs.tobytes(), (8 * np.searchsorted(ends, last, "right")).tolist()
+        n_a, n_b, groups = (np.diff(x, prepend=0).tolist() for x in (n_a, n_b, groups))
+        return [(x, y, text[i:k - 1], n, raw[u:w]) for x, y, i, k, n, u, w in zip(
+            n_a, n_b, [0, *stop], stop, groups, [0, *reach], reach)]
 
     def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray]:
         """(groups, their number, id pair per link) of a document's ids."""
-        met = self.met(self.cut(a, b)[0]) if len(a) else []
-        return ";".join([m[0] for m in met]), sum([m[1] for m in met]), np.frombuffer(b"".join([m[2] for m in met]), np.int64)
+        groups, n, links = self.align(a, b, self.len_a[a].sum(keepdims=True))[0][2:] if len(a) else self.NONE[2:]
+        return groups, n, np.frombuffer(links, np.int64)
 
 
 def merged(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
